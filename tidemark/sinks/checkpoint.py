@@ -7,7 +7,6 @@ writer. The value is text whatever the watermark's type.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,9 +73,13 @@ class CheckpointStore:
 
     def advance(self, table: TableSync, last_value: str) -> None:
         """Records ``last_value``. Call only after the rows it covers have been committed."""
-        row = (table.table, table.watermark_column, last_value, datetime.now(timezone.utc))
-        frame = self.spark.createDataFrame([row], CHECKPOINT_SCHEMA)
-        self._target(table).publish(frame)
+        row = self.spark.sql("SELECT 1").select(
+            F.lit(table.table).alias("table_name"),
+            F.lit(table.watermark_column).alias("watermark_column"),
+            F.lit(last_value).alias("last_value"),
+            F.current_timestamp().alias("synced_at"),
+        )
+        self._target(table).publish(row)
 
     def delete(self, table: TableSync) -> None:
         """Forgets the table: its next sync is a full one."""

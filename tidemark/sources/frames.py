@@ -15,6 +15,11 @@ from tidemark.operators.scan import incremental_scan, source_watermark, watermar
 from tidemark.sources.base import Scan
 
 
+# A table of at most this size is spread evenly over the tasks before it is written; a larger
+# one already comes in enough splits, and moving it would cost more than it gains.
+SPREAD_BELOW_BYTES = 256 * 1024 * 1024
+
+
 class FrameSource:
     """Tables by name. A string is a catalog table, or a Parquet path if it holds a slash.
 
@@ -54,11 +59,12 @@ class FrameSource:
 
     def scan(self, table: TableSync, columns: list[ColumnSpec], last_value: str | None) -> Scan:
         df = self.frame(table.table)
-        if last_value is None:
-            return Scan(df)
-        rows = incremental_scan(df, self._watermark(table), last_value)
-        # Few rows out of many splits: let AQE gather them into files of a useful size.
-        return Scan(rows.hint("rebalance"))
+        # Rebalancing by key lets AQE size the files and split a key that is too frequent.
+        spread = [find_column(df.columns, key) for key in table.primary_key]
+        if last_value is not None:
+            # Few rows out of many splits: gather them.
+            return Scan(incremental_scan(df, self._watermark(table), last_value).hint("rebalance", *spread))
+        return Scan(df.hint("rebalance", *spread) if _plan_bytes(df) <= SPREAD_BELOW_BYTES else df)
 
     def watermark(self, table: TableSync, columns: list[ColumnSpec]) -> str | None:
         df, name = self.frame(table.table), self._watermark(table)
@@ -77,3 +83,8 @@ class FrameSource:
 
     def _watermark(self, table: TableSync) -> str:
         return find_column(self.frame(table.table).columns, table.watermark_column)
+
+
+def _plan_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate for the plan; for files that is what they take on disk."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
