@@ -138,10 +138,9 @@ QUERIES = {
     ),
     "silent_runs": (
         silent_runs,
-        f"""WITH t AS (SELECT run_id, sum(rows_fetched) AS total FROM ({HISTORY_SQL}) GROUP BY run_id),
-                 i AS (SELECT *, row_number() OVER (ORDER BY run_id) AS i FROM t),
-                 s AS (SELECT *, i - coalesce(max(CASE WHEN total > 0 THEN i END) OVER (ORDER BY run_id), 0) AS streak FROM i)
-            SELECT run_id, CAST(streak AS INTEGER) AS silent_streak FROM s WHERE streak >= 2""",
+        f"""WITH q AS (SELECT run_id, sum(rows_fetched) OVER w AS s, count(*) OVER w AS n FROM ({HISTORY_SQL})
+                       WINDOW w AS (PARTITION BY tbl ORDER BY run_id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW))
+            SELECT run_id, count(*) AS tables FROM q GROUP BY run_id HAVING max(s) = 0 AND min(n) = 2""",
     ),
     "new_text_fallbacks": (
         new_text_fallbacks,

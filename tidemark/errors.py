@@ -72,7 +72,7 @@ class ConcurrentWriteError(SyncError, RuntimeError):
 
 # Fixed text: conform() raises it inside a task and translate() recognises it here.
 INVALID_VALUE = "value in column {column} is not a valid {expected}"
-_INVALID_VALUE_RE = re.compile(r"value in column (?P<column>.+?) is not a valid (?P<expected>[\w(), ]+)")
+_INVALID_VALUE_RE = re.compile(r"value in column (?P<column>.+?) is not a valid (?P<expected>[a-z]+(\(\d+,\d+\))?)")
 
 # Fixed text: fragments by which JDBC drivers report an unreachable source.
 _CONNECT_MARKERS = (

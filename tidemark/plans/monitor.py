@@ -81,17 +81,21 @@ def unusual_volume(history: DataFrame, runs: int, deviations: float = 3.0) -> Da
 
 
 def silent_runs(history: DataFrame, runs: int) -> DataFrame:
-    """Runs that end ``runs`` or more consecutive runs without a row from any table.
+    """Runs at which no table had fetched a row in its last ``runs`` runs.
 
-    Runs are first reduced to one row each; the running counts then go over run totals,
-    whose number is that of the runs and not of the rows.
+    Each table looks back over its own runs, then the tables of a run are put together; no
+    window goes over the whole history.
     """
-    totals = history.groupBy("run_id").agg(F.sum("rows_fetched").alias("total"))
-    in_order = Window.orderBy("run_id")
-    last_busy = F.last(F.when(F.col("total") > 0, F.col("__i")), ignorenulls=True).over(in_order)
-    numbered = totals.withColumn("__i", F.row_number().over(in_order))
-    streak = numbered.withColumn("silent_streak", F.col("__i") - F.coalesce(last_busy, F.lit(0)))
-    return streak.where(F.col("silent_streak") >= runs).select("run_id", "silent_streak")
+    recent = _runs().rowsBetween(1 - runs, 0)
+    quiet = history.select(
+        "run_id", F.sum("rows_fetched").over(recent).alias("__sum"), F.count(F.lit(1)).over(recent).alias("__n")
+    )
+    return (
+        quiet.groupBy("run_id")
+        .agg(F.max("__sum").alias("__sum"), F.min("__n").alias("__n"), F.count(F.lit(1)).alias("tables"))
+        .where((F.col("__sum") == 0) & (F.col("__n") == runs))
+        .select("run_id", "tables")
+    )
 
 
 def new_text_fallbacks(history: DataFrame) -> DataFrame:

@@ -35,20 +35,20 @@ class CheckpointStore:
     def _target(self, table: TableSync) -> SnapshotTarget:
         return SnapshotTarget(self.spark, join_uri(self.uri, table.path))
 
-    def _files(self, tables: list[TableSync]) -> list[str]:
+    def _paths(self, tables: list[TableSync]) -> list[str]:
         paths = []
         for table in tables:
             target = self._target(table)
             commit = target.current()
-            paths += [f"{target.uri}/data/{f}" for f in commit.files] if commit else []
+            paths += target.paths(commit.runs) if commit else []
         return paths
 
     def view(self, tables: list[TableSync]) -> DataFrame:
         """All checkpoints of ``tables`` in one frame; order it by ``synced_at`` to list."""
-        files = self._files(tables)
-        if not files:
+        paths = self._paths(tables)
+        if not paths:
             return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
-        return self.spark.read.schema(CHECKPOINT_SCHEMA).parquet(*files)
+        return self.spark.read.schema(CHECKPOINT_SCHEMA).parquet(*paths)
 
     def read(self, tables: list[TableSync]) -> dict[str, str]:
         """Last values by table, in one job for all of them. A table never synced is absent.
@@ -85,8 +85,8 @@ class CheckpointStore:
         """Forgets the table: its next sync is a full one."""
         target = self._target(table)
         base = target.current()
-        if base is not None and base.files:
-            target.commit(base, CHECKPOINT_SCHEMA, ())
+        if base is not None and base.runs:
+            target.commit(base, CHECKPOINT_SCHEMA, {})
 
 
 def listing(checkpoints: DataFrame) -> DataFrame:

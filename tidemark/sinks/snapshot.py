@@ -3,12 +3,13 @@
 Layout under the table's folder::
 
     data/<run>/part-*.parquet    immutable files, one folder per write
-    commits/<version>.json       schema and file list of one version
+    commits/<version>.json       schema and content of one version
 
-The commit with the highest version is the table. Files that no commit names do not exist
-for readers, so a crash at any point leaves the previous version whole. There is no row
-level delete, no log to replay and no read of an older version; where a lakehouse format is
-available use ``DeltaTarget`` instead.
+The commit with the highest version is the table. It names whole runs, and single files
+only of a run of which some have been rewritten, so a commit stays small however large the
+load was. What no commit names does not exist for readers: a crash at any point leaves the
+previous version whole. There is no row level delete, no log to replay and no read of an
+older version; where a lakehouse format is available use ``DeltaTarget`` instead.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ import time
 import uuid
 import zlib
 from dataclasses import dataclass
-from urllib.parse import unquote
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +32,21 @@ from tidemark.sinks.storage import Storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 
+# Beyond this many runs the target is worth pruning by several key ranges instead of one.
+FINE_RANGES_ABOVE_RUNS = 16
+KEY_RANGES = 64
+
 # Key types whose bounds survive the trip through the driver unchanged.
 _BOUNDED_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.StringType)
 
 
 @dataclass(frozen=True)
 class Commit:
-    """One published version: its schema and its files, relative to ``data/``."""
+    """One published version. ``runs`` maps a run to its live files, or to None for all."""
 
     version: int
     schema: T.StructType
-    files: tuple[str, ...]
+    runs: dict[str, list[str] | None]
 
 
 @dataclass(frozen=True)
@@ -48,7 +54,7 @@ class Staged:
     """Rows written once beneath the table, not yet part of it."""
 
     frame: DataFrame
-    files: tuple[str, ...]
+    run: str
 
 
 @dataclass(frozen=True)
@@ -74,50 +80,61 @@ class SnapshotTarget:
         if not versions:
             return None
         content = self.storage.read_json(self._commit_uri(max(versions)))
-        return Commit(max(versions), T.StructType.fromJson(content["schema"]), tuple(content["files"]))
+        return Commit(max(versions), T.StructType.fromJson(content["schema"]), content["runs"])
 
     def read(self) -> DataFrame:
         commit = self.current()
         if commit is None:
             raise SettingError(f"there is no table at {self.uri}")
-        return self.frame(commit.schema, commit.files)
+        return self.frame(commit.schema, commit.runs)
+
+    def paths(self, runs: dict[str, list[str] | None]) -> list[str]:
+        """Folders of whole runs and files of partial ones."""
+        return [
+            path
+            for run, names in runs.items()
+            for path in (
+                [self._run_uri(run)] if names is None else [f"{self._run_uri(run)}/{name}" for name in names]
+            )
+        ]
 
-    def frame(self, schema: T.StructType, files) -> DataFrame:
-        """Files as a frame of ``schema``; columns a file lacks read as NULL."""
-        if not files:
+    def frame(self, schema: T.StructType, runs: dict[str, list[str] | None]) -> DataFrame:
+        """Runs as a frame of ``schema``; columns a file lacks read as NULL."""
+        if not runs:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.uri}/data/{f}" for f in files])
+        return self.spark.read.schema(schema).parquet(*self.paths(runs))
 
     # ------------------------------------------------------------------ writing
 
     def open_or_create(self, schema: T.StructType) -> Commit:
         """The current commit; a missing table is created empty."""
-        return self.current() or self.commit(None, schema, ())
+        return self.current() or self.commit(None, schema, {})
 
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
         run = uuid.uuid4().hex
-        folder = f"{self.uri}/data/{run}"
-        df.write.parquet(folder)
-        written = self.spark.read.schema(df.schema).parquet(folder)
-        names = [unquote(f.rsplit("/", 1)[1]) for f in written.inputFiles()]
-        return Staged(written, tuple(f"{run}/{name}" for name in names))
+        df.write.parquet(self._run_uri(run))
+        return Staged(self.spark.read.schema(df.schema).parquet(self._run_uri(run)), run)
+
+    def discard(self, staged: Staged) -> None:
+        """Removes a staged run that no commit names."""
+        self.storage.delete(self._run_uri(staged.run))
 
-    def commit(self, base: Commit | None, schema: T.StructType, files) -> Commit:
+    def commit(self, base: Commit | None, schema: T.StructType, runs: dict[str, list[str] | None]) -> Commit:
         """Publishes the version after ``base``; raises if someone else already did."""
         version = base.version + 1 if base else 0
-        content = {"schema": schema.jsonValue(), "files": list(files), "committed_at": time.time()}
+        content = {"schema": schema.jsonValue(), "runs": runs}
         try:
             self.storage.create_json(f"{self.uri}/commits", f"{version:020d}.json", content)
         except ConcurrentWriteError as e:
             e.table = e.table or self.uri
             raise
-        return Commit(version, schema, tuple(files))
+        return Commit(version, schema, runs)
 
     def publish(self, df: DataFrame) -> Commit:
         """Replaces the whole table by ``df``: bulk load, rebuild, checkpoint row."""
         base = self.current()
-        return self.commit(base, df.schema, self.stage(df).files)
+        return self.commit(base, df.schema, {self.stage(df).run: None})
 
     def merge(
         self, staged: Staged, keys: list[str], watermark: str, type_name: str = "", base: Commit | None = None
@@ -142,50 +159,69 @@ class SnapshotTarget:
         spelled = {n.lower(): n for n in schema.names}
         delta = staged.frame.toDF(*[spelled[n.lower()] for n in staged.frame.columns])
         keys = [spelled[k.lower()] for k in keys]
-        touched, updated = self._touched(base, delta, keys, totals) if base.files else ([], 0)
+        touched, updated = self._touched(base, delta, keys, totals) if base.runs else ({}, 0)
         if not touched:
-            self.commit(base, schema, base.files + staged.files)
+            self.commit(base, schema, {**base.runs, staged.run: None})
             return MergeStats(fetched, fetched - superseded, 0, superseded, totals["newest"])
 
         old = self.frame(schema, touched)
         merged = apply_updates(old, delta, keys).unionByName(new_rows(delta, old, keys), allowMissingColumns=True)
         written = self.stage(merged.select(*schema.names))
-        rewritten = set(touched)
-        self.commit(base, schema, tuple(f for f in base.files if f not in rewritten) + written.files)
+        self.commit(base, schema, {**self._without(base.runs, touched), written.run: None})
         inserted = _rows_gained(old, written.frame)
         self.discard(staged)
         return MergeStats(fetched, inserted, updated, superseded, totals["newest"])
 
-    def discard(self, staged: Staged) -> None:
-        """Removes a staged folder that no commit names."""
-        for run in {f.split("/", 1)[0] for f in staged.files}:
-            self.storage.delete(f"{self.uri}/data/{run}")
-
-    def _touched(self, base: Commit, delta: DataFrame, keys: list[str], totals) -> tuple[list[str], int]:
-        """Files holding a key of ``delta``, and how many of their rows match.
+    def _touched(self, base: Commit, delta: DataFrame, keys: list[str], totals) -> tuple[dict[str, list[str]], int]:
+        """Files holding a key of ``delta``, by run, and how many of their rows match.
 
-        Reads only key columns, and only row groups whose key range meets the delta's. Files
-        travel as a checksum of their name: eight bytes beside each key instead of a path,
-        and should two names ever share one, a file is rewritten needlessly but correctly.
+        Reads only key columns, and only row groups whose key range meets the delta's. A
+        file travels as a checksum of its run and name, eight bytes beside each key instead
+        of a path; should two files ever share one, a file is rewritten needlessly but
+        correctly.
         """
         wanted = has_key(keys)
         for i, key in enumerate(keys):
             if f"low_{i}" in totals:
                 wanted = wanted & F.col(key).between(F.lit(totals[f"low_{i}"]), F.lit(totals[f"high_{i}"]))
-        held = (
-            self.frame(base.schema, base.files)
-            .where(wanted)
-            .select(*keys, F.crc32(F.col("_metadata.file_name").cast("binary")).alias("__file"))
-        )
+        if len(base.runs) > FINE_RANGES_ABOVE_RUNS or any(base.runs.values()):
+            wanted = wanted & _key_ranges(delta, keys[0], totals)
+        place = F.substring_index("_metadata.file_path", "/", -2)
+        run, name = F.substring_index(place, "/", 1), F.substring_index(place, "/", -1)
+        mark = F.shiftleft(F.crc32(run.cast("binary")), 32).bitwiseOR(F.crc32(name.cast("binary")))
+        held = self.frame(base.schema, base.runs).where(wanted).select(*keys, mark.alias("__file"))
         hits = held.join(delta.select(*keys), keys, "left_semi").groupBy("__file").count().collect()
-        marks = {r["__file"] for r in hits}
-        files = [f for f in base.files if zlib.crc32(f.rsplit("/", 1)[1].encode()) in marks]
-        return files, sum(r["count"] for r in hits)
+
+        marks = {r["__file"] & 0xFFFFFFFFFFFFFFFF for r in hits}
+        run_marks = {m >> 32 for m in marks}
+        touched = {}
+        for run_name, names in base.runs.items():
+            high = zlib.crc32(run_name.encode())
+            if high in run_marks:
+                touched[run_name] = [
+                    n for n in names or self._names(run_name) if (high << 32 | zlib.crc32(n.encode())) in marks
+                ]
+        return {r: names for r, names in touched.items() if names}, sum(r["count"] for r in hits)
+
+    def _without(self, runs: dict, touched: dict[str, list[str]]) -> dict[str, list[str] | None]:
+        kept = {}
+        for run, names in runs.items():
+            if run not in touched:
+                kept[run] = names
+                continue
+            gone = set(touched[run])
+            left = [n for n in names or self._names(run) if n not in gone]
+            if left:
+                kept[run] = left
+        return kept
+
+    def _names(self, run: str) -> list[str]:
+        return [n for n, _, _ in self.storage.list(self._run_uri(run)) if n.endswith(".parquet")]
 
     # -------------------------------------------------------------- maintenance
 
     def vacuum(self, retain_hours: float = MIN_RETAIN_HOURS) -> int:
-        """Removes what no version inside the window needs; returns removed folders.
+        """Removes what no version inside the window needs; returns how many files and folders.
 
         The current version is always kept, and so is every data folder younger than the
         window, which may belong to a write still under way.
@@ -196,21 +232,34 @@ class SnapshotTarget:
 
     def _vacuum_before(self, horizon: float) -> int:
         commits = sorted((int(n[:-5]), t) for n, t, _ in self.storage.list(f"{self.uri}/commits") if n[:-5].isdigit())
-        live: set[str] = set()
+        live: dict[str, set[str] | None] = {}
         # A version stays readable until its successor is older than the window.
         for i, (version, _) in enumerate(commits):
             superseded_at = commits[i + 1][1] / 1000 if i + 1 < len(commits) else None
-            if superseded_at is None or superseded_at >= horizon:
-                live |= {f.split("/", 1)[0] for f in self.storage.read_json(self._commit_uri(version))["files"]}
-            else:
+            if superseded_at is not None and superseded_at < horizon:
                 self.storage.delete(self._commit_uri(version))
+                continue
+            for run, names in self.storage.read_json(self._commit_uri(version))["runs"].items():
+                if names is None or live.get(run, set()) is None:
+                    live[run] = None
+                else:
+                    live[run] = live.get(run, set()) | set(names)
         removed = 0
-        for name, modified, is_folder in self.storage.list(f"{self.uri}/data"):
-            if is_folder and name not in live and modified / 1000 < horizon:
-                self.storage.delete(f"{self.uri}/data/{name}")
+        for run, modified, _ in self.storage.list(f"{self.uri}/data"):
+            if modified / 1000 >= horizon:
+                continue
+            if run not in live:
+                self.storage.delete(self._run_uri(run))
                 removed += 1
+            elif live[run] is not None:
+                for name in set(self._names(run)) - live[run]:
+                    self.storage.delete(f"{self._run_uri(run)}/{name}")
+                    removed += 1
         return removed
 
+    def _run_uri(self, run: str) -> str:
+        return f"{self.uri}/data/{run}"
+
     def _commit_uri(self, version: int) -> str:
         return f"{self.uri}/commits/{version:020d}.json"
 
@@ -231,6 +280,21 @@ def evolve(current: T.StructType, incoming: T.StructType) -> T.StructType:
     return T.StructType(current.fields + added)
 
 
+def _key_ranges(delta: DataFrame, key: str, totals):
+    """Up to ``KEY_RANGES`` intervals of a whole-number key that hold all of the delta's keys.
+
+    Most changes fall on recent keys and a few on old ones: the gaps in between are row
+    groups that need not be read. Other key types are left to their overall bounds.
+    """
+    low, high = totals["low_0"] if "low_0" in totals else None, totals["high_0"] if "high_0" in totals else None
+    if low is None or not isinstance(delta.schema[key].dataType, T.IntegralType):
+        return F.lit(True)
+    width = (high - low) // KEY_RANGES + 1
+    slot = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
+    rows = delta.where(F.col(key).isNotNull()).groupBy(slot.alias("slot")).agg(F.min(key), F.max(key)).collect()
+    return reduce(or_, [F.col(key).between(F.lit(lo), F.lit(hi)) for _, lo, hi in sorted(rows)])
+
+
 def _rows_gained(before: DataFrame, after: DataFrame) -> int:
     """How many more rows ``after`` has. Both are files: only their footers are read."""
     counts = after.agg(F.count(F.lit(1)).alias("n")).union(before.agg(-F.count(F.lit(1))))
