@@ -11,15 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Timestamp layouts, by how many fractional digits the value needs.
-NAIVE_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-OFFSET_LAYOUTS = (
-    "yyyy-MM-dd'T'HH:mm:ssxxx",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSxxx",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx",
-)
-
-
 def render_text(c: Column, raw: T.DataType, type_name: str = "") -> Column:
     """Text of ``c``, whose Spark type is ``raw``; NULL stays NULL.
 
@@ -34,9 +25,9 @@ def render_text(c: Column, raw: T.DataType, type_name: str = "") -> Column:
     if isinstance(raw, T.BinaryType):
         return hex_text(c)
     if isinstance(raw, T.TimestampType) and type_name == "datetimeoffset":
-        return _timestamp_text(c, OFFSET_LAYOUTS)
+        return F.concat(F.translate(_timestamp_text(c), " ", "T"), F.lit("+00:00"))
     if isinstance(raw, (T.TimestampType, T.TimestampNTZType)):
-        return _timestamp_text(c, NAIVE_LAYOUTS)
+        return _timestamp_text(c)
     if isinstance(raw, (T.FloatType, T.DoubleType)):
         return _float_text(c)
     if isinstance(raw, T.DecimalType):
@@ -49,14 +40,12 @@ def hex_text(c: Column) -> Column:
     return F.lower(F.hex(c))
 
 
-def _timestamp_text(c: Column, layouts: tuple[str, str, str]) -> Column:
-    micros = F.unix_micros(c.cast("timestamp"))
-    seconds, millis, full = layouts
-    return (
-        F.when(micros % 1_000_000 == 0, F.date_format(c, seconds))
-        .when(micros % 1_000 == 0, F.date_format(c, millis))
-        .otherwise(F.date_format(c, full))
-    )
+def _timestamp_text(c: Column) -> Column:
+    # Spark prints as many fractional digits as needed; the last group is filled up to three.
+    text = c.cast("string")
+    point = F.instr(text, ".")
+    missing = F.pmod(point - F.length(text), F.lit(3))
+    return F.when(point == 0, text).otherwise(F.concat(text, F.repeat(F.lit("0"), missing)))
 
 
 def _time_text(c: Column) -> Column:
@@ -75,7 +64,7 @@ def _decimal_text(c: Column, raw: T.DecimalType) -> Column:
 
 def _float_text(c: Column) -> Column:
     text = c.cast("string")
-    plain = F.regexp_replace(text, "\\.0$", "")
+    plain = F.when(F.endswith(text, F.lit(".0")), F.substring(text, F.lit(1), F.length(text) - 2)).otherwise(text)
     special = (
         F.when(F.isnan(c), F.lit("NaN"))
         .when(c == float("inf"), F.lit("inf"))

@@ -19,24 +19,28 @@ def full_scan(df: DataFrame, watermark: str | None = None, ordered: bool = False
 def incremental_scan(df: DataFrame, watermark: str, last_value: str, ordered: bool = False) -> DataFrame:
     """Rows strictly above ``last_value``. A NULL watermark never qualifies.
 
-    The text is turned into a literal of the column's own type, so the comparison holds no
-    cast on the column and reaches the source or the Parquet row groups.
+    The text becomes a literal of the column's own type, folded before the scan, so the
+    comparison holds no cast on the column and reaches the Parquet row groups.
     """
-    bound = watermark_literal(df, watermark, last_value)
-    return full_scan(df.where(F.col(watermark) > bound), watermark, ordered)
+    check_bound(df, watermark, last_value)
+    return full_scan(df.where(above(df, watermark, last_value)), watermark, ordered)
 
 
-def watermark_literal(df: DataFrame, watermark: str, last_value: str) -> Column:
+def above(df: DataFrame, watermark: str, last_value: str) -> Column:
+    """True above ``last_value``, and for every row if that is no value of the column."""
+    bound = F.lit(last_value).try_cast(df.schema[watermark].dataType)
+    return (F.col(watermark) > bound) | bound.isNull()
+
+
+def check_bound(df: DataFrame, watermark: str, last_value: str) -> None:
+    """Raises unless ``last_value`` is a value of the column; a cast error would print it."""
     raw = df.schema[watermark].dataType
     if isinstance(raw, T.BinaryType):
         raise CheckpointMismatchError(f"watermark column {watermark} is binary; its text form has no order")
-    typed = F.lit(last_value).try_cast(raw)
-    # A projection of literals over no table: folded by the optimizer, no job is run.
-    if df.sparkSession.sql("SELECT 1").select(typed.isNull()).collect()[0][0]:
+    if df.sparkSession.sql("SELECT 1").select(F.lit(last_value).try_cast(raw).isNull()).first()[0]:
         raise CheckpointMismatchError(
             f"the checkpoint of watermark column {watermark} is not a valid {raw.simpleString()}"
         )
-    return F.lit(last_value).cast(raw)
 
 
 def source_watermark(df: DataFrame, watermark: str, type_name: str | None = None) -> DataFrame:
@@ -51,3 +55,12 @@ def watermark_text(df: DataFrame, value: Column, watermark: str, type_name: str
     field = df.schema[watermark]
     spec = describe_schema(T.StructType([field]))[0]
     return render_text(value, field.dataType, type_name or spec.type_name)
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union of many frames, paired up level by level: Spark analyses each plan a few times
+    only, where adding one after the other would go through the whole plan every time."""
+    while len(frames) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = pairs + (frames[-1:] if len(frames) % 2 else [])
+    return frames[0]

@@ -9,11 +9,11 @@ Windows run per table over its runs, so a partition holds one row per run of one
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.scan import union_all
+
 
 def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
     """Row counts and greatest watermarks on both sides, per table.
@@ -34,7 +34,7 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
     ]
     value = lambda name, c: F.max(F.when(F.col("side") == name, F.col(c)))
     return (
-        reduce(DataFrame.unionByName, sides)
+        union_all(sides)
         .groupBy("table")
         .agg(
             value("source", "n").alias("source_rows"),

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.config import TableSync, join_uri
 from tidemark.errors import CheckpointMismatchError
 from tidemark.sinks.snapshot import SnapshotTarget
+from tidemark.sinks.storage import at_once
 
 # The checkpoint table's columns.
 CHECKPOINT_SCHEMA = T.StructType(
@@ -36,18 +37,19 @@ class CheckpointStore:
         return SnapshotTarget(self.spark, join_uri(self.uri, table.path))
 
     def _paths(self, tables: list[TableSync]) -> list[str]:
-        paths = []
-        for table in tables:
+        def current(table: TableSync) -> list[str]:
             target = self._target(table)
             commit = target.current()
-            paths += target.paths(commit.runs) if commit else []
-        return paths
+            return target.paths(commit.runs) if commit else []
+
+        return [path for paths in at_once(self.spark, current, tables) for path in paths]
 
     def view(self, tables: list[TableSync]) -> DataFrame:
         """All checkpoints of ``tables`` in one frame; order it by ``synced_at`` to list."""
         paths = self._paths(tables)
-        if not paths:
-            return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
+        return self._frame(paths) if paths else self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
+
+    def _frame(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(CHECKPOINT_SCHEMA).parquet(*paths)
 
     def read(self, tables: list[TableSync]) -> dict[str, str]:
@@ -56,8 +58,11 @@ class CheckpointStore:
         A value recorded for another watermark column is refused rather than compared.
         """
         configured = {t.table: t.watermark_column for t in tables}
+        paths = self._paths(tables)
+        if not paths:
+            return {}
         values = {}
-        for row in self.view(tables).collect():
+        for row in self._frame(paths).collect():
             expected = configured.get(row["table_name"])
             if expected is None:
                 continue

@@ -53,6 +53,15 @@ class DeltaTarget:
         self.spark.createDataFrame([], schema).write.format("delta").save(self.uri)
         return schema
 
+    open = open_or_create
+
+    def exists(self) -> bool:
+        try:
+            self.read().schema
+            return True
+        except AnalysisException:
+            return False
+
     def stage(self, df: DataFrame) -> Staged:
         return self._staging.stage(df)
 

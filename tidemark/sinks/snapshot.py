@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.functions.render import render_text
 from tidemark.operators.upsert import apply_updates, has_key, last_writer, new_rows, require_keys
-from tidemark.sinks.storage import Storage
+from tidemark.sinks.storage import storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 
@@ -70,17 +70,20 @@ class SnapshotTarget:
     def __init__(self, spark: SparkSession, uri: str):
         self.spark = spark
         self.uri = uri.rstrip("/")
-        self.storage = Storage(spark)
+        self.storage = storage(spark)
 
     # ------------------------------------------------------------------ reading
 
     def current(self) -> Commit | None:
         """The latest commit, or None if the table does not exist."""
-        versions = [int(n[:-5]) for n, _, _ in self.storage.list(f"{self.uri}/commits") if n[:-5].isdigit()]
-        if not versions:
+        version = max((v for v, _ in self._versions()), default=None)
+        if version is None:
             return None
-        content = self.storage.read_json(self._commit_uri(max(versions)))
-        return Commit(max(versions), T.StructType.fromJson(content["schema"]), content["runs"])
+        content = self.storage.read_json(self._commit_uri(version))
+        return Commit(version, T.StructType.fromJson(content["schema"]), content["runs"])
+
+    def exists(self) -> bool:
+        return bool(self._versions())
 
     def read(self) -> DataFrame:
         commit = self.current()
@@ -106,9 +109,14 @@ class SnapshotTarget:
 
     # ------------------------------------------------------------------ writing
 
+    def open(self, schema: T.StructType) -> Commit:
+        """The current commit, or an unpublished empty one for a table not created yet."""
+        return self.current() or Commit(-1, schema, {})
+
     def open_or_create(self, schema: T.StructType) -> Commit:
         """The current commit; a missing table is created empty."""
-        return self.current() or self.commit(None, schema, {})
+        base = self.open(schema)
+        return base if base.version >= 0 else self.commit(base, schema, {})
 
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
@@ -120,9 +128,9 @@ class SnapshotTarget:
         """Removes a staged run that no commit names."""
         self.storage.delete(self._run_uri(staged.run))
 
-    def commit(self, base: Commit | None, schema: T.StructType, runs: dict[str, list[str] | None]) -> Commit:
+    def commit(self, base: Commit, schema: T.StructType, runs: dict[str, list[str] | None]) -> Commit:
         """Publishes the version after ``base``; raises if someone else already did."""
-        version = base.version + 1 if base else 0
+        version = base.version + 1
         content = {"schema": schema.jsonValue(), "runs": runs}
         try:
             self.storage.create_json(f"{self.uri}/commits", f"{version:020d}.json", content)
@@ -133,7 +141,7 @@ class SnapshotTarget:
 
     def publish(self, df: DataFrame) -> Commit:
         """Replaces the whole table by ``df``: bulk load, rebuild, checkpoint row."""
-        base = self.current()
+        base = self.open(df.schema)
         return self.commit(base, df.schema, {self.stage(df).run: None})
 
     def merge(
@@ -145,12 +153,14 @@ class SnapshotTarget:
         a retried task or a lost executor cannot change them.
         """
         keys = require_keys(keys)
-        base = base or self.open_or_create(staged.frame.schema)
+        base = base or self.open(staged.frame.schema)
         schema = evolve(base.schema, staged.frame.schema)
         totals = staged_totals(staged.frame, keys, watermark, type_name)
         fetched, superseded = totals["fetched"], totals["superseded"]
         if not fetched:
             self.discard(staged)
+            if base.version < 0:
+                self.commit(base, schema, {})
             return MergeStats(0, 0, 0, 0)
         if superseded:
             fetched_rows, staged = staged, self.stage(last_writer(staged.frame, keys, watermark))
@@ -216,7 +226,7 @@ class SnapshotTarget:
         return kept
 
     def _names(self, run: str) -> list[str]:
-        return [n for n, _, _ in self.storage.list(self._run_uri(run)) if n.endswith(".parquet")]
+        return [n for n, _ in self.storage.list(self._run_uri(run)) if n.endswith(".parquet")]
 
     # -------------------------------------------------------------- maintenance
 
@@ -231,7 +241,7 @@ class SnapshotTarget:
         return self._vacuum_before(time.time() - retain_hours * 3600)
 
     def _vacuum_before(self, horizon: float) -> int:
-        commits = sorted((int(n[:-5]), t) for n, t, _ in self.storage.list(f"{self.uri}/commits") if n[:-5].isdigit())
+        commits = sorted(self._versions())
         live: dict[str, set[str] | None] = {}
         # A version stays readable until its successor is older than the window.
         for i, (version, _) in enumerate(commits):
@@ -245,7 +255,7 @@ class SnapshotTarget:
                 else:
                     live[run] = live.get(run, set()) | set(names)
         removed = 0
-        for run, modified, _ in self.storage.list(f"{self.uri}/data"):
+        for run, modified in self.storage.list(f"{self.uri}/data"):
             if modified / 1000 >= horizon:
                 continue
             if run not in live:
@@ -257,6 +267,10 @@ class SnapshotTarget:
                     removed += 1
         return removed
 
+    def _versions(self) -> list[tuple[int, int]]:
+        names = self.storage.list(f"{self.uri}/commits")
+        return [(int(n[:-5]), modified) for n, modified in names if n[:-5].isdigit()]
+
     def _run_uri(self, run: str) -> str:
         return f"{self.uri}/data/{run}"
 

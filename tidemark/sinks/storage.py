@@ -4,24 +4,53 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from weakref import WeakKeyDictionary
 
+from pyspark import inheritable_thread_target
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from tidemark.errors import ConcurrentWriteError, TargetError
 
+# Metadata calls wait for the store, so several are under way at a time.
+CALLS_AT_ONCE = 16
+
+_known: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def storage(spark: SparkSession) -> Storage:
+    """The session's storage; its Java classes are looked up once."""
+    if spark not in _known:
+        _known[spark] = Storage(spark)
+    return _known[spark]
+
+
+def at_once(spark: SparkSession, call: Callable, items: Iterable) -> list:
+    """``call`` of every item, in order, several at a time."""
+    items = list(items)
+    if len(items) < 2:
+        return [call(item) for item in items]
+    with ThreadPoolExecutor(min(CALLS_AT_ONCE, len(items))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(call), items))
+
 
 class Storage:
     def __init__(self, spark: SparkSession):
-        self._jvm = spark._jvm
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        self._path, self._context = hadoop.Path, hadoop.FileContext
+        self._no_overwrite = hadoop.Options.Rename.NONE
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
+        self._array = spark._jvm.java.lang.reflect.Array
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _fs(self, uri: str):
-        path = self._jvm.org.apache.hadoop.fs.Path(uri)
+        path = self._path(uri)
         return path.getFileSystem(self._conf), path
 
-    def list(self, uri: str) -> list[tuple[str, int, bool]]:
-        """(name, modification time in ms, is folder) of the entries; empty if absent.
+    def list(self, uri: str) -> list[tuple[str, int]]:
+        """(name, modification time in ms) of the entries; empty if there is no such folder.
 
         Only a missing folder counts as absent. Any other failure is raised, so that an
         unreachable store is never taken for an empty one.
@@ -30,17 +59,17 @@ class Storage:
         try:
             entries = fs.listStatus(path)
         except Py4JJavaError as e:
-            if "FileNotFoundException" in str(e.java_exception.getClass().getName()):
+            if _is(e, "FileNotFoundException"):
                 return []
             raise TargetError(f"cannot list {uri}") from None
-        return [(s.getPath().getName(), s.getModificationTime(), s.isDirectory()) for s in entries]
+        return [(s.getPath().getName(), s.getModificationTime()) for s in entries]
 
     def read_json(self, uri: str) -> dict:
         fs, path = self._fs(uri)
         try:
             stream = fs.open(path)
             try:
-                return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+                return json.loads(self._io.toString(stream, "UTF-8"))
             finally:
                 stream.close()
         except Py4JJavaError:
@@ -54,9 +83,8 @@ class Storage:
         local disk and plain object stores check and then rename.
         """
         fs, target = self._fs(f"{folder}/{name}")
-        aside = self._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+        aside = self._path(f"{folder}/.{name}.{uuid.uuid4().hex}")
         try:
-            fs.mkdirs(target.getParent())
             out = fs.create(aside, False)
             try:
                 out.write(bytearray(json.dumps(content), "utf-8"))
@@ -64,18 +92,21 @@ class Storage:
                 out.close()
         except Py4JJavaError:
             raise TargetError(f"cannot write {folder}/{name}") from None
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf)
-        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
-        options = self._jvm.java.lang.reflect.Array.newInstance(rename.NONE.getClass(), 1)
-        options[0] = rename.NONE
+        context = self._context.getFileContext(target.toUri(), self._conf)
+        options = self._array.newInstance(self._no_overwrite.getClass(), 1)
+        options[0] = self._no_overwrite
         try:
             context.rename(context.makeQualified(aside), context.makeQualified(target), options)
         except Py4JJavaError as e:
             fs.delete(aside, False)
-            if "FileAlreadyExistsException" in str(e.java_exception.getClass().getName()):
+            if _is(e, "FileAlreadyExistsException"):
                 raise ConcurrentWriteError("another writer committed first; run again") from None
             raise TargetError(f"cannot write {folder}/{name}") from None
 
     def delete(self, uri: str) -> None:
         fs, path = self._fs(uri)
         fs.delete(path, True)
+
+
+def _is(error: Py4JJavaError, name: str) -> bool:
+    return error.java_exception.getClass().getName().endswith(name)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.config import SyncConfig, TableSync
 from tidemark.errors import TableNotFoundError, in_table
 from tidemark.functions.typemap import ColumnSpec, describe_schema, find_column
-from tidemark.operators.scan import incremental_scan, source_watermark, watermark_literal
+from tidemark.operators.scan import above, incremental_scan, source_watermark, union_all
+from tidemark.sinks.storage import at_once
 from tidemark.sources.base import Scan
 
 
@@ -19,6 +19,9 @@ from tidemark.sources.base import Scan
 # one already comes in enough splits, and moving it would cost more than it gains.
 SPREAD_BELOW_BYTES = 256 * 1024 * 1024
 
+# How many tables one job asks for news: few enough to plan quickly, several jobs at a time.
+TABLES_PER_PROBE = 25
+
 
 class FrameSource:
     """Tables by name. A string is a catalog table, or a Parquet path if it holds a slash.
@@ -72,14 +75,24 @@ class FrameSource:
         return source_watermark(df, name, type_name).first()["watermark"]
 
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
-        """One job for all tables: each contributes at most one row above its checkpoint."""
-        probes = []
-        for table in tables:
-            if table.table in checkpoints:
-                df, name = self.frame(table.table), self._watermark(table)
-                newer = df.where(F.col(name) > watermark_literal(df, name, checkpoints[table.table]))
-                probes.append(newer.select(F.lit(table.table).alias("table")).limit(1))
-        return {row["table"] for row in reduce(DataFrame.union, probes).collect()} if probes else set()
+        """A job for every few tables: a name comes back if any row lies above its checkpoint.
+
+        Only the watermark columns are read, and of those the row groups that reach beyond
+        the checkpoint; each task hands on a name at most once. A checkpoint that is no
+        value of its column counts as news, so that the scan itself can refuse it.
+        """
+        known = [t for t in tables if t.table in checkpoints]
+
+        def probe(table: TableSync) -> DataFrame:
+            df, watermark = self.frame(table.table), self._watermark(table)
+            newer = above(df, watermark, checkpoints[table.table])
+            return df.where(newer).select(F.lit(table.table).alias("table"))
+
+        def names(group: list[TableSync]) -> list[str]:
+            return [r["table"] for r in union_all([probe(t) for t in group]).distinct().collect()]
+
+        groups = [known[i : i + TABLES_PER_PROBE] for i in range(0, len(known), TABLES_PER_PROBE)]
+        return {name for found in at_once(self.spark, names, groups) for name in found}
 
     def _watermark(self, table: TableSync) -> str:
         return find_column(self.frame(table.table).columns, table.watermark_column)
