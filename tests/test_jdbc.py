@@ -165,13 +165,29 @@ def test_an_idle_table_costs_one_query(spark):
 def test_a_scan_is_bounded_and_split_by_key(spark):
     columns = [resolve("id", "int"), resolve("updated_at", "datetime2")]
     mark = spark.createDataFrame([("2026-01-03 12:00:00.0000000",)], "watermark string")
-    source = Answers(spark, mark, spark.createDataFrame([(1, 900)], "low int, high int"), spark.range(1))
+    source = Answers(spark, mark, spark.createDataFrame([("1", "900")], "low string, high string"), spark.range(1))
     source.num_partitions = 8
     scan = source.scan(TABLE, columns, None)
     assert scan.bounded and scan.newest == "2026-01-03 12:00:00"
     assert source.asked[-1][1] == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "8"}
 
 
+def test_without_a_number_key_the_watermark_is_split(spark):
+    columns = [resolve("id", "uniqueidentifier"), resolve("updated_at", "datetime2")]
+    mark = spark.createDataFrame([("2026-01-03 12:00:00.0000000",)], "watermark string")
+    ends = spark.createDataFrame([("2020-01-01 00:00:00.0000000", "2026-01-03 12:00:00.0000000")], "low string, high string")
+    source = Answers(spark, mark, ends, spark.range(1))
+    source.num_partitions = 4
+    source.scan(TABLE, columns, None)
+    assert source.asked[1][0].startswith("SELECT CONVERT(varchar(27), MIN([updated_at]), 121) AS low, ")
+    assert source.asked[-1][1]["partitionColumn"] == "updated_at"
+    text = [resolve("id", "nvarchar"), resolve("updated_at", "nvarchar")]
+    source = Answers(spark, mark, spark.range(1))
+    source.num_partitions = 4
+    source.scan(TABLE, text, None)
+    assert source.asked[-1][1] == {}
+
+
 def test_tables_with_news_are_found_by_one_statement(spark):
     columns = [resolve("id", "int")]
     tables = [TableSync(n, "id", "id") for n in ("dbo.a", "dbo.b", "dbo.c")]

@@ -45,7 +45,7 @@ def last_value(spark, out, table=TABLE):
 def test_first_sync_takes_all_and_the_second_nothing(spark, out):
     first = sync(spark, out, customers(spark))
     assert (first.rows_fetched, first.rows_inserted, first.rows_updated) == (5, 5, 0)
-    assert first.text_fallback_columns == () and first.last_value == "2026-01-05 12:00:00"
+    assert first.text_fallback_columns == [] and first.last_value == "2026-01-05 12:00:00"
     version = SnapshotTarget(spark, f"{out}/dbo/customers").current().version
     second = sync(spark, out, customers(spark))
     assert second.rows_fetched == 0 and second.last_value == first.last_value
@@ -149,7 +149,7 @@ def test_tables_at_once_fail_alone(spark, out):
     tables = [dict(TABLE, table=n) for n in names]
     source = tm.FrameSource(spark, {n: customers(spark) for n in names[:3]}, {"dbo.bad": {"name": ("int",)}})
     result = tm.sync_tables_distributed(source, out, tables, spark=spark, raise_on_error=False)
-    assert [t.table for t in result["tables"]] == ["dbo.a", "dbo.c"] and result["total_rows_fetched"] == 10
+    assert [t["table"] for t in result["tables"]] == ["dbo.a", "dbo.c"] and result["total_rows_fetched"] == 10
     assert [f["tables"] for f in result["failures"]] == [["dbo.bad"], ["dbo.gone"]]
     with pytest.raises(RuntimeError, match="2 of 4 tables failed"):
         tm.sync_tables_distributed(source, out, tables, spark=spark)
@@ -260,7 +260,7 @@ def test_preflight_reports_and_writes_nothing(spark, out):
     frame = customers(spark).withColumn("place", F.array(F.lit(1)))
     source = tm.FrameSource(spark, {"dbo.customers": frame, "dbo.other": frame})
     tables = [TABLE, dict(TABLE, table="dbo.other", watermark_column="gone", primary_key=["ID", "line"])]
-    found = {r["table"]: r for r in tm.preflight(source, tables, output_uri=out, spark=spark).collect()}
+    found = {r["table"]: r for r in tm.preflight(source, tables, output_uri=out, spark=spark)}
     ready, other = found["dbo.customers"], found["dbo.other"]
     assert ready["ready"] and ready["watermark_present"] and ready["last_synced_value"] is None
     assert [c["name"] for c in ready["columns"]] == ["id", "name", "balance", "is_active", "updated_at", "place"]
@@ -269,11 +269,11 @@ def test_preflight_reports_and_writes_nothing(spark, out):
     assert not other["ready"] and not other["watermark_present"] and other["missing_primary_key_columns"] == ["line"]
     assert SnapshotTarget(spark, f"{out}/dbo/customers").current() is None
     sync(spark, out, customers(spark))
-    assert tm.preflight(source, [TABLE], output_uri=out, spark=spark).first()["last_synced_value"] == "2026-01-05 12:00:00"
-    assert tm.preflight(source, [TABLE], spark=spark).first()["last_synced_value"] is None
-    assert tm.preflight(source, [], spark=spark).count() == 0
+    assert tm.preflight(source, [TABLE], output_uri=out, spark=spark)[0]["last_synced_value"] == "2026-01-05 12:00:00"
+    assert tm.preflight(source, [TABLE], spark=spark)[0]["last_synced_value"] is None
+    assert tm.preflight(source, [], spark=spark) == []
     binary = tm.FrameSource(spark, {"dbo.customers": frame.withColumn("rv", F.lit(b"1"))}, {"dbo.customers": {"rv": ("rowversion",)}})
-    row = tm.preflight(binary, [dict(TABLE, watermark_column="rv")], spark=spark).first()
+    row = tm.preflight(binary, [dict(TABLE, watermark_column="rv")], spark=spark)[0]
     assert not row["ready"] and "binary" in row["watermark_problem"]
     with pytest.raises(TableNotFoundError):
         tm.preflight(source, [dict(TABLE, table="dbo.gone")], spark=spark)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from tidemark.config import SyncConfig, TableSync
+from tidemark.config import SyncConfig, TableSync, build_catalog
 from tidemark.errors import in_table, translate
 from tidemark.operators.catalog import config_frame, described_frame, preflight_frame
 from tidemark.plans.sync import _session, _source
@@ -12,7 +12,6 @@ from tidemark.sinks.checkpoint import CHECKPOINT_SCHEMA, CheckpointStore
 from tidemark.sinks.snapshot import Commit, SnapshotTarget
 from tidemark.sources import Source
 from tidemark.sources.base import require_columns
-from tidemark.config import build_catalog
 
 
 def source_watermark(
@@ -88,8 +87,8 @@ def preflight(
     login_timeout_sec: int | None = 30,
     query_timeout_sec: int | None = 300,
     spark: SparkSession | None = None,
-) -> DataFrame:
-    """What a sync would do, one row per table. Writes nothing.
+) -> list[Row]:
+    """What a sync would do, one row per table in configured order. Writes nothing.
 
     A missing table raises; a missing column only makes its table not ready. Without
     ``output_uri`` no checkpoint is read.
@@ -111,6 +110,8 @@ def preflight(
             if config.checkpoint_uri
             else spark.createDataFrame([], CHECKPOINT_SCHEMA)
         )
-        return preflight_frame(config_frame(spark, catalog), described, checkpoints)
+        found = preflight_frame(config_frame(spark, catalog), described, checkpoints).collect()
     except Exception as e:  # noqa: BLE001 - translated and raised again
         raise translate(e, reader.secrets) from None
+    place = {entry.table: i for i, entry in enumerate(catalog)}
+    return sorted(found, key=lambda row: place[row["table"]])

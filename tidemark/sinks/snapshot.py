@@ -32,6 +32,10 @@ from tidemark.sinks.storage import storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 
+# One task may write a whole table, read over one connection; files stay small enough to be
+# rewritten one by one all the same.
+MAX_ROWS_PER_FILE = 5_000_000
+
 # Beyond this many runs the target is worth pruning by several key ranges instead of one.
 FINE_RANGES_ABOVE_RUNS = 16
 KEY_RANGES = 64
@@ -121,7 +125,7 @@ class SnapshotTarget:
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
         run = uuid.uuid4().hex
-        df.write.parquet(self._run_uri(run))
+        df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(self._run_uri(run))
         return Staged(self.spark.read.schema(df.schema).parquet(self._run_uri(run)), run)
 
     def discard(self, staged: Staged) -> None:

@@ -184,19 +184,31 @@ class JdbcSource:
         return Scan(self.query(sql, **self._split(table, columns, sql)), newest, bounded=True)
 
     def _split(self, table: TableSync, columns: list[ColumnSpec], sql: str) -> dict[str, str]:
-        """Reader options that cut one table into key ranges, read by as many tasks."""
-        key = find_column([c.name for c in columns], table.primary_key[0])
-        spec = next((c for c in columns if c.name == key), None)
-        if self.num_partitions < 2 or spec is None or not isinstance(spec.spark_type, T.IntegralType):
+        """Reader options that cut one table into ranges, read by as many tasks.
+
+        The ranges are of the first whole-number key column, else of the watermark if Spark
+        can cut it. Either is safe: a row that is changed during the read leaves the bounded
+        scan altogether and comes with the next run.
+        """
+        if self.num_partitions < 2:
+            return {}
+        keys = [find_column([c.name for c in columns], k) for k in table.primary_key]
+        whole = [c for c in columns if c.name in keys and isinstance(c.spark_type, T.IntegralType)]
+        watermark = _watermark_spec(table, columns)
+        cuttable = isinstance(watermark.spark_type, (T.IntegralType, T.DateType, T.TimestampType))
+        spec = whole[0] if whole else watermark if cuttable and watermark.type_name != "datetimeoffset" else None
+        if spec is None:
             return {}
-        k = quoted(key)
-        low, high = self.query(f"SELECT MIN({k}) AS low, MAX({k}) AS high FROM ({sql}) AS keys").first()
-        if low is None or low == high:
+        name = quoted(spec.name)
+        shape = WATERMARK_TEXT.get(spec.type_name, WATERMARK_TEXT_OTHERWISE)
+        low, high = (shape.format(w=f"{f}({name})") for f in ("MIN", "MAX"))
+        bounds = self.query(f"SELECT {low} AS low, {high} AS high FROM ({sql}) AS ends").first()
+        if bounds[0] is None or bounds[0] == bounds[1]:
             return {}
         return {
-            "partitionColumn": key,
-            "lowerBound": str(low),
-            "upperBound": str(high),
+            "partitionColumn": spec.name,
+            "lowerBound": str(bounds[0]),
+            "upperBound": str(bounds[1]),
             "numPartitions": str(self.num_partitions),
         }
 
