@@ -279,6 +279,16 @@ def test_preflight_reports_and_writes_nothing(spark, out):
         tm.preflight(source, [dict(TABLE, table="dbo.gone")], spark=spark)
 
 
+def test_clean_up_covers_tables_and_checkpoints(spark, out):
+    sync(spark, out, customers(spark, n=3))
+    sync(spark, out, customers(spark))
+    assert tm.vacuum(out, [TABLE], spark=spark) == 0
+    store = CheckpointStore(spark, f"{out}/_streamer_checkpoints").target(TableSync.of(TABLE))
+    assert len(store.storage.list(f"{store.uri}/data")) == 2
+    assert store._vacuum_before(4_000_000_000) == 1
+    assert last_value(spark, out) == "2026-01-05 12:00:00" and target(spark, out).count() == 5
+
+
 def test_two_writers_of_one_table_never_mix(spark, out):
     """However two runs of the same table interleave, each row ends up there exactly once."""
     sync(spark, out, customers(spark, n=2))

@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -128,6 +130,27 @@ def test_many_runs_are_pruned_by_several_key_ranges(spark, out, monkeypatch):
     assert table.read().count() == 5002
 
 
+def test_many_small_runs_are_written_together(spark, out, monkeypatch):
+    monkeypatch.setattr(snapshot, "FOLD_ABOVE_RUNS", 3)
+    table = SnapshotTarget(spark, out)
+    for i in range(4):
+        merge(table, spark.createDataFrame([(i, f"n{i}", i)], PEOPLE))
+    assert len(table.current().runs) == 4
+    stats = merge(table, spark.createDataFrame([(0, "again", 9), (9, "new", 9)], PEOPLE))
+    assert (stats.rows_inserted, stats.rows_updated) == (1, 1) and len(table.current().runs) == 1
+    assert rows(table.read()) == [(0, "again", 9), (1, "n1", 1), (2, "n2", 2), (3, "n3", 3), (9, "new", 9)]
+
+
+def test_the_merge_statement_for_a_lakehouse_table_parses(spark):
+    from tidemark.sinks.delta import DeltaTarget, merge_sql
+
+    text = merge_sql("delta.`/lake/t`", ["a", "b"]).format(delta="v")
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in parsed
+    with pytest.raises(SettingError, match="not configured"):
+        DeltaTarget(spark, "/lake/t", "/lake/_staging")
+
+
 def test_a_lost_race_is_reported_and_changes_nothing(spark, out):
     table = SnapshotTarget(spark, out)
     merge(table, spark.createDataFrame([(1, "a", 1)], PEOPLE))
@@ -140,6 +163,29 @@ def test_a_lost_race_is_reported_and_changes_nothing(spark, out):
     assert rows(table.read()) == [(1, "a", 1), (2, "b", 2)]
 
 
+def test_of_many_writers_at_the_same_moment_one_commits(spark, out):
+    table = SnapshotTarget(spark, out)
+    base = table.open_or_create(spark.createDataFrame([], PEOPLE).schema)
+    start, won, lost = threading.Barrier(8), [], []
+
+    def commit(i):
+        start.wait()
+        try:
+            won.append(table.commit(base, base.schema, {}).version)
+        except ConcurrentWriteError:
+            lost.append(i)
+
+    for _ in range(5):
+        threads = [threading.Thread(target=commit, args=(i,)) for i in range(8)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        base = table.current()
+    assert won == [1, 2, 3, 4, 5] and len(lost) == 35
+    assert all(n.endswith(".json") for n, _ in table.storage.list(f"{out}/commits"))
+
+
 def test_what_was_never_committed_is_invisible(spark, out):
     table = SnapshotTarget(spark, out)
     merge(table, spark.createDataFrame([(1, "a", 1)], PEOPLE))

@@ -2,7 +2,7 @@
 
 from tidemark.config import SyncConfig, TableSync
 from tidemark.errors import ConcurrentWriteError
-from tidemark.plans.handover import bulk_load, delete_checkpoint, preflight, set_checkpoint, source_watermark
+from tidemark.plans.handover import bulk_load, delete_checkpoint, preflight, set_checkpoint, source_watermark, vacuum
 from tidemark.plans.sync import (
     SyncReport,
     TableSyncStats,
@@ -28,4 +28,5 @@ __all__ = [
     "source_watermark",
     "sync_tables",
     "sync_tables_distributed",
+    "vacuum",
 ]

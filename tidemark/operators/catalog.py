@@ -90,41 +90,36 @@ def preflight_frame(config: DataFrame, described: DataFrame, checkpoints: DataFr
     An unmapped column type never makes a table unready. A binary watermark does, because
     its text form has no order.
     """
-    column = F.struct(
-        "ordinal",
-        F.col("column_name").alias("name"),
-        F.col("data_type").alias("source_type"),
-        F.col("spark_type"),
-        F.col("recognised"),
+    named = F.lower("column_name")
+    column = F.when(
+        named.isNotNull(),
+        F.struct("ordinal", F.col("column_name").alias("name"), F.col("data_type").alias("source_type"), "spark_type", "recognised"),
     )
-    found = described.where(F.col("column_name").isNotNull()).groupBy("table").agg(
-        F.sort_array(F.collect_list(column)).alias("columns")
-    )
-    joined = config.join(found, "table", "left").join(
-        checkpoints.select(F.col("table_name").alias("table"), F.col("last_value").alias("last_synced_value")),
-        "table",
-        "left",
-    )
-    columns = F.coalesce("columns", F.array())
-
-    def is_named(wanted):
-        return F.exists(F.col("columns"), lambda c: F.lower(c["name"]) == F.lower(wanted))
-
-    binary = F.exists(
-        F.col("columns"),
-        lambda c: (F.lower(c["name"]) == F.lower("watermark_column")) & (c["spark_type"] == "binary"),
+    is_watermark = named == F.lower("watermark_column")
+    anywhere = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
+    # A table has at most as many rows here as the source allows it columns.
+    found = (
+        config.select("table", "watermark_column", "primary_key")
+        .join(described, "table", "left")
+        .groupBy("table", "watermark_column", "primary_key")
+        .agg(
+            F.sort_array(F.collect_list(column)).alias("columns"),
+            F.collect_set(named).alias("__names"),
+            anywhere(is_watermark).alias("watermark_present"),
+            anywhere(is_watermark & (F.col("spark_type") == "binary")).alias("__binary"),
+        )
     )
-    checked = joined.withColumn("columns", columns).select(
+    missing = F.filter("primary_key", lambda key: ~F.array_contains("__names", F.lower(key)))
+    problem = F.when(F.col("__binary"), F.lit("the watermark column is binary; its text form has no order"))
+    marks = checkpoints.select(F.col("table_name").alias("table"), F.col("last_value").alias("last_synced_value"))
+    return found.join(marks, "table", "left").select(
         "table",
         "columns",
-        is_named(F.col("watermark_column")).alias("watermark_present"),
-        F.filter("primary_key", lambda key: ~is_named(key)).alias("missing_primary_key_columns"),
+        "watermark_present",
+        missing.alias("missing_primary_key_columns"),
         "last_synced_value",
-        F.when(binary, F.lit("the watermark column is binary; its text form has no order")).alias("watermark_problem"),
-    )
-    return checked.withColumn(
-        "ready",
-        F.col("watermark_present") & (F.size("missing_primary_key_columns") == 0) & F.col("watermark_problem").isNull(),
+        problem.alias("watermark_problem"),
+        (F.col("watermark_present") & (F.size(missing) == 0) & ~F.col("__binary")).alias("ready"),
     )
 
 

@@ -9,7 +9,8 @@ from tidemark.errors import in_table, translate
 from tidemark.operators.catalog import config_frame, described_frame, preflight_frame
 from tidemark.plans.sync import _session, _source
 from tidemark.sinks.checkpoint import CHECKPOINT_SCHEMA, CheckpointStore
-from tidemark.sinks.snapshot import Commit, SnapshotTarget
+from tidemark.sinks.snapshot import MIN_RETAIN_HOURS, Commit, SnapshotTarget
+from tidemark.sinks.storage import at_once
 from tidemark.sources import Source
 from tidemark.sources.base import require_columns
 
@@ -78,6 +79,25 @@ def bulk_load(output_uri: str, table: TableSync | dict, rows: DataFrame) -> Comm
     return SnapshotTarget(rows.sparkSession, uri).publish(rows)
 
 
+def vacuum(
+    output_uri: str,
+    tables,
+    *,
+    checkpoint_uri: str | None = None,
+    retain_hours: float = MIN_RETAIN_HOURS,
+    spark: SparkSession | None = None,
+) -> int:
+    """Removes superseded files of the tables and of their checkpoints; returns how many.
+
+    To be scheduled: every sync of every table leaves a superseded checkpoint behind.
+    """
+    config, spark = SyncConfig(output_uri, checkpoint_uri).validate(), _session(spark)
+    store = CheckpointStore(spark, config.checkpoint_uri)
+    catalog = build_catalog(tables)
+    targets = [SnapshotTarget(spark, config.table_uri(t.table)) for t in catalog] + [store.target(t) for t in catalog]
+    return sum(at_once(spark, lambda target: target.vacuum(retain_hours), targets))
+
+
 def preflight(
     source: Source | str,
     tables,

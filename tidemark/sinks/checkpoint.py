@@ -33,12 +33,12 @@ class CheckpointStore:
     spark: SparkSession
     uri: str
 
-    def _target(self, table: TableSync) -> SnapshotTarget:
+    def target(self, table: TableSync) -> SnapshotTarget:
         return SnapshotTarget(self.spark, join_uri(self.uri, table.path))
 
     def _paths(self, tables: list[TableSync]) -> list[str]:
         def current(table: TableSync) -> list[str]:
-            target = self._target(table)
+            target = self.target(table)
             commit = target.current()
             return target.paths(commit.runs) if commit else []
 
@@ -84,11 +84,11 @@ class CheckpointStore:
             F.lit(last_value).alias("last_value"),
             F.current_timestamp().alias("synced_at"),
         )
-        self._target(table).publish(row)
+        self.target(table).publish(row)
 
     def delete(self, table: TableSync) -> None:
         """Forgets the table: its next sync is a full one."""
-        target = self._target(table)
+        target = self.target(table)
         base = target.current()
         if base is not None and base.runs:
             target.commit(base, CHECKPOINT_SCHEMA, {})

@@ -7,12 +7,9 @@ this package, so this module is only reachable when the session is configured fo
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
-from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConcurrentWriteError, SettingError
@@ -76,16 +73,8 @@ class DeltaTarget:
         if not stats.rows_fetched:
             return stats
         delta = last_writer(staged.frame, keys, watermark) if stats.rows_superseded else staged.frame
-        on = reduce(and_, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in keys])
-        merge = (
-            delta.alias("source")
-            .mergeInto(self.identifier, on)
-            .whenMatched().updateAll()
-            .whenNotMatched().insertAll()
-            .withSchemaEvolution()
-        )
         try:
-            merge.merge()
+            self.spark.sql(merge_sql(self.identifier, keys), delta=delta)
         except Exception as e:  # noqa: BLE001 - only commit races are handled, the rest is raised again
             if any(name in str(e) for name in _CONFLICTS):
                 raise ConcurrentWriteError("another writer committed first; run again") from None
@@ -103,3 +92,12 @@ class DeltaTarget:
         if retain_hours < MIN_RETAIN_HOURS:
             raise SettingError(f"retention must be at least {MIN_RETAIN_HOURS} hours")
         self.spark.sql(f"VACUUM {self.identifier} RETAIN {retain_hours} HOURS")
+
+
+def merge_sql(identifier: str, keys: list[str]) -> str:
+    """Matched rows take all of the delta's columns, others are inserted, none is deleted."""
+    on = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
+    return (
+        f"MERGE WITH SCHEMA EVOLUTION INTO {identifier} AS target USING {{delta}} AS source ON {on} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )

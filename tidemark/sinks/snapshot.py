@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.functions.render import render_text
 from tidemark.operators.upsert import apply_updates, has_key, last_writer, new_rows, require_keys
-from tidemark.sinks.storage import storage
+from tidemark.sinks.storage import at_once, storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 
@@ -36,6 +36,10 @@ MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 # rewritten one by one all the same.
 MAX_ROWS_PER_FILE = 5_000_000
 
+# Beyond this many runs a merge also joins the small ones.
+FOLD_ABOVE_RUNS = 256
+FOLD_BELOW_BYTES = 64 * 1024 * 1024
+
 # Beyond this many runs the target is worth pruning by several key ranges instead of one.
 FINE_RANGES_ABOVE_RUNS = 16
 KEY_RANGES = 64
@@ -174,6 +178,7 @@ class SnapshotTarget:
         delta = staged.frame.toDF(*[spelled[n.lower()] for n in staged.frame.columns])
         keys = [spelled[k.lower()] for k in keys]
         touched, updated = self._touched(base, delta, keys, totals) if base.runs else ({}, 0)
+        touched = {**touched, **self._small_runs(base)}
         if not touched:
             self.commit(base, schema, {**base.runs, staged.run: None})
             return MergeStats(fetched, fetched - superseded, 0, superseded, totals["newest"])
@@ -217,6 +222,14 @@ class SnapshotTarget:
                 ]
         return {r: names for r, names in touched.items() if names}, sum(r["count"] for r in hits)
 
+    def _small_runs(self, base: Commit) -> dict[str, list[str]]:
+        """Runs to be written together, once small changes have left very many of them."""
+        if len(base.runs) <= FOLD_ABOVE_RUNS:
+            return {}
+        sizes = at_once(self.spark, self.storage.size, [self._run_uri(run) for run in base.runs])
+        small = [run for run, size in zip(base.runs, sizes) if size < FOLD_BELOW_BYTES]
+        return {run: base.runs[run] or self._names(run) for run in small}
+
     def _without(self, runs: dict, touched: dict[str, list[str]]) -> dict[str, list[str] | None]:
         kept = {}
         for run, names in runs.items():

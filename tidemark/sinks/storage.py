@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -17,6 +18,8 @@ from tidemark.errors import ConcurrentWriteError, TargetError
 # Metadata calls wait for the store, so several are under way at a time.
 CALLS_AT_ONCE = 16
 
+_RACE = "another writer committed first; run again"
+
 _known: WeakKeyDictionary = WeakKeyDictionary()
 
 
@@ -64,6 +67,10 @@ class Storage:
             raise TargetError(f"cannot list {uri}") from None
         return [(s.getPath().getName(), s.getModificationTime()) for s in entries]
 
+    def size(self, uri: str) -> int:
+        fs, path = self._fs(uri)
+        return fs.getContentSummary(path).getLength()
+
     def read_json(self, uri: str) -> dict:
         fs, path = self._fs(uri)
         try:
@@ -78,16 +85,20 @@ class Storage:
     def create_json(self, folder: str, name: str, content: dict) -> None:
         """Publishes a complete file under a name that must not exist yet.
 
-        Written aside first and renamed without overwrite: a reader sees the whole file or
-        none, and the second of two writers fails. HDFS and ABFS do the rename atomically;
-        local disk and plain object stores check and then rename.
+        Written aside first, then given its name unless that is taken: a reader sees the
+        whole file or none, and the second of two writers fails. Local disk (a hard link),
+        HDFS and ABFS (a rename) do that atomically; plain object stores check, then rename.
         """
         fs, target = self._fs(f"{folder}/{name}")
         aside = self._path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+        text = json.dumps(content).encode()
+        if fs.getScheme() == "file":
+            self._link(fs.makeQualified(aside).toUri().getPath(), fs.makeQualified(target).toUri().getPath(), text)
+            return
         try:
             out = fs.create(aside, False)
             try:
-                out.write(bytearray(json.dumps(content), "utf-8"))
+                out.write(bytearray(text))
             finally:
                 out.close()
         except Py4JJavaError:
@@ -100,9 +111,23 @@ class Storage:
         except Py4JJavaError as e:
             fs.delete(aside, False)
             if _is(e, "FileAlreadyExistsException"):
-                raise ConcurrentWriteError("another writer committed first; run again") from None
+                raise ConcurrentWriteError(_RACE) from None
             raise TargetError(f"cannot write {folder}/{name}") from None
 
+    @staticmethod
+    def _link(aside: str, target: str, text: bytes) -> None:
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        with open(aside, "xb") as file:
+            file.write(text)
+            file.flush()
+            os.fsync(file.fileno())
+        try:
+            os.link(aside, target)
+        except FileExistsError:
+            raise ConcurrentWriteError(_RACE) from None
+        finally:
+            os.unlink(aside)
+
     def delete(self, uri: str) -> None:
         fs, path = self._fs(uri)
         fs.delete(path, True)
