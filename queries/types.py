@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from queries.common import load, plain, ts_text
 from tidemark.functions.conform import conform, decimal_fits
 from tidemark.functions.render import hex_text, render_text
-from tidemark.functions.typemap import resolve, resolve_columns
+from tidemark.functions.typemap import describe_schema, resolve, resolve_columns
 
 # Source type names met in a catalog, in several spellings, some of them unmapped.
 NAMES = [
@@ -183,8 +183,6 @@ def hex_documents(spark, sf):
 def text_fallback_embeddings(spark, sf):
     """A type without any mapping becomes text; its length in elements survives."""
     vectors = load(spark, sf, "embeddings")
-    from tidemark.functions.typemap import describe_schema
-
     typed = conform(vectors, describe_schema(vectors.schema))
     return typed.select("vec_id", "label", F.size(F.split("embedding", ", ")).alias("elements"))
 

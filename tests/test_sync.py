@@ -30,7 +30,7 @@ def customers(spark, *extra, n=5):
 
 
 def sync(spark, out, frame, table=TABLE, **kwargs):
-    return tm.sync_tables(tm.FrameSource(spark, {table["table"]: frame}), out, [table], spark=spark, **kwargs).tables[0]
+    return tm.sync_table(tm.FrameSource(spark, {table["table"]: frame}), out, table, spark=spark, **kwargs)
 
 
 def target(spark, out, name="dbo/customers"):
@@ -328,6 +328,15 @@ def test_any_slicing_equals_a_full_sync(spark, tmp_path_factory, changes, cuts):
     assert got == sorted((k, w, f"{k}@{w}") for k, w in now.items())
 
 
+def test_a_path_is_looked_up_for_every_run(spark, out, tmp_path):
+    path = str(tmp_path / "source")
+    source = tm.FrameSource(spark, {"dbo.customers": path})
+    customers(spark, n=2).write.parquet(path)
+    assert tm.sync_table(source, out, TABLE, spark=spark).rows_fetched == 2
+    customers(spark).where("id > 2").write.mode("append").parquet(path)
+    assert tm.sync_table(source, out, TABLE, spark=spark).rows_fetched == 3
+
+
 def test_a_session_outside_utc_is_refused(spark, out):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

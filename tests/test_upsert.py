@@ -3,7 +3,6 @@ import threading
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.operators.upsert import last_writer, upsert, upsert_metrics

@@ -7,6 +7,7 @@ from tidemark.plans.sync import (
     SyncReport,
     TableSyncStats,
     plan_concurrency,
+    sync_table,
     sync_tables,
     sync_tables_distributed,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "preflight",
     "set_checkpoint",
     "source_watermark",
+    "sync_table",
     "sync_tables",
     "sync_tables_distributed",
     "vacuum",

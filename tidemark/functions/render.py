@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 def render_text(c: Column, raw: T.DataType, type_name: str = "") -> Column:
     """Text of ``c``, whose Spark type is ``raw``; NULL stays NULL.
 

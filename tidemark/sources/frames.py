@@ -24,7 +24,8 @@ TABLES_PER_PROBE = 25
 
 
 class FrameSource:
-    """Tables by name. A string is a catalog table, or a Parquet path if it holds a slash.
+    """Tables by name. A string is a catalog table, or a Parquet path if it holds a slash; it is
+    looked up anew for every run, while a DataFrame keeps the files it was made of.
 
     ``declared`` gives source types where they say more than the Spark schema does:
     ``{"dbo.t": {"amount": ("decimal", 10, 2), "id": ("uniqueidentifier",)}}``.
@@ -40,19 +41,23 @@ class FrameSource:
     ):
         self.spark = spark
         self._tables = {name.lower(): frame for name, frame in tables.items()}
+        self._looked_up: dict[str, DataFrame] = {}
         self._declared = {name.lower(): dict(spec) for name, spec in (declared or {}).items()}
 
     def configure(self, config: SyncConfig) -> None:
-        """Nothing to set: Spark reads these tables by its own split size."""
+        """A new run begins. There are no limits to set: Spark reads by its own split size."""
+        self._looked_up = {}
 
     def frame(self, table: str) -> DataFrame:
         found = self._tables.get(table.lower())
         if found is None:
             raise in_table(TableNotFoundError("the source has no such table"), table)
-        if isinstance(found, str):
-            found = self.spark.read.parquet(found) if "/" in found else self.spark.table(found)
-            self._tables[table.lower()] = found
-        return found
+        if isinstance(found, DataFrame):
+            return found
+        if table.lower() not in self._looked_up:
+            read = self.spark.read.parquet if "/" in found else self.spark.table
+            self._looked_up[table.lower()] = read(found)
+        return self._looked_up[table.lower()]
 
     def describe(self, tables: list[TableSync]) -> dict[str, list[ColumnSpec]]:
         return {

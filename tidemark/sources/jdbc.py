@@ -24,6 +24,7 @@ from tidemark.errors import (
 )
 from tidemark.functions.typemap import ColumnSpec, find_column, resolve
 from tidemark.operators.catalog import config_frame, match_catalog
+from tidemark.sinks.storage import at_once
 from tidemark.sources.base import Scan
 
 # Types whose text the source renders, and the SQL that does it.
@@ -68,6 +69,10 @@ _DATABASE_KEYS = ("database", "initial catalog")
 _USER_KEYS = ("user id", "uid", "user")
 _UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "Zulu", "Etc/GMT", "Universal", "Etc/Universal", "UCT", "Etc/UCT")
 
+# Of how many tables one statement asks the greatest watermark.
+TABLES_PER_STATEMENT = 100
+MAX_ZONE_TASKS = 1000
+
 
 @dataclass
 class JdbcSource:
@@ -116,9 +121,9 @@ class JdbcSource:
     # ------------------------------------------------------------------ reading
 
     def configure(self, config: SyncConfig) -> None:
-        zone = self.spark._jvm.java.util.TimeZone.getDefault().getID()
-        if zone not in _UTC_ZONES:
-            raise SettingError(f"the JVM runs in zone {zone}; JDBC timestamps need -Duser.timezone=UTC")
+        for zone in self._zones():
+            if zone not in _UTC_ZONES:
+                raise SettingError(f"a JVM runs in zone {zone}; JDBC timestamps need -Duser.timezone=UTC everywhere")
         self._limits = {"fetchsize": str(config.fetch_batch_size)}
         if config.login_timeout_sec is not None:
             self._limits["loginTimeout"] = str(config.login_timeout_sec)
@@ -126,6 +131,13 @@ class JdbcSource:
             # The driver's read time-out: how long one read may wait, not the whole query.
             self._limits["socketTimeout"] = str(config.query_timeout_sec * 1000)
 
+    def _zones(self) -> set[str]:
+        """The default zones of the driver and of the executors that take part in a small job."""
+        driver = self.spark._jvm.java.time.ZoneId.systemDefault().getId()
+        tasks = min(self.spark.sparkContext.defaultParallelism, MAX_ZONE_TASKS)
+        asked = self.spark.range(0, tasks, 1, tasks).selectExpr("reflect('java.time.ZoneId', 'systemDefault') AS zone")
+        return {driver, *(row["zone"] for row in asked.distinct().collect())}
+
     def query(self, sql: str, **split) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.reader_options(sql, **split)).load()
 
@@ -163,18 +175,20 @@ class JdbcSource:
         return tidy_watermark(row[0], _watermark_spec(table, columns)) if row else None
 
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
-        """One statement asks every table for its greatest watermark."""
+        """One statement asks many tables for their greatest watermarks."""
         known = [t for t in tables if t.table in checkpoints]
-        if not known:
-            return set()
-        sql = " UNION ALL ".join(max_sql(t, described[t.table], label=True) for t in known)
         specs = {t.table: _watermark_spec(t, described[t.table]) for t in known}
-        rows = self.query(sql).toDF("table", "watermark").collect()
-        return {
-            r["table"]
-            for r in rows
-            if r["watermark"] is not None and tidy_watermark(r["watermark"], specs[r["table"]]) != checkpoints[r["table"]]
-        }
+
+        def news(group: list[TableSync]) -> list[str]:
+            sql = " UNION ALL ".join(max_sql(t, described[t.table], label=True) for t in group)
+            return [
+                name
+                for name, newest in self.query(sql).collect()
+                if newest is not None and tidy_watermark(newest, specs[name]) != checkpoints[name]
+            ]
+
+        groups = [known[i : i + TABLES_PER_STATEMENT] for i in range(0, len(known), TABLES_PER_STATEMENT)]
+        return {name for found in at_once(self.spark, news, groups) for name in found}
 
     def scan(self, table: TableSync, columns: list[ColumnSpec], last_value: str | None) -> Scan | None:
         newest = self.watermark(table, columns)
