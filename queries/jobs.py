@@ -154,6 +154,16 @@ def forced_resync(spark, sf):
     return _target(spark, out, "customer")
 
 
+def rebuild_from_source(spark, sf):
+    """Orders that have since been deleted at the source leave the target; the next sync is idle."""
+    out, orders = work_dir(spark), load(spark, sf, "orders")
+    tm.sync_tables(_source(spark, sf, "orders"), out, [entry("orders")], spark=spark)
+    left = _source(spark, sf, orders=orders.where("o_orderstatus <> 'F'"))
+    tm.rebuild_table(left, out, entry("orders"), spark=spark)
+    later = tm.sync_table(left, out, entry("orders"), spark=spark)
+    return _target(spark, out, "orders").withColumn("fetched_later", F.lit(later.rows_fetched).cast("bigint"))
+
+
 ORDERS_SQL = "SELECT * FROM orders"
 
 
@@ -196,7 +206,8 @@ QUERIES = {
         parallel_sync_report,
         " UNION ALL ".join(
             f"SELECT 'dbo.{t}' AS \"table\", count(*) AS rows_fetched, "
-            f"count(DISTINCT ({', '.join(KEYS[t])})) AS rows_inserted, '{'embedding' if t == 'embeddings' else ''}' AS text_fallback_columns FROM {t}"
+            f"count(DISTINCT ({', '.join(KEYS[t])})) AS rows_inserted, "
+            f"'{'embedding' if t == 'embeddings' else ''}' AS text_fallback_columns FROM {t}"
             for t in KEYS
         ),
     ),
@@ -227,4 +238,8 @@ QUERIES = {
         "SELECT *, (SELECT count(*) FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01') AS rows_fetched FROM orders",
     ),
     "forced_resync": (forced_resync, "SELECT * FROM customer"),
+    "rebuild_from_source": (
+        rebuild_from_source,
+        "SELECT *, CAST(0 AS BIGINT) AS fetched_later FROM orders WHERE o_orderstatus <> 'F'",
+    ),
 }

@@ -279,6 +279,30 @@ def test_preflight_reports_and_writes_nothing(spark, out):
         tm.preflight(source, [dict(TABLE, table="dbo.gone")], spark=spark)
 
 
+@pytest.mark.parametrize("expression", ["cast(concat('s3cret', id) as int)", "cast(id * 1234567.5 as decimal(5,1))", "id * 2147483647"])
+def test_a_source_expression_that_fails_does_not_show_its_value(spark, out, expression):
+    broken = customers(spark).withColumn("name", F.expr(expression))
+    with pytest.raises(ValueError, match="^dbo.customers: a source value cannot be converted") as caught:
+        sync(spark, out, broken)
+    assert "s3cret" not in str(caught.value) and "1234567" not in str(caught.value)
+
+
+def test_a_rebuild_drops_deleted_rows_and_takes_new_types(spark, out):
+    sync(spark, out, customers(spark))
+    smaller = customers(spark, n=3).withColumn("name", F.length("name"))
+    source = tm.FrameSource(spark, {"dbo.customers": smaller})
+    with pytest.raises(ValueError, match="column name is int"):
+        tm.delete_checkpoint(out, TABLE, spark=spark)
+        tm.sync_table(source, out, TABLE, spark=spark)
+    stats = tm.rebuild_table(source, out, TABLE, spark=spark)
+    assert (stats.rows_fetched, stats.rows_inserted, stats.rows_updated) == (3, 3, 0)
+    assert target(spark, out).count() == 3 and last_value(spark, out) == "2026-01-03 12:00:00"
+    assert tm.sync_table(source, out, TABLE, spark=spark).rows_fetched == 0
+    nothing = tm.FrameSource(spark, {"dbo.customers": smaller.where("false")})
+    tm.rebuild_table(nothing, out, TABLE, spark=spark)
+    assert target(spark, out).count() == 0 and last_value(spark, out) is None
+
+
 def test_clean_up_covers_tables_and_checkpoints(spark, out):
     sync(spark, out, customers(spark, n=3))
     sync(spark, out, customers(spark))

@@ -7,6 +7,7 @@ from tidemark.plans.sync import (
     SyncReport,
     TableSyncStats,
     plan_concurrency,
+    rebuild_table,
     sync_table,
     sync_tables,
     sync_tables_distributed,
@@ -25,6 +26,7 @@ __all__ = [
     "delete_checkpoint",
     "plan_concurrency",
     "preflight",
+    "rebuild_table",
     "set_checkpoint",
     "source_watermark",
     "sync_table",

@@ -74,6 +74,9 @@ class ConcurrentWriteError(SyncError, RuntimeError):
 INVALID_VALUE = "value in column {column} is not a valid {expected}"
 _INVALID_VALUE_RE = re.compile(r"value in column (?P<column>.+?) is not a valid (?P<expected>[a-z]+(\(\d+,\d+\))?)")
 
+# Spark names the condition, then the value, then an SQLSTATE of class 22 for bad data.
+_DATA_ERROR_RE = re.compile(r"\[(?P<condition>[A-Z_]+)[^\]]*\](?:(?!SQLSTATE).)*SQLSTATE: 22", re.DOTALL)
+
 # Fixed text: fragments by which JDBC drivers report an unreachable source.
 _CONNECT_MARKERS = (
     "login failed",
@@ -122,6 +125,9 @@ def translate(error: BaseException, secrets=()) -> BaseException:
     invalid = _INVALID_VALUE_RE.search(text)
     if invalid:
         return InvalidValueError(INVALID_VALUE.format(**invalid.groupdict()))
+    bad_data = _DATA_ERROR_RE.search(text)
+    if bad_data:
+        return InvalidValueError(f"a source value cannot be converted ({bad_data['condition']})")
     first_line = next((line.strip() for line in text.splitlines() if line.strip()), "Spark job failed")
     lowered = text.lower()
     if any(marker in lowered for marker in _CONNECT_MARKERS):

@@ -126,6 +126,10 @@ class SnapshotTarget:
         base = self.open(schema)
         return base if base.version >= 0 else self.commit(base, schema, {})
 
+    def emptied(self, schema: T.StructType) -> Commit:
+        """A base without rows whose successor replaces whatever the table holds."""
+        return Commit(self.open(schema).version, schema, {})
+
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
         run = uuid.uuid4().hex
