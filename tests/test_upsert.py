@@ -185,6 +185,27 @@ def test_of_many_writers_at_the_same_moment_one_commits(spark, out):
     assert all(n.endswith(".json") for n, _ in table.storage.list(f"{out}/commits"))
 
 
+@pytest.mark.parametrize("scheme", ["linkless mount", "hadoop"])
+def test_other_stores_refuse_a_taken_name_too(spark, out, monkeypatch, scheme):
+    table = SnapshotTarget(spark, out)
+    if scheme == "hadoop":
+        fs, _ = table.storage._fs(out)
+        create = lambda name: _through_rename(table.storage, fs, f"{out}/commits", name)
+    else:
+        monkeypatch.setattr("os.link", lambda *a: (_ for _ in ()).throw(PermissionError()))
+        create = lambda name: table.storage.create_json(f"{out}/commits", name, {"a": 1})
+    create("1.json")
+    with pytest.raises(Exception, match="committed first|already exists|FileAlreadyExists"):
+        create("1.json")
+    assert [n for n, _ in table.storage.list(f"{out}/commits") if n.endswith(".json")].count("1.json") == 1
+
+
+def _through_rename(storage, fs, folder, name):
+    aside = storage._path(f"{folder}/.{name}.aside")
+    fs.create(aside, True).close()
+    storage._rename(fs, aside, storage._path(f"{folder}/{name}"))
+
+
 def test_what_was_never_committed_is_invisible(spark, out):
     table = SnapshotTarget(spark, out)
     merge(table, spark.createDataFrame([(1, "a", 1)], PEOPLE))

@@ -103,17 +103,30 @@ class Storage:
                 out.close()
         except Py4JJavaError:
             raise TargetError(f"cannot write {folder}/{name}") from None
-        context = self._context.getFileContext(target.toUri(), self._conf)
-        options = self._array.newInstance(self._no_overwrite.getClass(), 1)
-        options[0] = self._no_overwrite
         try:
-            context.rename(context.makeQualified(aside), context.makeQualified(target), options)
+            self._rename(fs, aside, target)
         except Py4JJavaError as e:
             fs.delete(aside, False)
             if _is(e, "FileAlreadyExistsException"):
                 raise ConcurrentWriteError(_RACE) from None
             raise TargetError(f"cannot write {folder}/{name}") from None
 
+    def _rename(self, fs, aside, target) -> None:
+        """Renames unless the new name is taken."""
+        try:
+            context = self._context.getFileContext(target.toUri(), self._conf)
+        except Py4JJavaError as e:
+            if not _is(e, "UnsupportedFileSystemException"):
+                raise
+            # A store without that call: look first, then rename.
+            if fs.exists(target) or not fs.rename(aside, target):
+                fs.delete(aside, False)
+                raise ConcurrentWriteError(_RACE) from None
+            return
+        options = self._array.newInstance(self._no_overwrite.getClass(), 1)
+        options[0] = self._no_overwrite
+        context.rename(context.makeQualified(aside), context.makeQualified(target), options)
+
     @staticmethod
     def _link(aside: str, target: str, text: bytes) -> None:
         os.makedirs(os.path.dirname(target), exist_ok=True)
@@ -125,6 +138,13 @@ class Storage:
             os.link(aside, target)
         except FileExistsError:
             raise ConcurrentWriteError(_RACE) from None
+        except OSError:
+            # A mount without hard links: still exclusive, though written in place.
+            try:
+                with open(target, "xb") as file:
+                    file.write(text)
+            except FileExistsError:
+                raise ConcurrentWriteError(_RACE) from None
         finally:
             os.unlink(aside)
 

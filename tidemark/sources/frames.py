@@ -83,18 +83,18 @@ class FrameSource:
         """A job for every few tables: a name comes back if any row lies above its checkpoint.
 
         Only the watermark columns are read, and of those the row groups that reach beyond
-        the checkpoint; each task hands on a name at most once. A checkpoint that is no
-        value of its column counts as news, so that the scan itself can refuse it.
+        the checkpoint; each task stops at its first such row. A checkpoint that is no value
+        of its column counts as news, so that the scan itself can refuse it.
         """
         known = [t for t in tables if t.table in checkpoints]
 
         def probe(table: TableSync) -> DataFrame:
             df, watermark = self.frame(table.table), self._watermark(table)
             newer = above(df, watermark, checkpoints[table.table])
-            return df.where(newer).select(F.lit(table.table).alias("table"))
+            return df.where(newer).select(F.lit(table.table).alias("table")).limit(1)
 
         def names(group: list[TableSync]) -> list[str]:
-            return [r["table"] for r in union_all([probe(t) for t in group]).distinct().collect()]
+            return [r["table"] for r in union_all([probe(t) for t in group]).collect()]
 
         groups = [known[i : i + TABLES_PER_PROBE] for i in range(0, len(known), TABLES_PER_PROBE)]
         return {name for found in at_once(self.spark, names, groups) for name in found}
