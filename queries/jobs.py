@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from queries.common import KEYS, WATERMARKS, entry, load, plain, ts_text, watermark_sql, work_dir
-from tidemark.config import TableSync
 from tidemark.plans.sync import report_frame, report_totals
 from tidemark.sinks.checkpoint import CheckpointStore, listing
 from tidemark.sinks.snapshot import SnapshotTarget
@@ -126,10 +125,9 @@ def progress_events(spark, sf):
 
 def checkpoints_view(spark, sf):
     out, names = work_dir(spark), ["customer", "orders", "lineitem", "events"]
-    tables = [entry(n) for n in names]
-    tm.sync_tables(_source(spark, sf, *names), out, tables, spark=spark)
+    tm.sync_tables(_source(spark, sf, *names), out, [entry(n) for n in names], spark=spark)
     store = CheckpointStore(spark, f"{out}/_streamer_checkpoints")
-    return listing(store.view([TableSync.of(t) for t in tables])).drop("synced_at")
+    return listing(store.view()).drop("synced_at")
 
 
 def handover(spark, sf):

@@ -232,6 +232,8 @@ def test_checkpoints_of_several_tables_read_as_one(spark, out):
     assert store.read(entries) == {"dbo.a": "v9", "db.dbo.b": "v1", "c": "v2"}
     assert [r["table_name"] for r in listing(store.view(entries)).collect()] == ["dbo.a", "c", "db.dbo.b"]
     assert store.read([TableSync("dbo.never", "w", "id")]) == {}
+    assert sorted(r["table_name"] for r in store.view().collect()) == ["c", "db.dbo.b", "dbo.a"]
+    assert CheckpointStore(spark, f"{out}/nowhere").view().count() == 0
 
 
 def test_an_unreadable_checkpoint_is_an_error_not_a_first_sync(spark, out, monkeypatch):

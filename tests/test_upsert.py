@@ -150,6 +150,16 @@ def test_the_merge_statement_for_a_lakehouse_table_parses(spark):
         DeltaTarget(spark, "/lake/t", "/lake/_staging")
 
 
+def test_keys_at_both_ends_of_their_type(spark, out, monkeypatch):
+    monkeypatch.setattr(snapshot, "FINE_RANGES_ABOVE_RUNS", 0)
+    table = SnapshotTarget(spark, out)
+    ends = [(-(2**63), "low", 1), (2**63 - 1, "high", 1)]
+    schema = "id long, name string, w int"
+    merge(table, spark.createDataFrame(ends, schema))
+    stats = merge(table, spark.createDataFrame([(k, "new", 2) for k, _, _ in ends] + [(0, "mid", 2)], schema))
+    assert (stats.rows_inserted, stats.rows_updated) == (1, 2)
+
+
 def test_a_lost_race_is_reported_and_changes_nothing(spark, out):
     table = SnapshotTarget(spark, out)
     merge(table, spark.createDataFrame([(1, "a", 1)], PEOPLE))

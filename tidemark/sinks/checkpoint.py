@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import TableSync, join_uri
+from tidemark.config import MAX_NAME_PARTS, TableSync, join_uri
 from tidemark.errors import CheckpointMismatchError
 from tidemark.sinks.snapshot import SnapshotTarget
-from tidemark.sinks.storage import at_once
+from tidemark.sinks.storage import at_once, storage
 
 # The checkpoint table's columns.
 CHECKPOINT_SCHEMA = T.StructType(
@@ -36,17 +36,26 @@ class CheckpointStore:
     def target(self, table: TableSync) -> SnapshotTarget:
         return SnapshotTarget(self.spark, join_uri(self.uri, table.path))
 
-    def _paths(self, tables: list[TableSync]) -> list[str]:
-        def current(table: TableSync) -> list[str]:
-            target = self.target(table)
+    def _paths(self, targets: list[SnapshotTarget]) -> list[str]:
+        def current(target: SnapshotTarget) -> list[str]:
             commit = target.current()
             return target.paths(commit.runs) if commit else []
 
-        return [path for paths in at_once(self.spark, current, tables) for path in paths]
-
-    def view(self, tables: list[TableSync]) -> DataFrame:
-        """All checkpoints of ``tables`` in one frame; order it by ``synced_at`` to list."""
-        paths = self._paths(tables)
+        return [path for paths in at_once(self.spark, current, targets) for path in paths]
+
+    def _found(self, uri: str, depth: int = 0) -> list[SnapshotTarget]:
+        """Every checkpoint beneath the prefix, however many parts its table's name has."""
+        names = [name for name, _ in storage(self.spark).list(uri)]
+        if "commits" in names:
+            return [SnapshotTarget(self.spark, uri)]
+        if depth == MAX_NAME_PARTS:
+            return []
+        return [t for name in names for t in self._found(join_uri(uri, name), depth + 1)]
+
+    def view(self, tables: list[TableSync] | None = None) -> DataFrame:
+        """The checkpoints of ``tables``, or all beneath the prefix, in one frame."""
+        targets = self._found(self.uri) if tables is None else [self.target(t) for t in tables]
+        paths = self._paths(targets)
         return self._frame(paths) if paths else self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
 
     def _frame(self, paths: list[str]) -> DataFrame:
@@ -58,7 +67,7 @@ class CheckpointStore:
         A value recorded for another watermark column is refused rather than compared.
         """
         configured = {t.table: t.watermark_column for t in tables}
-        paths = self._paths(tables)
+        paths = self._paths([self.target(t) for t in tables])
         if not paths:
             return {}
         values = {}

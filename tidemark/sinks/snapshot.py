@@ -322,7 +322,7 @@ def _key_ranges(delta: DataFrame, key: str, totals):
     groups that need not be read. Other key types are left to their overall bounds.
     """
     low, high = totals["low_0"] if "low_0" in totals else None, totals["high_0"] if "high_0" in totals else None
-    if low is None or not isinstance(delta.schema[key].dataType, T.IntegralType):
+    if low is None or not isinstance(delta.schema[key].dataType, T.IntegralType) or high - low >= 1 << 62:
         return F.lit(True)
     width = (high - low) // KEY_RANGES + 1
     slot = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
