@@ -20,8 +20,6 @@ from pyspark.sql import functions as F  # noqa: E402
 import tidemark as tm  # noqa: E402
 from queries import catalogs, monitoring, types, upserts  # noqa: E402
 from queries.common import KEYS, entry, load  # noqa: E402
-from tidemark.plans import monitor  # noqa: E402
-from tidemark.sinks.snapshot import SnapshotTarget  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -85,11 +83,7 @@ def run(spark: SparkSession) -> tuple[dict[str, float], dict[str, int]]:
     timed("no_op_all_tables", lambda: tm.sync_tables_distributed(source, lake, everything, spark=spark))
     timed("preflight_all_tables", lambda: tm.preflight(source, everything, output_uri=lake, spark=spark))
 
-    pairs = {
-        t["table"]: (frames[t["table"]], SnapshotTarget(spark, f"{lake}/{t['table'].replace('.', '/')}").read(), t["watermark_column"])
-        for t in everything
-    }
-    timed("reconcile_all_tables", lambda: monitor.reconcile(pairs).collect())
+    timed("reconcile_all_tables", lambda: tm.reconcile(source, lake, everything, spark=spark).collect())
 
     def drain(query):
         query(spark, SF_DIR).write.format("noop").mode("overwrite").save()

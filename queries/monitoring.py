@@ -4,7 +4,7 @@ a run for each day, a table for each order priority or event type."""
 from pyspark.sql import functions as F
 
 import tidemark as tm
-from queries.common import KEYS, WATERMARKS, entry, load, work_dir
+from queries.common import KEYS, WATERMARKS, entry, load, watermark_sql, work_dir
 from tidemark.plans import monitor
 from tidemark.plans.sync import report_frame
 from tidemark.sinks.snapshot import SnapshotTarget
@@ -36,20 +36,32 @@ def _event_history(spark, sf):
     )
 
 
-def reconcile_tables(spark, sf):
-    """Targets that stopped a while ago against their sources."""
+UNTIL = {
+    "orders": "o_orderdate <= timestamp_ntz'2001-01-01 00:00:00'",
+    "events": "ts <= timestamp_ntz'2024-01-20 00:00:00'",
+    "customer": "true",
+}
+
+
+def _behind(spark, sf):
+    """Targets that stopped a while ago; the folder they are in."""
     out = work_dir(spark)
-    until = {
-        "orders": "o_orderdate <= timestamp_ntz'2001-01-01 00:00:00'",
-        "events": "ts <= timestamp_ntz'2024-01-20 00:00:00'",
-        "customer": "true",
-    }
-    source = tm.FrameSource(spark, {f"dbo.{n}": load(spark, sf, n).where(rule) for n, rule in until.items()})
-    tm.sync_tables(source, out, [entry(n) for n in until], spark=spark)
+    source = tm.FrameSource(spark, {f"dbo.{n}": load(spark, sf, n).where(rule) for n, rule in UNTIL.items()})
+    tm.sync_tables(source, out, [entry(n) for n in UNTIL], spark=spark)
+    return out
+
+
+def reconcile_all(spark, sf):
+    source = tm.FrameSource(spark, {f"dbo.{n}": load(spark, sf, n) for n in KEYS})
+    return tm.reconcile(source, _behind(spark, sf), [entry(n) for n in KEYS], spark=spark)
+
+
+def reconcile_tables(spark, sf):
+    out = _behind(spark, sf)
     return monitor.reconcile(
         {
             f"dbo.{n}": (load(spark, sf, n), SnapshotTarget(spark, f"{out}/dbo/{n}").read(), WATERMARKS[n])
-            for n in until
+            for n in UNTIL
         }
     )
 
@@ -100,7 +112,20 @@ def _side(table, where):
     )
 
 
+def _reconciled(table):
+    """SQL: a table whose target holds the rows of UNTIL, or nothing."""
+    where = UNTIL.get(table, "false").replace("timestamp_ntz", "TIMESTAMP ")
+    newest = watermark_sql(table)
+    old = newest[:-1] + f" WHERE {where})"
+    return (
+        f"SELECT 'dbo.{table}' AS \"table\", count(*) AS source_rows, count_if({where}) AS target_rows, "
+        f"{newest} AS source_newest, {old} AS target_newest, count(*) - count_if({where}) AS missing_rows, "
+        f"coalesce({newest} = {old}, FALSE) AS in_step FROM {table}"
+    )
+
+
 QUERIES = {
+    "reconcile_all": (reconcile_all, " UNION ALL ".join(_reconciled(t) for t in KEYS)),
     "reconcile_tables": (
         reconcile_tables,
         " UNION ALL ".join(

@@ -110,6 +110,13 @@ def test_the_greatest_watermark_keeps_every_digit():
     assert jdbc.max_sql(TABLE, columns, label=True).startswith("SELECT N'dbo.customers' AS table_name, ")
 
 
+def test_the_database_counts_for_a_reconciliation(spark):
+    columns = [resolve("updated_at", "datetime2")]
+    source = Answers(spark, spark.createDataFrame([(7, "2026-01-03 12:00:00.1234567")], "n long, newest string"))
+    assert source.summary(TABLE, columns) == (7, "2026-01-03 12:00:00.123456")
+    assert source.asked[0][0].startswith("SELECT COUNT_BIG(*) AS n, CONVERT(varchar(27), MAX([updated_at]), 121) AS newest")
+
+
 def test_one_catalog_query_for_each_database():
     assert "FROM INFORMATION_SCHEMA.COLUMNS WHERE TABLE_NAME IN (N'a', N'b')" in jdbc.catalog_sql(None, ["a", "b", "a"])
     assert "FROM crm.INFORMATION_SCHEMA.COLUMNS" in jdbc.catalog_sql("crm", ["a"])

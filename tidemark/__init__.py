@@ -2,7 +2,15 @@
 
 from tidemark.config import SyncConfig, TableSync
 from tidemark.errors import ConcurrentWriteError
-from tidemark.plans.handover import bulk_load, delete_checkpoint, preflight, set_checkpoint, source_watermark, vacuum
+from tidemark.plans.handover import (
+    bulk_load,
+    delete_checkpoint,
+    preflight,
+    reconcile,
+    set_checkpoint,
+    source_watermark,
+    vacuum,
+)
 from tidemark.plans.sync import (
     SyncReport,
     TableSyncStats,
@@ -27,6 +35,7 @@ __all__ = [
     "plan_concurrency",
     "preflight",
     "rebuild_table",
+    "reconcile",
     "set_checkpoint",
     "source_watermark",
     "sync_table",

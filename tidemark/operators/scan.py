@@ -50,6 +50,13 @@ def source_watermark(df: DataFrame, watermark: str, type_name: str | None = None
     )
 
 
+def summary(df: DataFrame, watermark: str, type_name: str | None = None) -> DataFrame:
+    """One row: ``n`` rows and the greatest watermark, ``newest``, as checkpoint text."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.max(watermark).alias("__max")).select(
+        "n", watermark_text(df, F.col("__max"), watermark, type_name).alias("newest")
+    )
+
+
 def watermark_text(df: DataFrame, value: Column, watermark: str, type_name: str | None = None) -> Column:
     """``value``, of column ``watermark``'s type, as a checkpoint records it."""
     field = df.schema[watermark]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tidemark.config import SyncConfig, TableSync, build_catalog
 from tidemark.errors import in_table, translate
 from tidemark.operators.catalog import config_frame, described_frame, preflight_frame
+from tidemark.operators.scan import summary
 from tidemark.plans.sync import _session, _source
 from tidemark.sinks.checkpoint import CHECKPOINT_SCHEMA, CheckpointStore
 from tidemark.sinks.snapshot import MIN_RETAIN_HOURS, Commit, SnapshotTarget
@@ -14,6 +15,11 @@ from tidemark.sinks.storage import at_once
 from tidemark.sources import Source
 from tidemark.sources.base import require_columns
 
+RECONCILED = (
+    "table string, source_rows bigint, target_rows bigint, source_newest string, target_newest string, "
+    "missing_rows bigint, in_step boolean"
+)
+
 
 def source_watermark(
     source: Source | str,
@@ -135,3 +141,41 @@ def preflight(
         raise translate(e, reader.secrets) from None
     place = {entry.table: i for i, entry in enumerate(catalog)}
     return sorted(found, key=lambda row: place[row["table"]])
+
+
+def reconcile(
+    source: Source | str,
+    output_uri: str,
+    tables,
+    *,
+    login_timeout_sec: int | None = 30,
+    query_timeout_sec: int | None = 300,
+    spark: SparkSession | None = None,
+) -> DataFrame:
+    """Row counts and greatest watermarks of source and target, one row per table.
+
+    Each side counts where its rows are, several tables at a time; what comes back is a
+    count and a mark. A target that was never created counts as empty.
+    """
+    catalog = build_catalog(tables)
+    spark = _session(spark)
+    config = SyncConfig(output_uri, None, 1, login_timeout_sec, query_timeout_sec).validate()
+    reader = _source(spark, source)
+
+    def one(entry: TableSync) -> tuple:
+        columns = described[entry.table]
+        watermark, _ = require_columns(entry, columns)
+        type_name = next(c.type_name for c in columns if c.name == watermark)
+        source_rows, source_newest = reader.summary(entry, columns)
+        target = SnapshotTarget(spark, config.table_uri(entry.table))
+        rows, newest = summary(target.read(), watermark, type_name).first() if target.exists() else (0, None)
+        return entry.table, source_rows, rows, source_newest, newest, source_rows - rows, source_newest == newest
+
+    try:
+        for entry in catalog:
+            entry.check_names()
+        reader.configure(config)
+        described = reader.describe(catalog)
+        return spark.createDataFrame(at_once(spark, one, catalog), RECONCILED)
+    except Exception as e:  # noqa: BLE001 - translated and raised again
+        raise translate(e, reader.secrets) from None

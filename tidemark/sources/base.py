@@ -36,6 +36,9 @@ class Source(Protocol):
     def watermark(self, table: TableSync, columns: list[ColumnSpec]) -> str | None:
         """The greatest watermark now, as checkpoint text."""
 
+    def summary(self, table: TableSync, columns: list[ColumnSpec]) -> tuple[int, str | None]:
+        """Row count and greatest watermark, both taken where the rows are."""
+
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
         """Of the tables with a checkpoint, those that may have newer rows."""
 

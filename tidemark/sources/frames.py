@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import SyncConfig, TableSync
 from tidemark.errors import TableNotFoundError, in_table
 from tidemark.functions.typemap import ColumnSpec, describe_schema, find_column
-from tidemark.operators.scan import above, incremental_scan, source_watermark, union_all
+from tidemark.operators.scan import above, incremental_scan, source_watermark, summary, union_all
 from tidemark.sinks.storage import at_once
 from tidemark.sources.base import Scan
 
@@ -79,6 +79,11 @@ class FrameSource:
         type_name = next(c.type_name for c in columns if c.name == name)
         return source_watermark(df, name, type_name).first()["watermark"]
 
+    def summary(self, table: TableSync, columns: list[ColumnSpec]) -> tuple[int, str | None]:
+        name = self._watermark(table)
+        type_name = next(c.type_name for c in columns if c.name == name)
+        return tuple(summary(self.frame(table.table), name, type_name).first())
+
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
         """A job for every few tables: a name comes back if any row lies above its checkpoint.
 

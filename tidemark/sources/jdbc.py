@@ -174,6 +174,12 @@ class JdbcSource:
         row = self.query(max_sql(table, columns)).first()
         return tidy_watermark(row[0], _watermark_spec(table, columns)) if row else None
 
+    def summary(self, table: TableSync, columns: list[ColumnSpec]) -> tuple[int, str | None]:
+        """The database counts; digits beyond microseconds, which no target holds, are cut."""
+        n, newest = self.query(summary_sql(table, columns)).first()
+        newest = tidy_watermark(newest, _watermark_spec(table, columns))
+        return int(n), newest and re.sub(r"(\.\d{6})\d{3}(?!\d)", r"\1", newest)
+
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
         """One statement asks many tables for their greatest watermarks."""
         known = [t for t in tables if t.table in checkpoints]
@@ -271,11 +277,17 @@ def scan_sql(table: TableSync, columns: list[ColumnSpec], last_value: str | None
 
 
 def max_sql(table: TableSync, columns: list[ColumnSpec], label: bool = False) -> str:
-    spec = _watermark_spec(table, columns)
-    shape = WATERMARK_TEXT.get(spec.type_name, WATERMARK_TEXT_OTHERWISE)
-    greatest = shape.format(w=f"MAX({quoted(spec.name)})")
     prefix = f"{text_literal(table.table)} AS table_name, " if label else ""
-    return f"SELECT {prefix}{greatest} AS watermark FROM {table.table}"
+    return f"SELECT {prefix}{_greatest_sql(table, columns)} AS watermark FROM {table.table}"
+
+
+def summary_sql(table: TableSync, columns: list[ColumnSpec]) -> str:
+    return f"SELECT COUNT_BIG(*) AS n, {_greatest_sql(table, columns)} AS newest FROM {table.table}"
+
+
+def _greatest_sql(table: TableSync, columns: list[ColumnSpec]) -> str:
+    spec = _watermark_spec(table, columns)
+    return WATERMARK_TEXT.get(spec.type_name, WATERMARK_TEXT_OTHERWISE).format(w=f"MAX({quoted(spec.name)})")
 
 
 def bound_sql(value: str, spec: ColumnSpec) -> str:
