@@ -168,7 +168,8 @@ ORDERS_SQL = "SELECT * FROM orders"
 def _first_sync_sql(table):
     return (
         f"SELECT 'dbo.{table}' AS \"table\", count(*) AS rows_fetched, "
-        f"count(DISTINCT ({', '.join(KEYS[table])})) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, {watermark_sql(table)} AS last_value FROM {table}"
+        f"count(DISTINCT ({', '.join(KEYS[table])})) AS rows_inserted, "
+        f"CAST(0 AS BIGINT) AS rows_updated, {watermark_sql(table)} AS last_value FROM {table}"
     )
 
 
