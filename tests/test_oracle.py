@@ -19,10 +19,14 @@ def con():
     return oracle.connect(SF_DIR)
 
 
+#: Queries whose operators SQL cannot express; these have tests of their own.
+WITHOUT_SQL = {name for name in QUERIES if name == "pipeline" or name.startswith("op")}
+
+
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    assert set(SQL) >= set(QUERIES) - WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     assert oracle.differences(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
