@@ -136,9 +136,13 @@ def train(
     rows = docs.select(F.col(id_column).alias("id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
     usable = F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id")
     keys = rows.where(usable).select("id", "lang", F.xxhash64("id").alias("h"))
-    largest = [r["lang"] for r in keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    largest = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     lowest = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = keys.where(F.col("lang").isin(largest)).withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= per_language)
+    # hashes are spread evenly: those that can be among the lowest lie below four times the expected bound
+    bound = F.lit(None).cast("double")
+    for lang, n in largest.items():
+        bound = F.when(F.col("lang") == lang, min(1.0, 4 * per_language / n) * 2.0**64 - 2.0**63).otherwise(bound)
+    chosen = keys.where(F.col("h").cast("double") <= bound).withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= per_language)
     ids = [r["id"] for r in chosen.select("id").collect()]  # at most per_language * languages of them
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

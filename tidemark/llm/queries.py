@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, packing, piece_bpe, simhash
+from tidemark.llm import ann_forest, exact_topk, language, licenses, packing, piece_bpe, simhash, token_scan, toxicity
 from tidemark.llm.common import load, ship
 
 
@@ -15,10 +15,33 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), length=3, distance=3)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.scored(toxicity.train(docs, load(spark, sf_dir, "labels")), docs, threshold=0.7)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), capacity=2048, end_id=1)
 
 
+def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "embeddings")
+    return ann_forest.nearest(table, table.where("vec_id % 50 = 0"), k=5)
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(table, table.where("vec_id % 20 = 0"), k=20, factor=64)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(load(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(load(spark, sf_dir, "documents"))
 
@@ -37,8 +60,21 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
-_ALL = (op1_simhash, op3_packing, op9_sentencepiece, op10_language)
-_SQL: dict[str, str] = {}
+_ALL = (
+    op1_simhash,
+    op2_toxicity,
+    op3_packing,
+    op4_ann_forest,
+    op6_licenses,
+    op7_exact_topk,
+    op8_token_counts,
+    op9_sentencepiece,
+    op10_language,
+)
+_SQL = {
+    "op6_licenses": licenses.SCAN_SQL,
+    "op7_exact_topk": exact_topk.TOP_K_SQL,
+}
 
 #: name -> (query, SQL or None)
 QUERIES = {q.__name__: (_shipped(q), _SQL.get(q.__name__)) for q in _ALL}
