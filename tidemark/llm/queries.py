@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, exact_topk, language, licenses, packing, piece_bpe, simhash, token_scan, toxicity
+from tidemark.llm import ann_forest, exact_topk, language, licenses, packing, piece_bpe, quality_lm, simhash, token_scan, toxicity
 from tidemark.llm.common import load, ship
 
 
@@ -29,6 +29,10 @@ def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.nearest(table, table.where("vec_id % 50 = 0"), k=5)
 
 
+def op5_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), order=5, quantile=0.998)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
@@ -65,6 +69,7 @@ _ALL = (
     op2_toxicity,
     op3_packing,
     op4_ann_forest,
+    op5_quality_lm,
     op6_licenses,
     op7_exact_topk,
     op8_token_counts,
