@@ -78,16 +78,29 @@ class ToxicityModel:
 
     @classmethod
     def fit(
-        cls, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 120, step: float = 0.2, sparsity: float = 1e-4, slack: float = 0.02
+        cls,
+        positive: list[np.ndarray],
+        unlabelled: list[np.ndarray],
+        prior: float,
+        rounds: int = 120,
+        step: float = 0.2,
+        sparsity: float = 1e-4,
+        slack: float = 0.02,
+        depth: float = 0.5,
     ) -> ToxicityModel | None:
-        """Minimises the corrected risk by adaptive gradient steps over all given rows."""
+        """Minimises the corrected risk by adaptive gradient steps over all given rows.
+
+        Weights are evidence for toxicity: none is negative, and ``sparsity`` holds back weak ones, so
+        the length of a clean text does not count. The bias stays within ``depth`` below the prior's
+        log odds: else texts with much evidence would let it sink until one sure word no longer tells.
+        """
         if not positive or not unlabelled:
             return None
         prior = min(max(prior, 1e-3), 0.9)
         seen = np.bincount(np.concatenate(positive), minlength=BINS) + np.bincount(np.concatenate(unlabelled), minlength=BINS)
         common = seen >= 4  # rarer ones tell nothing
         p, u = (_Rows([r[common[r]] for r in rows]) for rows in (positive, unlabelled))
-        top = float(np.log(prior / (1 - prior)))  # no text is likelier toxic than any text for want of evidence
+        top = float(np.log(prior / (1 - prior)))
         w, b = np.zeros(BINS), top
         mean, square = np.zeros(BINS + 1), np.zeros(BINS + 1)
         last_w, last_b, n = np.zeros(BINS), 0.0, 0
@@ -103,7 +116,7 @@ class ToxicityModel:
             g = np.append(p.back(gp) + u.back(gu) + sparsity, gp.sum() + gu.sum())
             mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
             move = step * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-6)
-            w, b = np.maximum(w - move[:-1], 0), min(b - float(move[-1]), top)
+            w, b = np.maximum(w - move[:-1], 0), float(np.clip(b - move[-1], top - depth, top))
             if t > rounds * 2 // 3:  # the mean of the last steps is steadier than the last
                 last_w, last_b, n = last_w + w, last_b + b, n + 1
         return cls(np.where(common, last_w / n, 0).astype(np.float32), last_b / n)
