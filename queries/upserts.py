@@ -123,8 +123,44 @@ def dropped_source_column(spark, sf):
     return _write(spark, orders.where(f"o_orderdate <= {EARLY}"), delta, keys=["o_orderkey"], watermark="o_orderdate")
 
 
+def merges_by_scattered_keys(spark, sf):
+    """A key-ordered table takes three changes of keys from all over it, each with new rows."""
+    lines = load(spark, sf, "orders")
+    table = SnapshotTarget(spark, work_dir(spark))
+    keys = ["o_orderkey"]
+    first = table.stage_by_key(lines.where("o_orderkey % 50 <> 7"), keys)
+    table.commit(table.open(lines.schema), lines.schema, first.runs)
+    for i in (7, 8, 9):
+        delta = lines.where(f"o_orderkey % 100 = {i}").withColumn("o_totalprice", F.col("o_totalprice") + i)
+        table.merge(table.stage(delta), keys, "o_orderdate")
+    return table.read()
+
+
+def few_repeated_keys(spark, sf):
+    """A first load in which one order in a hundred comes twice, the later row with another price."""
+    orders = load(spark, sf, "orders")
+    again = orders.where("o_orderkey % 100 = 3").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 5, "o_orderdate": F.expr("o_orderdate + interval 1 day")}
+    )
+    table = SnapshotTarget(spark, work_dir(spark))
+    stats = table.merge(table.stage(orders.unionByName(again)), ["o_orderkey"], "o_orderdate")
+    return table.read().withColumn("rows_superseded", F.lit(stats.rows_superseded).cast("bigint"))
+
+
+def dotted_columns(spark, sf):
+    """Column names with a dot, in key, watermark and data, through two merges."""
+    names = {"o_orderkey": "order.key", "o_orderdate": "changed.at", "o_totalprice": "price.total"}
+    target, delta = _orders(spark, sf)
+    dotted = lambda df: df.withColumnsRenamed(names)
+    table = SnapshotTarget(spark, work_dir(spark))
+    for part in (target, delta.unionByName(delta)):
+        table.merge(table.stage(dotted(part)), ["order.key"], "changed.at")
+    return table.read().withColumnsRenamed({new: old for old, new in names.items()})
+
+
 def clean_up(spark, sf):
-    """After several merges, dropping what no current version needs leaves the table as it was."""
+    """After several merges the clean-up leaves the table as it was. Its files are younger than the
+    window, so this shows that nothing is removed too early; what is removed is shown in the tests."""
     target, delta = _orders(spark, sf)
     table = SnapshotTarget(spark, work_dir(spark))
     table.publish(target)
@@ -212,6 +248,18 @@ QUERIES = {
         """SELECT * REPLACE (CASE WHEN o_orderdate <= TIMESTAMP '2000-07-01' THEN o_orderpriority END AS o_orderpriority)
            FROM orders""",
     ),
+    "merges_by_scattered_keys": (
+        merges_by_scattered_keys,
+        """SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey % 100 IN (7, 8, 9) THEN o_orderkey % 100 ELSE 0 END AS o_totalprice)
+           FROM orders WHERE o_orderkey % 50 <> 7 OR o_orderkey % 100 = 7""",
+    ),
+    "few_repeated_keys": (
+        few_repeated_keys,
+        """SELECT * REPLACE (CASE WHEN o_orderkey % 100 = 3 THEN o_totalprice + 5 ELSE o_totalprice END AS o_totalprice,
+                             CASE WHEN o_orderkey % 100 = 3 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate),
+                  (SELECT count(*) FROM orders WHERE o_orderkey % 100 = 3) AS rows_superseded FROM orders""",
+    ),
+    "dotted_columns": (dotted_columns, SPLIT_SQL),
     "clean_up": (clean_up, SPLIT_SQL),
     "rebuild": (rebuild, "SELECT * FROM customer"),
 }

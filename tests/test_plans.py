@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.scan import above, incremental_scan, union_all
-from tidemark.operators.upsert import apply_updates, new_rows
+from tidemark.operators.upsert import apply_updates, new_rows, upsert, upsert_metrics
 from tidemark.sinks.snapshot import SnapshotTarget, staged_totals
 
 
@@ -66,3 +67,36 @@ def test_union_all_keeps_every_frame(spark):
     for n in (1, 2, 3, 5, 8):
         frames = [spark.range(i, i + 1) for i in range(n)]
         assert sorted(r["id"] for r in union_all(frames).collect()) == list(range(n))
+
+
+def test_a_merge_reads_and_moves_each_side_once(spark, big):
+    delta = big.where("id % 100 = 1")
+    for df in (upsert(big, delta, ["id"]), upsert_metrics(big, delta, ["id"])):
+        text = plan(df)
+        assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 2
+        assert "FullOuter" in text
+
+
+def test_key_ranges_stay_disjoint_over_scattered_merges(spark, big, out):
+    table = SnapshotTarget(spark, out)
+    first = table.stage_by_key(big, ["id"])
+    table.commit(table.open(big.schema), big.schema, first.runs)
+    for i in (1, 2):
+        delta = big.where(f"id % 100 = {i}").withColumn("w", big["w"])
+        table.merge(table.stage(delta), ["id"], "w")
+    spans = table.read().groupBy("_metadata.file_path").agg({"id": "min"}).count()
+    rows = table.read().selectExpr("id", "_metadata.file_path AS f").groupBy("f").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    ends = sorted((r["a"], r["b"]) for r in rows.collect())
+    assert len(ends) == spans > 1 and all(b < a for (_, b), (a, _) in zip(ends, ends[1:]))
+
+
+def test_a_few_repeated_keys_rewrite_only_their_files(spark, big, out):
+    table = SnapshotTarget(spark, out)
+    extra = big.where("id IN (10, 11)")
+    staged = table.stage(big.unionByName(extra))
+    [run] = staged.runs
+    before = set(table._names(run))
+    stats = table.merge(staged, ["id"], "w")
+    assert (stats.rows_inserted, stats.rows_superseded) == (200_000, 2) and table.read().count() == 200_000
+    kept = set(table.current().runs[run])
+    assert kept < before and len(before) - len(kept) <= 2 + 1

@@ -116,8 +116,7 @@ def test_a_run_of_several_files_loses_only_the_touched_one(spark, out):
     assert got.count() == 403 and rows(got.where("name = 'new'")) == [(10, "new", 4), (250, "new", 3)]
 
 
-def test_many_runs_are_pruned_by_several_key_ranges(spark, out, monkeypatch):
-    monkeypatch.setattr(snapshot, "FINE_RANGES_ABOVE_RUNS", 1)
+def test_many_runs_are_pruned_by_several_key_ranges(spark, out):
     table = SnapshotTarget(spark, out)
     for start in range(0, 5000, 1000):
         merge(table, spark.range(start, start + 1000).selectExpr("id", "'a' name", f"{start} w").coalesce(1))
@@ -129,14 +128,14 @@ def test_many_runs_are_pruned_by_several_key_ranges(spark, out, monkeypatch):
     assert table.read().count() == 5002
 
 
-def test_many_small_runs_are_written_together(spark, out, monkeypatch):
-    monkeypatch.setattr(snapshot, "FOLD_ABOVE_RUNS", 3)
+def test_many_small_runs_are_written_together_when_asked(spark, out):
     table = SnapshotTarget(spark, out)
     for i in range(4):
         merge(table, spark.createDataFrame([(i, f"n{i}", i)], PEOPLE))
     assert len(table.current().runs) == 4
     stats = merge(table, spark.createDataFrame([(0, "again", 9), (9, "new", 9)], PEOPLE))
-    assert (stats.rows_inserted, stats.rows_updated) == (1, 1) and len(table.current().runs) == 1
+    assert (stats.rows_inserted, stats.rows_updated) == (1, 1) and len(table.current().runs) == 5
+    assert table.compact(["id"]) == 5 and table.compact(["id"]) == 0 and len(table.current().runs) == 1
     assert rows(table.read()) == [(0, "again", 9), (1, "n1", 1), (2, "n2", 2), (3, "n3", 3), (9, "new", 9)]
 
 
@@ -150,8 +149,7 @@ def test_the_merge_statement_for_a_lakehouse_table_parses(spark):
         DeltaTarget(spark, "/lake/t", "/lake/_staging")
 
 
-def test_keys_at_both_ends_of_their_type(spark, out, monkeypatch):
-    monkeypatch.setattr(snapshot, "FINE_RANGES_ABOVE_RUNS", 0)
+def test_keys_at_both_ends_of_their_type(spark, out):
     table = SnapshotTarget(spark, out)
     ends = [(-(2**63), "low", 1), (2**63 - 1, "high", 1)]
     schema = "id long, name string, w int"

@@ -90,24 +90,17 @@ def preflight_frame(config: DataFrame, described: DataFrame, checkpoints: DataFr
     An unmapped column type never makes a table unready. A binary watermark does, because
     its text form has no order.
     """
-    named = F.lower("column_name")
-    column = F.when(
-        named.isNotNull(),
-        F.struct("ordinal", F.col("column_name").alias("name"), F.col("data_type").alias("source_type"), "spark_type", "recognised"),
-    )
-    is_watermark = named == F.lower("watermark_column")
-    anywhere = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
+    column = F.struct("ordinal", F.col("column_name").alias("name"), F.col("data_type").alias("source_type"), "spark_type", "recognised")
     # A table has at most as many rows here as the source allows it columns.
-    found = (
-        config.select("table", "watermark_column", "primary_key")
-        .join(described, "table", "left")
-        .groupBy("table", "watermark_column", "primary_key")
-        .agg(
-            F.sort_array(F.collect_list(column)).alias("columns"),
-            F.collect_set(named).alias("__names"),
-            anywhere(is_watermark).alias("watermark_present"),
-            anywhere(is_watermark & (F.col("spark_type") == "binary")).alias("__binary"),
-        )
+    columns = described.where("column_name IS NOT NULL").groupBy("table").agg(F.sort_array(F.collect_list(column)).alias("columns"))
+    empty = F.array().cast(columns.schema["columns"].dataType)
+    found = config.select("table", "watermark_column", "primary_key").join(columns, "table", "left").withColumn("columns", F.coalesce("columns", empty))
+    is_watermark = lambda c: F.lower(c["name"]) == F.lower("watermark_column")
+    found = found.select(
+        "*",
+        F.transform("columns", lambda c: F.lower(c["name"])).alias("__names"),
+        F.exists("columns", is_watermark).alias("watermark_present"),
+        F.exists("columns", lambda c: is_watermark(c) & (c["spark_type"] == "binary")).alias("__binary"),
     )
     missing = F.filter("primary_key", lambda key: ~F.array_contains("__names", F.lower(key)))
     problem = F.when(F.col("__binary"), F.lit("the watermark column is binary; its text form has no order"))

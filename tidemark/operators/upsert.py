@@ -19,6 +19,11 @@ from tidemark.errors import SettingError
 _NEW = "__new_{}"
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def require_keys(keys: list[str]) -> list[str]:
     if not keys:
         raise SettingError("an upsert needs at least one key column")
@@ -27,7 +32,7 @@ def require_keys(keys: list[str]) -> list[str]:
 
 def has_key(keys: list[str]) -> Column:
     """True where no key column is NULL."""
-    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return reduce(and_, [named(k).isNotNull() for k in keys])
 
 
 def last_writer(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
@@ -39,11 +44,11 @@ def last_writer(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
     """
     keys = require_keys(keys)
     tie_breakers = [
-        F.col(f.name).desc_nulls_last()
+        named(f.name).desc_nulls_last()
         for f in df.schema.fields
         if f.name not in keys and f.name != watermark and _orderable(f.dataType)
     ]
-    window = Window.partitionBy(*keys).orderBy(F.col(watermark).desc_nulls_last(), *tie_breakers)
+    window = Window.partitionBy(*map(named, keys)).orderBy(named(watermark).desc_nulls_last(), *tie_breakers)
     keyed = df.where(has_key(keys)).withColumn("__rank", F.row_number().over(window))
     return keyed.where(F.col("__rank") == 1).drop("__rank").unionByName(df.where(~has_key(keys)))
 
@@ -56,13 +61,13 @@ def apply_updates(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataF
     unshuffled.
     """
     keys = require_keys(keys)
-    incoming = delta.where(has_key(keys)).select(*[F.col(c).alias(_NEW.format(c)) for c in delta.columns])
-    on = reduce(and_, [F.col(k) == F.col(_NEW.format(k)) for k in keys])
+    incoming = delta.where(has_key(keys)).select(*[named(c).alias(_NEW.format(c)) for c in delta.columns])
+    on = reduce(and_, [named(k) == named(_NEW.format(k)) for k in keys])
     joined = target.where(has_key(keys)).join(incoming, on, "left")
-    hit = F.col(_NEW.format(keys[0])).isNotNull()
+    hit = named(_NEW.format(keys[0])).isNotNull()
     merged = joined.select(
         *[
-            F.when(hit, F.col(_NEW.format(c))).otherwise(F.col(c)).alias(c) if c in delta.columns else F.col(c)
+            F.when(hit, named(_NEW.format(c))).otherwise(named(c)).alias(c) if c in delta.columns else named(c)
             for c in target.columns
         ]
     )
@@ -77,32 +82,63 @@ def new_rows(delta: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """
     keys = require_keys(keys)
     keyed = delta.where(has_key(keys))
-    known = target.select(*keys).where(has_key(keys)).join(keyed.select(*keys), keys, "left_semi")
+    columns = [named(k) for k in keys]
+    known = target.select(*columns).where(has_key(keys)).join(keyed.select(*columns), keys, "left_semi")
     return keyed.join(known, keys, "left_anti").unionByName(delta.where(~has_key(keys)))
 
 
+def side_by_side(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """Both sides' rows in one full join: columns ``t<i>`` of the target, ``d<i>`` of the delta by
+    position, and ``in_target``, ``in_delta``, true where that side has a row.
+
+    Each side is read once and moved by its key once. Rows without a key match nothing; a hash of
+    their columns stands beside the key, so that they are spread over all tasks.
+    """
+    keys = require_keys(keys)
+
+    def side(df: DataFrame, letter: str) -> DataFrame:
+        spread = F.when(has_key(keys), F.lit(0)).otherwise(F.xxhash64(*[named(c) for c in df.columns if _hashable(df.schema[c].dataType)]))
+        columns = [named(c).alias(f"{letter}{i}") for i, c in enumerate(df.columns)]
+        return df.select(*columns, spread.alias(f"{letter}_spread"), F.lit(True).alias(f"in_{'target' if letter == 't' else 'delta'}"))
+
+    on = [F.col(f"t{target.columns.index(k)}") == F.col(f"d{delta.columns.index(k)}") for k in keys]
+    on.append(F.col("t_spread") == F.col("d_spread"))
+    joined = side(target, "t").join(side(delta, "d"), reduce(and_, on), "full_outer")
+    return joined.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_target", "in_delta")}).drop("t_spread", "d_spread")
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Target after the merge: matched rows replaced, others kept, unmatched inserted."""
-    inserted = new_rows(delta, target, keys)
-    return apply_updates(target, delta, keys).unionByName(inserted, allowMissingColumns=True).select(*target.columns)
+    """Target after the merge: matched rows replaced, others kept, unmatched inserted.
+
+    ``delta`` holds each key once. Columns that only the target has keep their value in matched rows
+    and are NULL in inserted ones.
+    """
+    joined = side_by_side(target, delta, keys)
+
+    def merged(i: int, name: str) -> Column:
+        old = F.col(f"t{i}")
+        if name in delta.columns:
+            return F.when(F.col("in_delta"), F.col(f"d{delta.columns.index(name)}")).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return joined.select(*[merged(i, name) for i, name in enumerate(target.columns)])
 
 
 def upsert_metrics(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: rows_fetched, rows_inserted, rows_updated, rows_kept."""
-    keys = require_keys(keys)
-    matched = target.where(has_key(keys)).select(*keys).join(delta.select(*keys), keys, "left_semi")
-    counts = [
-        delta.agg(F.count(F.lit(1)).alias("rows_fetched")),
-        new_rows(delta, target, keys).agg(F.count(F.lit(1)).alias("rows_inserted")),
-        matched.agg(F.count(F.lit(1)).alias("rows_updated")),
-        target.agg(F.count(F.lit(1)).alias("rows_total")),
-    ]
-    tagged = [c.select(F.lit(c.columns[0]).alias("metric"), F.col(c.columns[0]).alias("n")) for c in counts]
-    names = [c.columns[0] for c in counts]
-    row = reduce(DataFrame.unionByName, tagged).agg(
-        *[F.sum(F.when(F.col("metric") == n, F.col("n"))).alias(n) for n in names]
+    """One row: rows_fetched, rows_inserted, rows_updated, rows_kept; from one join of the keys."""
+    columns = [named(k) for k in require_keys(keys)]
+    joined = side_by_side(target.select(*columns), delta.select(*columns), keys)
+    old, new = F.col("in_target"), F.col("in_delta")
+    return joined.agg(
+        F.count_if(new).alias("rows_fetched"),
+        F.count_if(new & ~old).alias("rows_inserted"),
+        F.count_if(new & old).alias("rows_updated"),
+        F.count_if(old & ~new).alias("rows_kept"),
     )
-    return row.withColumn("rows_kept", F.col("rows_total") - F.col("rows_updated")).drop("rows_total")
+
+
+def _hashable(data_type: T.DataType) -> bool:
+    return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def _orderable(data_type: T.DataType) -> bool:

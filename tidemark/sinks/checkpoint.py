@@ -44,13 +44,17 @@ class CheckpointStore:
         return [path for paths in at_once(self.spark, current, targets) for path in paths]
 
     def _found(self, uri: str, depth: int = 0) -> list[SnapshotTarget]:
-        """Every checkpoint beneath the prefix, however many parts its table's name has."""
-        names = [name for name, _ in storage(self.spark).list(uri)]
-        if "commits" in names:
-            return [SnapshotTarget(self.spark, uri)]
+        """Every checkpoint beneath the prefix, however many parts its table's name has.
+
+        A folder is one if it has commit files, so a table may be called ``commits`` or ``data``, and
+        one table's name may go on from another's.
+        """
+        target = SnapshotTarget(self.spark, uri)
+        here = [target] if depth and target.exists() else []
         if depth == MAX_NAME_PARTS:
-            return []
-        return [t for name in names for t in self._found(join_uri(uri, name), depth + 1)]
+            return here
+        names = [name for name, _ in storage(self.spark).list(uri)]
+        return here + [t for name in names for t in self._found(join_uri(uri, name), depth + 1)]
 
     def view(self, tables: list[TableSync] | None = None) -> DataFrame:
         """The checkpoints of ``tables``, or all beneath the prefix, in one frame."""

@@ -26,13 +26,20 @@ def delta_available(spark: SparkSession) -> bool:
     return "delta" in spark.conf.get("spark.sql.extensions", "").lower()
 
 
+def default_target(spark: SparkSession, uri: str):
+    """Delta Lake where the session has it, the Parquet table of this package elsewhere."""
+    return DeltaTarget(spark, uri) if delta_available(spark) else SnapshotTarget(spark, uri)
+
+
 @dataclass
 class DeltaTarget:
     spark: SparkSession
     uri: str
-    staging_uri: str
+    staging_uri: str | None = None
 
     def __post_init__(self):
+        # Delta passes over folders whose name starts with an underscore.
+        self.staging_uri = self.staging_uri or f"{self.uri.rstrip('/')}/_staging"
         if not delta_available(self.spark):
             raise SettingError("this session is not configured for Delta tables")
         self.identifier = f"delta.`{self.uri}`"
@@ -67,31 +74,43 @@ class DeltaTarget:
 
     def merge(self, staged: Staged, keys: list[str], watermark: str, type_name: str = "", base=None) -> MergeStats:
         keys = require_keys(keys)
-        evolve(base or self.open_or_create(staged.frame.schema), staged.frame.schema)
-        totals = staged_totals(staged.frame, keys, watermark, type_name)
-        stats = MergeStats(totals["fetched"], 0, 0, totals["superseded"], totals["newest"])
-        if not stats.rows_fetched:
-            return stats
-        delta = last_writer(staged.frame, keys, watermark) if stats.rows_superseded else staged.frame
         try:
-            self.spark.sql(merge_sql(self.identifier, keys), delta=delta)
+            evolve(base or self.open_or_create(staged.frame.schema), staged.frame.schema)
+            totals = staged_totals(staged.frame, keys, watermark, type_name)
+            stats = MergeStats(totals["fetched"], 0, 0, totals["superseded"], totals["newest"])
+            if not stats.rows_fetched:
+                return stats
+            delta = last_writer(staged.frame, keys, watermark) if stats.rows_superseded else staged.frame
+            # MERGE answers with its own counts; the history's newest entry may be another writer's.
+            counts = self.spark.sql(merge_sql(self.identifier, keys), delta=delta).first().asDict()
         except Exception as e:  # noqa: BLE001 - only commit races are handled, the rest is raised again
             if any(name in str(e) for name in _CONFLICTS):
                 raise ConcurrentWriteError("another writer committed first; run again") from None
             raise
         finally:
             self._staging.discard(staged)
-        metrics = self.spark.sql(f"DESCRIBE HISTORY {self.identifier} LIMIT 1").first()["operationMetrics"]
-        return replace(
-            stats,
-            rows_inserted=int(metrics["numTargetRowsInserted"]),
-            rows_updated=int(metrics["numTargetRowsUpdated"]),
-        )
-
-    def vacuum(self, retain_hours: float = MIN_RETAIN_HOURS) -> None:
+        return replace(stats, rows_inserted=int(counts["num_inserted_rows"]), rows_updated=int(counts["num_updated_rows"]))
+
+    def replace(self, staged: Staged, keys: list[str], watermark: str, type_name: str = "", base=None) -> MergeStats:
+        """Makes the staged rows the whole table, in one commit; a changed schema is accepted."""
+        keys = require_keys(keys)
+        try:
+            totals = staged_totals(staged.frame, keys, watermark, type_name)
+            superseded = totals["superseded"]
+            self.publish(last_writer(staged.frame, keys, watermark) if superseded else staged.frame)
+        finally:
+            self._staging.discard(staged)
+        return MergeStats(totals["fetched"], totals["fetched"] - superseded, 0, superseded, totals["newest"])
+
+    def vacuum(self, retain_hours: float = MIN_RETAIN_HOURS) -> int:
+        """Removes files no version inside the window needs; returns how many."""
         if retain_hours < MIN_RETAIN_HOURS:
             raise SettingError(f"retention must be at least {MIN_RETAIN_HOURS} hours")
+        if not self.exists():
+            return 0
+        removed = self.spark.sql(f"VACUUM {self.identifier} RETAIN {retain_hours} HOURS DRY RUN").count()
         self.spark.sql(f"VACUUM {self.identifier} RETAIN {retain_hours} HOURS")
+        return removed
 
 
 def merge_sql(identifier: str, keys: list[str]) -> str:

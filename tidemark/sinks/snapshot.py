@@ -14,6 +14,7 @@ older version; where a lakehouse format is available use ``DeltaTarget`` instead
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 import zlib
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.functions.render import render_text
-from tidemark.operators.upsert import apply_updates, has_key, last_writer, new_rows, require_keys
+from tidemark.operators.upsert import has_key, last_writer, named, require_keys, upsert
 from tidemark.sinks.storage import at_once, storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
@@ -36,14 +37,15 @@ MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 # rewritten one by one all the same.
 MAX_ROWS_PER_FILE = 5_000_000
 
-# Beyond this many runs a merge also joins the small ones.
-FOLD_ABOVE_RUNS = 256
-FOLD_BELOW_BYTES = 64 * 1024 * 1024
-
-# Beyond this many runs the target is worth pruning by several key ranges instead of one.
-FINE_RANGES_ABOVE_RUNS = 16
+# How many intervals describe the keys of a change.
 KEY_RANGES = 64
 
+# What compact() takes for a small run unless told otherwise.
+SMALL_RUN_BYTES = 64 * 1024 * 1024
+
+_RUN = re.compile("[0-9a-f]{32}")
+_COMMIT = re.compile("[0-9]{20}[.]json")
+
 # Key types whose bounds survive the trip through the driver unchanged.
 _BOUNDED_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.StringType)
 
@@ -59,10 +61,10 @@ class Commit:
 
 @dataclass(frozen=True)
 class Staged:
-    """Rows written once beneath the table, not yet part of it."""
+    """Rows written once beneath the table, not yet part of it; runs as in ``Commit``."""
 
     frame: DataFrame
-    run: str
+    runs: dict[str, list[str] | None]
 
 
 @dataclass(frozen=True)
@@ -126,19 +128,23 @@ class SnapshotTarget:
         base = self.open(schema)
         return base if base.version >= 0 else self.commit(base, schema, {})
 
-    def emptied(self, schema: T.StructType) -> Commit:
-        """A base without rows whose successor replaces whatever the table holds."""
-        return Commit(self.open(schema).version, schema, {})
-
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
         run = uuid.uuid4().hex
         df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(self._run_uri(run))
-        return Staged(self.spark.read.schema(df.schema).parquet(self._run_uri(run)), run)
+        return Staged(self.spark.read.schema(df.schema).parquet(self._run_uri(run)), {run: None})
+
+    def stage_by_key(self, df: DataFrame, keys: list[str]) -> Staged:
+        """The same in key order: every file has a key range of its own, so that a later change
+        finds few files. Rows without a key are dealt by a hash, not all to one task."""
+        columns = [named(k) for k in keys]
+        rest = F.xxhash64(*[named(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+        return self.stage(df.repartitionByRange(*columns, rest).sortWithinPartitions(*columns))
 
     def discard(self, staged: Staged) -> None:
-        """Removes a staged run that no commit names."""
-        self.storage.delete(self._run_uri(staged.run))
+        """Removes staged runs that no commit names."""
+        for run in staged.runs:
+            self.storage.delete(self._run_uri(run))
 
     def commit(self, base: Commit, schema: T.StructType, runs: dict[str, list[str] | None]) -> Commit:
         """Publishes the version after ``base``; raises if someone else already did."""
@@ -154,7 +160,17 @@ class SnapshotTarget:
     def publish(self, df: DataFrame) -> Commit:
         """Replaces the whole table by ``df``: bulk load, rebuild, checkpoint row."""
         base = self.open(df.schema)
-        return self.commit(base, df.schema, {self.stage(df).run: None})
+        return self.commit(base, df.schema, self.stage(df).runs)
+
+    def replace(
+        self, staged: Staged, keys: list[str], watermark: str, type_name: str = "", base: Commit | None = None
+    ) -> MergeStats:
+        """Makes the staged rows the whole table, in one commit; a changed schema is accepted."""
+        base = Commit((base or self.open(staged.frame.schema)).version, staged.frame.schema, {})
+        stats = self.merge(staged, keys, watermark, type_name, base)
+        if not stats.rows_fetched and base.version >= 0:  # a first version is published by the merge
+            self.commit(base, base.schema, {})
+        return stats
 
     def merge(
         self, staged: Staged, keys: list[str], watermark: str, type_name: str = "", base: Commit | None = None
@@ -174,27 +190,45 @@ class SnapshotTarget:
             if base.version < 0:
                 self.commit(base, schema, {})
             return MergeStats(0, 0, 0, 0)
-        if superseded:
-            fetched_rows, staged = staged, self.stage(last_writer(staged.frame, keys, watermark))
-            self.discard(fetched_rows)
-
         spelled = {n.lower(): n for n in schema.names}
-        delta = staged.frame.toDF(*[spelled[n.lower()] for n in staged.frame.columns])
         keys = [spelled[k.lower()] for k in keys]
+        rename = lambda df: df.toDF(*[spelled[n.lower()] for n in df.columns])
+        if superseded:
+            staged = self._settled(staged, rename, keys, spelled[watermark.lower()])
+        delta = rename(staged.frame)
         touched, updated = self._touched(base, delta, keys, totals) if base.runs else ({}, 0)
-        touched = {**touched, **self._small_runs(base)}
         if not touched:
-            self.commit(base, schema, {**base.runs, staged.run: None})
+            self.commit(base, schema, {**base.runs, **staged.runs})
             return MergeStats(fetched, fetched - superseded, 0, superseded, totals["newest"])
 
         old = self.frame(schema, touched)
-        merged = apply_updates(old, delta, keys).unionByName(new_rows(delta, old, keys), allowMissingColumns=True)
-        written = self.stage(merged.select(*schema.names))
-        self.commit(base, schema, {**self._without(base.runs, touched), written.run: None})
+        written = self.stage_by_key(upsert(old, delta, keys), keys)
+        self.commit(base, schema, {**self._without(base.runs, touched), **written.runs})
         inserted = _rows_gained(old, written.frame)
         self.discard(staged)
         return MergeStats(fetched, inserted, updated, superseded, totals["newest"])
 
+    def _settled(self, staged: Staged, rename, keys: list[str], watermark: str) -> Staged:
+        """The staged rows with repeated keys reduced to their last writers.
+
+        Only the files that hold a repeated key are written again, and of their rows only those of
+        such keys go through a window.
+        """
+        columns = [named(k) for k in keys]
+        frame = rename(staged.frame)
+        repeated = frame.where(has_key(keys)).groupBy(*columns).count().where("count > 1").select(*columns)
+        marked = frame.select(*columns, _file_mark().alias("__file"))
+        hits = marked.join(repeated, keys, "left_semi").select("__file").distinct().collect()
+        files = self._by_mark(staged.runs, {r["__file"] & 0xFFFFFFFFFFFFFFFF for r in hits})
+        # One join tells the rows of repeated keys from the others.
+        rows = rename(self.frame(staged.frame.schema, files)).join(repeated.withColumn("__repeated", F.lit(True)), keys, "left")
+        names = [named(n) for n in frame.columns]
+        winners = last_writer(rows.where("__repeated").select(*names), keys, watermark)
+        others = rows.where("__repeated IS NULL").select(*names)
+        written = self.stage(others.unionByName(winners).toDF(*staged.frame.columns))
+        runs = {**self._without(staged.runs, files), **written.runs}
+        return Staged(self.frame(staged.frame.schema, runs), runs)
+
     def _touched(self, base: Commit, delta: DataFrame, keys: list[str], totals) -> tuple[dict[str, list[str]], int]:
         """Files holding a key of ``delta``, by run, and how many of their rows match.
 
@@ -206,33 +240,23 @@ class SnapshotTarget:
         wanted = has_key(keys)
         for i, key in enumerate(keys):
             if f"low_{i}" in totals:
-                wanted = wanted & F.col(key).between(F.lit(totals[f"low_{i}"]), F.lit(totals[f"high_{i}"]))
-        if len(base.runs) > FINE_RANGES_ABOVE_RUNS or any(base.runs.values()):
-            wanted = wanted & _key_ranges(delta, keys[0], totals)
-        place = F.substring_index("_metadata.file_path", "/", -2)
-        run, name = F.substring_index(place, "/", 1), F.substring_index(place, "/", -1)
-        mark = F.shiftleft(F.crc32(run.cast("binary")), 32).bitwiseOR(F.crc32(name.cast("binary")))
-        held = self.frame(base.schema, base.runs).where(wanted).select(*keys, mark.alias("__file"))
-        hits = held.join(delta.select(*keys), keys, "left_semi").groupBy("__file").count().collect()
-
-        marks = {r["__file"] & 0xFFFFFFFFFFFFFFFF for r in hits}
+                wanted = wanted & named(key).between(F.lit(totals[f"low_{i}"]), F.lit(totals[f"high_{i}"]))
+        wanted = wanted & _key_ranges(delta, keys[0], totals)
+        columns = [named(k) for k in keys]
+        held = self.frame(base.schema, base.runs).where(wanted).select(*columns, _file_mark().alias("__file"))
+        hits = held.join(delta.select(*columns), keys, "left_semi").groupBy("__file").count().collect()
+        touched = self._by_mark(base.runs, {r["__file"] & 0xFFFFFFFFFFFFFFFF for r in hits})
+        return touched, sum(r["count"] for r in hits)
+
+    def _by_mark(self, runs: dict, marks: set[int]) -> dict[str, list[str]]:
+        """The files of these marks, by run; only runs that have one are listed."""
         run_marks = {m >> 32 for m in marks}
-        touched = {}
-        for run_name, names in base.runs.items():
-            high = zlib.crc32(run_name.encode())
+        found = {}
+        for run, names in runs.items():
+            high = zlib.crc32(run.encode())
             if high in run_marks:
-                touched[run_name] = [
-                    n for n in names or self._names(run_name) if (high << 32 | zlib.crc32(n.encode())) in marks
-                ]
-        return {r: names for r, names in touched.items() if names}, sum(r["count"] for r in hits)
-
-    def _small_runs(self, base: Commit) -> dict[str, list[str]]:
-        """Runs to be written together, once small changes have left very many of them."""
-        if len(base.runs) <= FOLD_ABOVE_RUNS:
-            return {}
-        sizes = at_once(self.spark, self.storage.size, [self._run_uri(run) for run in base.runs])
-        small = [run for run, size in zip(base.runs, sizes) if size < FOLD_BELOW_BYTES]
-        return {run: base.runs[run] or self._names(run) for run in small}
+                found[run] = [n for n in names or self._names(run) if (high << 32 | zlib.crc32(n.encode())) in marks]
+        return {run: names for run, names in found.items() if names}
 
     def _without(self, runs: dict, touched: dict[str, list[str]]) -> dict[str, list[str] | None]:
         kept = {}
@@ -251,6 +275,23 @@ class SnapshotTarget:
 
     # -------------------------------------------------------------- maintenance
 
+    def compact(self, keys: list[str], below_bytes: int = SMALL_RUN_BYTES) -> int:
+        """Writes the runs of less than ``below_bytes`` together, in key order; returns how many.
+
+        Rows stay the same. To be called when many small changes have left many small runs.
+        """
+        base = self.current()
+        if base is None:
+            return 0
+        sizes = at_once(self.spark, self.storage.size, [self._run_uri(run) for run in base.runs])
+        small = {run: base.runs[run] for run, size in zip(base.runs, sizes) if size < below_bytes}
+        if len(small) < 2:
+            return 0
+        spelled = {n.lower(): n for n in base.schema.names}
+        written = self.stage_by_key(self.frame(base.schema, small), [spelled[k.lower()] for k in keys])
+        self.commit(base, base.schema, {**{r: n for r, n in base.runs.items() if r not in small}, **written.runs})
+        return len(small)
+
     def vacuum(self, retain_hours: float = MIN_RETAIN_HOURS) -> int:
         """Removes what no version inside the window needs; returns how many files and folders.
 
@@ -277,7 +318,11 @@ class SnapshotTarget:
                     live[run] = live.get(run, set()) | set(names)
         removed = 0
         for run, modified in self.storage.list(f"{self.uri}/data"):
-            if modified / 1000 >= horizon:
+            if not _RUN.fullmatch(run):
+                continue  # a folder of another table whose name goes on from this one's
+            # A store may not keep a folder's time: the newest file inside tells as well.
+            files = self.storage.list(self._run_uri(run))
+            if max([modified, *(at for _, at in files)]) / 1000 >= horizon:
                 continue
             if run not in live:
                 self.storage.delete(self._run_uri(run))
@@ -290,7 +335,7 @@ class SnapshotTarget:
 
     def _versions(self) -> list[tuple[int, int]]:
         names = self.storage.list(f"{self.uri}/commits")
-        return [(int(n[:-5]), modified) for n, modified in names if n[:-5].isdigit()]
+        return [(int(n[:-5]), modified) for n, modified in names if _COMMIT.fullmatch(n)]
 
     def _run_uri(self, run: str) -> str:
         return f"{self.uri}/data/{run}"
@@ -315,6 +360,13 @@ def evolve(current: T.StructType, incoming: T.StructType) -> T.StructType:
     return T.StructType(current.fields + added)
 
 
+def _file_mark():
+    """Run and name of a row's file as two checksums in one number."""
+    place = F.substring_index("_metadata.file_path", "/", -2)
+    run, name = F.substring_index(place, "/", 1), F.substring_index(place, "/", -1)
+    return F.shiftleft(F.crc32(run.cast("binary")), 32).bitwiseOR(F.crc32(name.cast("binary")))
+
+
 def _key_ranges(delta: DataFrame, key: str, totals):
     """Up to ``KEY_RANGES`` intervals of a whole-number key that hold all of the delta's keys.
 
@@ -325,9 +377,9 @@ def _key_ranges(delta: DataFrame, key: str, totals):
     if low is None or not isinstance(delta.schema[key].dataType, T.IntegralType) or high - low >= 1 << 62:
         return F.lit(True)
     width = (high - low) // KEY_RANGES + 1
-    slot = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
-    rows = delta.where(F.col(key).isNotNull()).groupBy(slot.alias("slot")).agg(F.min(key), F.max(key)).collect()
-    return reduce(or_, [F.col(key).between(F.lit(lo), F.lit(hi)) for _, lo, hi in sorted(rows)])
+    slot = F.floor((named(key) - F.lit(low)) / F.lit(width))
+    rows = delta.where(named(key).isNotNull()).groupBy(slot.alias("slot")).agg(F.min(named(key)), F.max(named(key))).collect()
+    return reduce(or_, [named(key).between(F.lit(lo), F.lit(hi)) for _, lo, hi in sorted(rows)])
 
 
 def _rows_gained(before: DataFrame, after: DataFrame) -> int:
@@ -342,13 +394,13 @@ def staged_totals(staged: DataFrame, keys: list[str], watermark: str, type_name:
     Grouped by key with map-side partial aggregation: a hot key, NULL included, leaves each
     task as one row.
     """
-    per_key = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.max(watermark).alias("__w"))
+    per_key = staged.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("__n"), F.max(named(watermark)).alias("__w"))
     keyed = has_key(keys)
     bounds = [
         agg
         for i, k in enumerate(keys)
         if isinstance(staged.schema[k].dataType, _BOUNDED_TYPES)
-        for agg in (F.min(F.when(keyed, F.col(k))).alias(f"low_{i}"), F.max(F.when(keyed, F.col(k))).alias(f"high_{i}"))
+        for agg in (F.min(F.when(keyed, named(k))).alias(f"low_{i}"), F.max(F.when(keyed, named(k))).alias(f"high_{i}"))
     ]
     newest = render_text(F.max("__w"), staged.schema[watermark].dataType, type_name)
     return per_key.agg(
