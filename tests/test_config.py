@@ -8,10 +8,10 @@ from tidemark.errors import (
     SyncError,
     UnsafeNameError,
     in_table,
-    password_of,
     redact,
 )
 from tidemark.plans.sync import plan_concurrency
+from tidemark.sources import connection
 
 
 @pytest.mark.parametrize(
@@ -86,11 +86,24 @@ def test_concurrency_below_one_is_refused():
 
 @pytest.mark.parametrize("text", ["Server=x;Password=s3cret;", "server=x; PWD = s3cret", "junk;password=s3cret"])
 def test_the_password_is_found_and_scrubbed(text):
-    assert password_of(text) == "s3cret"
-    message = redact(f"login with {text} failed, s3cret was wrong", [text, password_of(text)])
+    assert connection.chosen(connection.settings(text), "password") == "s3cret"
+    message = redact(f"login with {text} failed, s3cret was wrong", [text, *connection.secrets_of(text)])
     assert "s3cret" not in message and text not in message
 
 
+@pytest.mark.parametrize(
+    "written, password",
+    [('"a;b"', "a;b"), ("'a;b=c'", "a;b=c"), ("{a;b}}c}", "a;b}c"), ('"say ""hi"";"', 'say "hi";'), ("'it''s'", "it's"), ("a\"b", 'a"b')],
+)
+def test_quoted_passwords_are_read_and_scrubbed_whole(written, password):
+    text = f"Server=x;Password={written};Database=d"
+    found = connection.settings(text)
+    assert (found["password"], found["database"], found["server"]) == (password, "d", "x")
+    for quote in (password, written):
+        left = redact(f"refused: {quote}!", connection.secrets_of(text))
+        assert "[redacted]" in left and not any(part in left for part in (password, "a;b", ";b", "it''s"))
+
+
 def test_errors_are_the_builtin_a_caller_expects_and_name_the_table_once():
     assert issubclass(ConcurrentWriteError, RuntimeError) and issubclass(SourceUnavailableError, ConnectionError)
     error = in_table(in_table(SourceUnavailableError("down"), "dbo.t"), "dbo.u")

@@ -39,6 +39,38 @@ def test_a_connection_string_becomes_options():
         JdbcSource.from_connection_string(None, "Database=crm")
 
 
+def test_settings_are_passed_on_or_refused():
+    text = 'Server=db;User Id=u;Password="a;b";ApplicationIntent=ReadOnly;Authentication=ActiveDirectoryPassword;Pooling=true'
+    source = JdbcSource.from_connection_string(None, text)
+    assert source.password == "a;b" and source.options == {"applicationIntent": "ReadOnly", "authentication": "ActiveDirectoryPassword"}
+    with pytest.raises(SettingError, match="colour"):
+        JdbcSource.from_connection_string(None, "Server=db;Colour=blue")
+    url = JdbcSource.from_connection_string(None, "jdbc:sqlserver://db;user=u;password={a;b}")
+    assert url.password == "a;b" and "a;b" in url.secrets
+
+
+@pytest.mark.parametrize(
+    "type_name, text, expected",
+    [
+        ("float", "1.0000000000000000e+000", "1"),
+        ("float", "1.2500000000000000e-007", "0.000000125"),
+        ("float", "-1.2300000000000000e+020", "-123000000000000000000"),
+        ("real", "1.0000000e-001", "0.10000000149011612"),
+        ("money", "12.3400", "12.34"),
+        ("smallmoney", "100.0000", "100"),
+    ],
+)
+def test_numbers_take_the_targets_form(spark, type_name, text, expected):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.render import render_text
+
+    spec = resolve("w", type_name)
+    assert jdbc.tidy_watermark(text, spec) == expected
+    raw = spark.range(1).select(F.lit(float(expected)).alias("w"))
+    assert raw.select(render_text(F.col("w"), raw.schema["w"].dataType, type_name)).first()[0] == expected
+
+
 def test_limits_become_reader_options(spark):
     source = JdbcSource(spark, "jdbc:x")
     source.configure(SyncConfig("/o", None, 500, 7, 60))

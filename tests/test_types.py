@@ -102,7 +102,7 @@ def test_values_arrive_exactly(spark, value, raw, declared, expected):
     ],
 )
 def test_wrong_values_fail_without_being_shown(spark, value, raw, declared, expected):
-    with pytest.raises(InvalidValueError, match=rf"value in column c is not a valid {expected}$") as caught:
+    with pytest.raises(InvalidValueError, match=rf"column c holds something other than {expected}$") as caught:
         one(spark, value, raw, *declared)
     assert str(value) not in str(caught.value)
 

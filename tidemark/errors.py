@@ -71,8 +71,8 @@ class ConcurrentWriteError(SyncError, RuntimeError):
 
 
 # Fixed text: conform() raises it inside a task and translate() recognises it here.
-INVALID_VALUE = "value in column {column} is not a valid {expected}"
-_INVALID_VALUE_RE = re.compile(r"value in column (?P<column>.+?) is not a valid (?P<expected>[a-z]+(\(\d+,\d+\))?)")
+INVALID_VALUE = "column {column} holds something other than {expected}"
+_INVALID_VALUE_RE = re.compile(r"column (?P<column>.+?) holds something other than (?P<expected>[a-z]+(\(\d+,\d+\))?)")
 
 # Spark names the condition, then the value, then an SQLSTATE of class 22 for bad data.
 _DATA_ERROR_RE = re.compile(r"\[(?P<condition>[A-Z_]+)[^\]]*\](?:(?!SQLSTATE).)*SQLSTATE: 22", re.DOTALL)
@@ -98,15 +98,6 @@ def redact(message: str, secrets) -> str:
     return message
 
 
-def password_of(connection_string: str) -> str | None:
-    """The ``password``/``pwd`` value of a ``key=value;`` list, whatever the case."""
-    for part in connection_string.split(";"):
-        key, found, value = part.partition("=")
-        if found and key.strip().lower() in ("password", "pwd") and value.strip():
-            return value.strip()
-    return None
-
-
 def in_table(error: BaseException, table: str) -> BaseException:
     """Names the table on one of our errors, once."""
     if isinstance(error, SyncError) and error.table is None:

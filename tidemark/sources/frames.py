@@ -15,10 +15,6 @@ from tidemark.sinks.storage import at_once
 from tidemark.sources.base import Scan
 
 
-# A table of at most this size is spread evenly over the tasks before it is written; a larger
-# one already comes in enough splits, and moving it would cost more than it gains.
-SPREAD_BELOW_BYTES = 256 * 1024 * 1024
-
 # How many tables one job asks for news: few enough to plan quickly, several jobs at a time.
 TABLES_PER_PROBE = 25
 
@@ -29,6 +25,9 @@ class FrameSource:
 
     ``declared`` gives source types where they say more than the Spark schema does:
     ``{"dbo.t": {"amount": ("decimal", 10, 2), "id": ("uniqueidentifier",)}}``.
+
+    ``spread`` moves the rows of a full scan between tasks, by key, before they are written: for
+    tables kept in fewer splits than there are cores. Without it a full scan moves no row.
     """
 
     secrets: tuple[str, ...] = ()
@@ -38,8 +37,10 @@ class FrameSource:
         spark: SparkSession,
         tables: Mapping[str, DataFrame | str],
         declared: Mapping[str, Mapping[str, tuple]] | None = None,
+        spread: bool = False,
     ):
         self.spark = spark
+        self.spread = spread
         self._tables = {name.lower(): frame for name, frame in tables.items()}
         self._looked_up: dict[str, DataFrame] = {}
         self._declared = {name.lower(): dict(spec) for name, spec in (declared or {}).items()}
@@ -72,7 +73,7 @@ class FrameSource:
         if last_value is not None:
             # Few rows out of many splits: gather them.
             return Scan(incremental_scan(df, self._watermark(table), last_value).hint("rebalance", *spread))
-        return Scan(df.hint("rebalance", *spread) if _plan_bytes(df) <= SPREAD_BELOW_BYTES else df)
+        return Scan(df.hint("rebalance", *spread) if self.spread else df)
 
     def watermark(self, table: TableSync, columns: list[ColumnSpec]) -> str | None:
         df, name = self.frame(table.table), self._watermark(table)
@@ -107,7 +108,3 @@ class FrameSource:
     def _watermark(self, table: TableSync) -> str:
         return find_column(self.frame(table.table).columns, table.watermark_column)
 
-
-def _plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for the plan; for files that is what they take on disk."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -8,6 +8,7 @@ carries the checkpoint past rows it did not fetch.
 from __future__ import annotations
 
 import re
+import struct
 from dataclasses import dataclass, field
 from decimal import Decimal, InvalidOperation
 
@@ -20,11 +21,11 @@ from tidemark.errors import (
     SettingError,
     TableNotFoundError,
     in_table,
-    password_of,
 )
 from tidemark.functions.typemap import ColumnSpec, find_column, resolve
 from tidemark.operators.catalog import config_frame, match_catalog
 from tidemark.sinks.storage import at_once
+from tidemark.sources import connection
 from tidemark.sources.base import Scan
 
 # Types whose text the source renders, and the SQL that does it.
@@ -61,17 +62,14 @@ BOUND_TYPES = {
     "real": "real",
     "float": "float",
 }
+# Types whose text the source pads with zeros or an exponent.
+_PLAIN_NUMBERS = ("real", "float", "money", "smallmoney")
 _NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "decimal", "numeric", "money", "smallmoney", "bit")
 
-# Accepted spellings of connection-string keys.
-_SERVER_KEYS = ("server", "data source", "address", "addr", "network address")
-_DATABASE_KEYS = ("database", "initial catalog")
-_USER_KEYS = ("user id", "uid", "user")
 _UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "Zulu", "Etc/GMT", "Universal", "Etc/Universal", "UCT", "Etc/UCT")
 
 # Of how many tables one statement asks the greatest watermark.
 TABLES_PER_STATEMENT = 100
-MAX_ZONE_TASKS = 1000
 
 
 @dataclass
@@ -91,31 +89,30 @@ class JdbcSource:
 
     @classmethod
     def from_connection_string(cls, spark: SparkSession, text: str, **kwargs) -> JdbcSource:
-        """From ``Server=tcp:host,1433;Database=d;User Id=u;Password=p;Encrypt=true`` or a JDBC URL."""
+        """From ``Server=tcp:host,1433;Database=d;User Id=u;Password=p;Encrypt=true`` or a JDBC URL.
+
+        A key that is neither passed on nor known to have no effect is refused.
+        """
+        found = connection.settings(text)
+        password = connection.chosen(found, "password")
         if text.lower().startswith("jdbc:"):
-            return cls(spark, text, password=password_of(text), **kwargs)
-        parts = {}
-        for pair in text.split(";"):
-            key, found, value = pair.partition("=")
-            if found:
-                parts[key.strip().lower()] = value.strip()
-        first = lambda keys: next((parts[k] for k in keys if parts.get(k)), None)
-        server = first(_SERVER_KEYS)
+            source = cls(spark, text, password=password, **kwargs)
+            source.secrets = (*source.secrets, *connection.secrets_of(text))
+            return source
+        server = connection.chosen(found, "server")
         if not server:
             raise SettingError("the connection string names no server")
+        if unknown := connection.unknown(found):
+            raise SettingError(f"the connection string has settings that are not understood: {', '.join(unknown)}")
         host, _, port = server.removeprefix("tcp:").partition(",")
         url = f"jdbc:sqlserver://{host.strip()}" + (f":{port.strip()}" if port else "")
-        options = {
-            name: parts[key]
-            for key, name in (("encrypt", "encrypt"), ("trustservercertificate", "trustServerCertificate"))
-            if key in parts
-        }
-        if parts.get("integrated security", "").lower() in ("true", "yes", "sspi"):
+        options = {connection.PROPERTIES[key]: value for key, value in found.items() if key in connection.PROPERTIES}
+        if (connection.chosen(found, "integrated") or "").lower() in ("true", "yes", "sspi"):
             options["integratedSecurity"] = "true"
-        if first(_DATABASE_KEYS):
-            options["databaseName"] = first(_DATABASE_KEYS)
-        source = cls(spark, url, first(_USER_KEYS), password_of(text), options, **kwargs)
-        source.secrets = (text, *source.secrets)
+        if connection.chosen(found, "database"):
+            options["databaseName"] = connection.chosen(found, "database")
+        source = cls(spark, url, connection.chosen(found, "user"), password, options, **kwargs)
+        source.secrets = (text, *source.secrets, *connection.secrets_of(text))
         return source
 
     # ------------------------------------------------------------------ reading
@@ -132,9 +129,9 @@ class JdbcSource:
             self._limits["socketTimeout"] = str(config.query_timeout_sec * 1000)
 
     def _zones(self) -> set[str]:
-        """The default zones of the driver and of the executors that take part in a small job."""
+        """The default zones of the driver and of the executors, asked in a job of a task for each core."""
         driver = self.spark._jvm.java.time.ZoneId.systemDefault().getId()
-        tasks = min(self.spark.sparkContext.defaultParallelism, MAX_ZONE_TASKS)
+        tasks = self.spark.sparkContext.defaultParallelism
         asked = self.spark.range(0, tasks, 1, tasks).selectExpr("reflect('java.time.ZoneId', 'systemDefault') AS zone")
         return {driver, *(row["zone"] for row in asked.distinct().collect())}
 
@@ -309,6 +306,8 @@ def bound_sql(value: str, spec: ColumnSpec) -> str:
 
 def tidy_watermark(text: str | None, spec: ColumnSpec) -> str | None:
     """The source's rendering in checkpoint form: fractions in groups of three digits."""
+    if text is not None and spec.type_name in _PLAIN_NUMBERS:
+        return plain_number(text, spec.type_name)
     if text is None or spec.type_name not in ("time", "datetime", "smalldatetime", "datetime2", "datetimeoffset"):
         return text.lower() if text is not None and spec.type_name == "uniqueidentifier" else text
     whole, _, fraction = text.strip().partition(".")
@@ -319,5 +318,16 @@ def tidy_watermark(text: str | None, spec: ColumnSpec) -> str | None:
     return tidy.replace(" ", "T") + "+00:00" if spec.type_name == "datetimeoffset" else tidy
 
 
+def plain_number(text: str, type_name: str) -> str:
+    """A float or money value in the form the target's side renders it: shortest digits, no exponent."""
+    value = float(text)
+    if value != value or value in (float("inf"), float("-inf")):
+        return {"nan": "NaN"}.get(str(value), str(value))
+    if type_name == "real":  # the target holds the widened value
+        value = struct.unpack("f", struct.pack("f", value))[0]
+    shown = format(Decimal(repr(value)), "f")
+    return shown.rstrip("0").rstrip(".") if "." in shown else shown
+
+
 def _watermark_spec(table: TableSync, columns: list[ColumnSpec]) -> ColumnSpec:
     return next(c for c in columns if c.name.lower() == table.watermark_column.lower())
