@@ -57,7 +57,8 @@ def run(spark: SparkSession) -> tuple[dict[str, float], dict[str, int]]:
 
     out = tempfile.mkdtemp(prefix="tidemark-bench-")
     frames = {f"dbo.{t}": load(spark, SF_DIR, t) for t in KEYS}
-    source = tm.FrameSource(spark, frames)
+    # The test tables are single files of one row group, so full scans are spread over the cores.
+    source = tm.FrameSource(spark, frames, spread=True)
     lines, one = frames["dbo.lineitem"], [entry("lineitem")]
     everything = [entry(t) for t in KEYS]
 
@@ -78,11 +79,26 @@ def run(spark: SparkSession) -> tuple[dict[str, float], dict[str, int]]:
         "delta_upsert_lineitem", lambda: tm.sync_tables(later, out, one, spark=spark)
     ).total_rows_fetched
 
+    # One row in a hundred, from all over the table.
+    scattered = F.col("l_orderkey") % 100 == 17
+    spread_out = changed.withColumn(
+        "l_shipdate", F.when(scattered, F.expr("timestamp_ntz'2003-01-01 00:00:00'")).otherwise(F.col("l_shipdate"))
+    )
+    random_keys = tm.FrameSource(spark, {"dbo.lineitem": spread_out})
+    rows["scattered_upsert_lineitem"] = timed(
+        "scattered_upsert_lineitem", lambda: tm.sync_tables(random_keys, out, one, spark=spark)
+    ).total_rows_fetched
+
     lake = tempfile.mkdtemp(prefix="tidemark-bench-")
     rows["full_load_all_tables"] = timed(
         "full_load_all_tables", lambda: tm.sync_tables_distributed(source, lake, everything, spark=spark)
     )["total_rows_fetched"]
     timed("no_op_all_tables", lambda: tm.sync_tables_distributed(source, lake, everything, spark=spark))
+    missing = tm.FrameSource(spark, {n: f for n, f in frames.items() if n != "dbo.nation"})
+    timed(
+        "no_op_one_missing",
+        lambda: tm.sync_tables_distributed(missing, lake, everything, spark=spark, raise_on_error=False),
+    )
     timed("preflight_all_tables", lambda: tm.preflight(source, everything, output_uri=lake, spark=spark))
 
     timed("reconcile_all_tables", lambda: tm.reconcile(source, lake, everything, spark=spark).collect())

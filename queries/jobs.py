@@ -162,6 +162,51 @@ def rebuild_from_source(spark, sf):
     return _target(spark, out, "orders").withColumn("fetched_later", F.lit(later.rows_fetched).cast("bigint"))
 
 
+def tables_named_like_folders(spark, sf):
+    """Tables called after the folders that hold tables, and one whose name goes on from another's."""
+    out, names = work_dir(spark), {"dbo.commits": "nation", "dbo.data": "region", "dbo": "supplier", "dbo.orders": "orders"}
+    source = tm.FrameSource(spark, {name: load(spark, sf, table) for name, table in names.items()})
+    tables = [entry(table) | {"table": name} for name, table in names.items()]
+    tm.sync_tables(source, out, tables, spark=spark)
+    tm.vacuum(out, tables, spark=spark)
+    store = CheckpointStore(spark, f"{out}/_streamer_checkpoints")
+    held = {name: SnapshotTarget(spark, f"{out}/{name.replace('.', '/')}").read().count() for name in names}
+    rows = spark.createDataFrame(list(held.items()), "table_name string, held_rows bigint")
+    return store.view().drop("synced_at").join(rows, "table_name")
+
+
+def empty_rebuild(spark, sf):
+    """Rebuilding a table that has no target yet from an empty source, then syncing it."""
+    out, customers = work_dir(spark), load(spark, sf, "customer")
+    nothing = _source(spark, sf, customer=customers.where("false"))
+    rebuilt = tm.rebuild_table(nothing, out, entry("customer"), spark=spark)
+    tm.sync_table(_source(spark, sf, "customer"), out, entry("customer"), spark=spark)
+    return _target(spark, out, "customer").withColumn("rebuilt_rows", F.lit(rebuilt.rows_fetched).cast("bigint"))
+
+
+def one_missing_table(spark, sf):
+    """Of all tables, idle by now, one is gone at the source: the others are still found idle.
+
+    ``commits`` counts what a target has committed: one load, and nothing since.
+    """
+    out, names = work_dir(spark), list(KEYS)
+    tm.sync_tables_distributed(_source(spark, sf, *names), out, [entry(n) for n in names], spark=spark)
+    left = [n for n in names if n != "nation"]
+    again = tm.sync_tables_distributed(
+        _source(spark, sf, *left), out, [entry(n) for n in names], spark=spark, raise_on_error=False
+    )
+    commits = {f"dbo.{n}": SnapshotTarget(spark, f"{out}/dbo/{n}").current().version + 1 for n in names}
+    rows = [(r["table"], r.get("rows_fetched"), commits[r["table"]], r["error"] is not None) for r in [*again["tables"], *again["failures"]]]
+    return spark.createDataFrame(rows, '"table" string, rows_fetched bigint, commits int, failed boolean'.replace('"', "`"))
+
+
+def reconcile_double_mark(spark, sf):
+    """A watermark of type double reads the same on both sides."""
+    out, part = work_dir(spark), entry("part", watermark_column="p_retailprice")
+    tm.sync_tables(_source(spark, sf, "part"), out, [part], spark=spark)
+    return tm.reconcile(_source(spark, sf, "part"), out, [part], spark=spark).select("table", "source_rows", "target_rows", "in_step")
+
+
 ORDERS_SQL = "SELECT * FROM orders"
 
 
@@ -237,6 +282,27 @@ QUERIES = {
         "SELECT *, (SELECT count(*) FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01') AS rows_fetched FROM orders",
     ),
     "forced_resync": (forced_resync, "SELECT * FROM customer"),
+    "tables_named_like_folders": (
+        tables_named_like_folders,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{WATERMARKS[t]}' AS watermark_column, {watermark_sql(t)} AS last_value, "
+            f"(SELECT count(*) FROM {t}) AS held_rows"
+            for name, t in {"dbo.commits": "nation", "dbo.data": "region", "dbo": "supplier", "dbo.orders": "orders"}.items()
+        ),
+    ),
+    "empty_rebuild": (empty_rebuild, "SELECT *, CAST(0 AS BIGINT) AS rebuilt_rows FROM customer"),
+    "one_missing_table": (
+        one_missing_table,
+        " UNION ALL ".join(
+            f"SELECT 'dbo.{t}' AS \"table\", CAST({'NULL' if t == 'nation' else '0'} AS BIGINT) AS rows_fetched, "
+            f"1 AS commits, {'true' if t == 'nation' else 'false'} AS failed"
+            for t in KEYS
+        ),
+    ),
+    "reconcile_double_mark": (
+        reconcile_double_mark,
+        "SELECT 'dbo.part' AS \"table\", count(*) AS source_rows, count(*) AS target_rows, true AS in_step FROM part",
+    ),
     "rebuild_from_source": (
         rebuild_from_source,
         "SELECT *, CAST(0 AS BIGINT) AS fetched_later FROM orders WHERE o_orderstatus <> 'F'",

@@ -181,10 +181,13 @@ def hex_documents(spark, sf):
 
 
 def text_fallback_embeddings(spark, sf):
-    """A type without any mapping becomes text; its length in elements survives."""
+    """A type without any mapping becomes text; every element can be read back from it."""
     vectors = load(spark, sf, "embeddings")
     typed = conform(vectors, describe_schema(vectors.schema))
-    return typed.select("vec_id", "label", F.size(F.split("embedding", ", ")).alias("elements"))
+    elements = F.split(F.expr("substring(embedding, 2, length(embedding) - 2)"), ", ")
+    return typed.select("vec_id", "label", F.posexplode(elements).alias("place", "value")).select(
+        "vec_id", "label", "place", F.col("value").cast("float").cast("double").alias("value")
+    )
 
 
 QUERIES = {
@@ -253,6 +256,7 @@ QUERIES = {
     "hex_documents": (hex_documents, "SELECT doc_id, lower(hex(encode(text))) AS text_hex FROM documents"),
     "text_fallback_embeddings": (
         text_fallback_embeddings,
-        "SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS elements FROM embeddings",
+        """SELECT vec_id, label, CAST(unnest(range(len(embedding))) AS INTEGER) AS place,
+                  CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings""",
     ),
 }

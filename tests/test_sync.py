@@ -137,7 +137,7 @@ def test_the_first_failing_table_ends_the_run(spark, out):
     bad = dict(TABLE, table="dbo.bad")
     frames = {t["table"]: customers(spark) for t in (good, bad, other)}
     source = tm.FrameSource(spark, frames, {"dbo.bad": {"name": ("int",)}})
-    with pytest.raises(InvalidValueError, match="dbo.bad: value in column name is not a valid int"):
+    with pytest.raises(InvalidValueError, match="dbo.bad: column name holds something other than int"):
         tm.sync_tables(source, out, [good, bad, other], spark=spark)
     assert target(spark, out).count() == 5 and last_value(spark, out, good)
     assert last_value(spark, out, bad) is None
@@ -370,3 +370,87 @@ def test_a_session_outside_utc_is_refused(spark, out):
             sync(spark, out, customers(spark))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_many_tables_at_once_are_all_asked_for(spark, out, monkeypatch):
+    """A request for 100 tables at a time is kept."""
+    from tidemark.plans import sync as plans
+
+    seen = []
+
+    class Pool(plans.ThreadPoolExecutor):
+        def __init__(self, n):
+            seen.append(n)
+            super().__init__(4)
+
+    monkeypatch.setattr(plans, "ThreadPoolExecutor", Pool)
+    tables = [dict(TABLE, table=f"dbo.t{i}") for i in range(100)]
+    source = tm.FrameSource(spark, {})
+    tm.sync_tables_distributed(source, out, tables, spark=spark, num_partitions=100, raise_on_error=False)
+    assert seen == [100]
+
+
+def test_one_bad_table_leaves_the_idle_check_to_the_others(spark, out, monkeypatch):
+    tables = [dict(TABLE, table=f"dbo.t{i}") for i in range(5)]
+    frames = {t["table"]: customers(spark) for t in tables}
+    tm.sync_tables(tm.FrameSource(spark, frames), out, tables, spark=spark)
+    staged = []
+    stage = SnapshotTarget.stage
+    monkeypatch.setattr(SnapshotTarget, "stage", lambda self, df: staged.append(self.uri) or stage(self, df))
+    del frames["dbo.t2"]
+    result = tm.sync_tables_distributed(tm.FrameSource(spark, frames), out, tables, spark=spark, raise_on_error=False)
+    assert staged == [] and [f["table"] for f in result["failures"]] == ["dbo.t2"]
+    assert [t["rows_fetched"] for t in result["tables"]] == [0] * 4
+
+
+class OtherTarget:
+    """A second target, as plain as can be: one Parquet folder for each version, named in memory."""
+
+    held: dict = {}
+
+    def __init__(self, spark, uri):
+        self.spark, self.uri = spark, uri
+
+    def exists(self):
+        return self.uri in self.held
+
+    def open(self, schema):
+        return schema
+
+    def open_or_create(self, schema):
+        if not self.exists():
+            self.held[self.uri] = (self.spark.createDataFrame([], schema), schema)
+
+    def read(self):
+        return self.held[self.uri][0]
+
+    def stage(self, df):
+        return df
+
+    def publish(self, df):
+        self.held[self.uri] = (df, df.schema)
+
+    def replace(self, staged, keys, watermark, type_name="", base=None):
+        from tidemark.sinks.snapshot import MergeStats, staged_totals
+
+        totals = staged_totals(staged, keys, watermark, type_name)
+        self.publish(staged)
+        return MergeStats(totals["fetched"], totals["fetched"], 0, 0, totals["newest"])
+
+    merge = replace
+
+    def vacuum(self, retain_hours):
+        return 7
+
+
+def test_the_hand_made_steps_go_through_the_chosen_target(spark, out):
+    chosen = {"target_factory": OtherTarget}
+    source = tm.FrameSource(spark, {"dbo.customers": customers(spark)})
+    assert tm.rebuild_table(source, out, TABLE, spark=spark, **chosen).rows_fetched == 5
+    uri = f"{out}/dbo/customers"
+    assert OtherTarget.held[uri][0].count() == 5 and not SnapshotTarget(spark, uri).exists()
+    [row] = tm.reconcile(source, out, [TABLE], spark=spark, **chosen).collect()
+    assert (row["source_rows"], row["target_rows"], row["in_step"]) == (5, 5, True)
+    assert tm.vacuum(out, [TABLE], spark=spark, **chosen) == 7
+    tm.bulk_load(out, TABLE, customers(spark, n=2), **chosen)
+    assert OtherTarget(spark, uri).read().count() == 2 and not SnapshotTarget(spark, uri).exists()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark.config import SyncConfig, TableSync, build_catalog
@@ -10,7 +12,8 @@ from tidemark.operators.catalog import config_frame, described_frame, preflight_
 from tidemark.operators.scan import summary
 from tidemark.plans.sync import _session, _source
 from tidemark.sinks.checkpoint import CHECKPOINT_SCHEMA, CheckpointStore
-from tidemark.sinks.snapshot import MIN_RETAIN_HOURS, Commit, SnapshotTarget
+from tidemark.sinks.delta import default_target
+from tidemark.sinks.snapshot import MIN_RETAIN_HOURS
 from tidemark.sinks.storage import at_once
 from tidemark.sources import Source
 from tidemark.sources.base import require_columns
@@ -78,11 +81,11 @@ def delete_checkpoint(
     CheckpointStore(_session(spark), config.checkpoint_uri).delete(entry)
 
 
-def bulk_load(output_uri: str, table: TableSync | dict, rows: DataFrame) -> Commit:
-    """Writes ``rows`` as the whole table: a first load by other means, or a rebuild."""
+def bulk_load(output_uri: str, table: TableSync | dict, rows: DataFrame, *, target_factory: Callable = default_target):
+    """Writes ``rows`` as the whole table: a first load by other means, or a rebuild. Returns what the target says."""
     [entry] = build_catalog([table])
     uri = SyncConfig(output_uri).validate().table_uri(entry.table)
-    return SnapshotTarget(rows.sparkSession, uri).publish(rows)
+    return target_factory(rows.sparkSession, uri).publish(rows)
 
 
 def vacuum(
@@ -92,6 +95,7 @@ def vacuum(
     checkpoint_uri: str | None = None,
     retain_hours: float = MIN_RETAIN_HOURS,
     spark: SparkSession | None = None,
+    target_factory: Callable = default_target,
 ) -> int:
     """Removes superseded files of the tables and of their checkpoints; returns how many.
 
@@ -100,7 +104,7 @@ def vacuum(
     config, spark = SyncConfig(output_uri, checkpoint_uri).validate(), _session(spark)
     store = CheckpointStore(spark, config.checkpoint_uri)
     catalog = build_catalog(tables)
-    targets = [SnapshotTarget(spark, config.table_uri(t.table)) for t in catalog] + [store.target(t) for t in catalog]
+    targets = [target_factory(spark, config.table_uri(t.table)) for t in catalog] + [store.target(t) for t in catalog]
     return sum(at_once(spark, lambda target: target.vacuum(retain_hours), targets))
 
 
@@ -151,6 +155,7 @@ def reconcile(
     login_timeout_sec: int | None = 30,
     query_timeout_sec: int | None = 300,
     spark: SparkSession | None = None,
+    target_factory: Callable = default_target,
 ) -> DataFrame:
     """Row counts and greatest watermarks of source and target, one row per table.
 
@@ -167,7 +172,7 @@ def reconcile(
         watermark, _ = require_columns(entry, columns)
         type_name = next(c.type_name for c in columns if c.name == watermark)
         source_rows, source_newest = reader.summary(entry, columns)
-        target = SnapshotTarget(spark, config.table_uri(entry.table))
+        target = target_factory(spark, config.table_uri(entry.table))
         rows, newest = summary(target.read(), watermark, type_name).first() if target.exists() else (0, None)
         return entry.table, source_rows, rows, source_newest, newest, source_rows - rows, source_newest == newest
 
