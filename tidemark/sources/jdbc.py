@@ -74,14 +74,17 @@ TABLES_PER_STATEMENT = 100
 
 @dataclass
 class JdbcSource:
-    """Tables of one database server. ``options`` go to Spark's JDBC reader unchanged."""
+    """Tables of one database server. ``options`` go to Spark's JDBC reader unchanged.
+
+    A scan is read by ``num_partitions`` tasks, as many as the cluster has cores if not given.
+    """
 
     spark: SparkSession
     url: str = field(repr=False)
     user: str | None = None
     password: str | None = field(default=None, repr=False)
     options: dict[str, str] = field(default_factory=dict, repr=False)
-    num_partitions: int = 1
+    num_partitions: int | None = None
 
     def __post_init__(self):
         self.secrets = tuple(s for s in (self.url, self.password) if s)
@@ -135,17 +138,21 @@ class JdbcSource:
         asked = self.spark.range(0, tasks, 1, tasks).selectExpr("reflect('java.time.ZoneId', 'systemDefault') AS zone")
         return {driver, *(row["zone"] for row in asked.distinct().collect())}
 
-    def query(self, sql: str, **split) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.reader_options(sql, **split)).load()
+    def query(self, sql: str, predicates: list[str] | None = None) -> DataFrame:
+        """One task for each predicate; a single one without."""
+        options = self.reader_options(sql)
+        if not predicates:
+            return self.spark.read.format("jdbc").options(**options).load()
+        url, rows = options.pop("url"), options.pop("dbtable")
+        return self.spark.read.jdbc(url, rows, predicates=predicates, properties=options)
 
-    def reader_options(self, sql: str, **split) -> dict[str, str]:
+    def reader_options(self, sql: str) -> dict[str, str]:
         credentials = {"user": self.user, "password": self.password}
         return {
             "url": self.url,
             "dbtable": f"({sql}) AS src",
             **{k: v for k, v in credentials.items() if v is not None},
             **self._limits,
-            **split,
             **self.options,
         }
 
@@ -198,36 +205,27 @@ class JdbcSource:
         if last_value is not None and newest in (None, last_value):
             return None
         sql = scan_sql(table, columns, last_value, newest)
-        return Scan(self.query(sql, **self._split(table, columns, sql)), newest, bounded=True)
+        return Scan(self.query(sql, predicates=self._ranges(table, columns, sql)), newest, bounded=True)
 
-    def _split(self, table: TableSync, columns: list[ColumnSpec], sql: str) -> dict[str, str]:
-        """Reader options that cut one table into ranges, read by as many tasks.
+    def _ranges(self, table: TableSync, columns: list[ColumnSpec], sql: str) -> list[str]:
+        """Predicates that cut one table into ranges of about as many rows each; none if it cannot be cut.
 
-        The ranges are of the first whole-number key column, else of the watermark if Spark
-        can cut it. Either is safe: a row that is changed during the read leaves the bounded
-        scan altogether and comes with the next run.
+        The ranges are of the first whole-number key column, else of the watermark if it is a number or
+        a time. Their ends are quantiles, so that dense stretches are cut finer. Either column is safe: a
+        row that is changed during the read leaves the bounded scan altogether and comes with the next run.
         """
-        if self.num_partitions < 2:
-            return {}
+        n = self.num_partitions or self.spark.sparkContext.defaultParallelism
+        if n < 2:
+            return []
         keys = [find_column([c.name for c in columns], k) for k in table.primary_key]
         whole = [c for c in columns if c.name in keys and isinstance(c.spark_type, T.IntegralType)]
         watermark = _watermark_spec(table, columns)
         cuttable = isinstance(watermark.spark_type, (T.IntegralType, T.DateType, T.TimestampType))
-        spec = whole[0] if whole else watermark if cuttable and watermark.type_name != "datetimeoffset" else None
+        spec = whole[0] if whole else watermark if cuttable else None
         if spec is None:
-            return {}
-        name = quoted(spec.name)
-        shape = WATERMARK_TEXT.get(spec.type_name, WATERMARK_TEXT_OTHERWISE)
-        low, high = (shape.format(w=f"{f}({name})") for f in ("MIN", "MAX"))
-        bounds = self.query(f"SELECT {low} AS low, {high} AS high FROM ({sql}) AS ends").first()
-        if bounds[0] is None or bounds[0] == bounds[1]:
-            return {}
-        return {
-            "partitionColumn": spec.name,
-            "lowerBound": str(bounds[0]),
-            "upperBound": str(bounds[1]),
-            "numPartitions": str(self.num_partitions),
-        }
+            return []
+        starts = [row[0] for row in self.query(quantile_sql(spec, sql, n)).collect()]
+        return range_predicates(spec, [tidy_watermark(s, spec) for s in starts])
 
 
 # ----------------------------------------------------------------------------- SQL text
@@ -251,6 +249,24 @@ def catalog_sql(database: str | None, tables: list[str]) -> str:
     )
 
 
+def quantile_sql(spec: ColumnSpec, sql: str, n: int) -> str:
+    """The least value of each of n parts of as many rows, as checkpoint text, in order; NULLs aside."""
+    name = quoted(spec.name)
+    parts = f"SELECT {name}, NTILE({n}) OVER (ORDER BY {name}) AS part FROM ({sql}) AS src WHERE {name} IS NOT NULL"
+    shape = WATERMARK_TEXT.get(spec.type_name, WATERMARK_TEXT_OTHERWISE).format(w=f"MIN({name})")
+    return f"SELECT {shape} AS low FROM ({parts}) AS parts GROUP BY part ORDER BY MIN({name})"
+
+
+def range_predicates(spec: ColumnSpec, starts: list[str]) -> list[str]:
+    """Ranges that begin at ``starts``; every value lies in exactly one, NULLs in the first."""
+    name = quoted(spec.name)
+    ends = [bound_sql(s, spec) for s in dict.fromkeys(starts)][1:]
+    if not ends:
+        return []
+    between = [f"{name} >= {low} AND {name} < {high}" for low, high in zip(ends, ends[1:])]
+    return [f"{name} < {ends[0]} OR {name} IS NULL", *between, f"{name} >= {ends[-1]}"]
+
+
 def projection_sql(columns: list[ColumnSpec]) -> str:
     """Every described column by name, so the order cannot drift from the description."""
     parts = []
