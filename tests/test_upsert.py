@@ -296,3 +296,19 @@ def test_merges_equal_a_model_of_them(spark, tmp_path_factory, batches):
         held |= best
     expected = [(k, v, w) for k, (w, v) in held.items()] + loose
     assert rows(table.read()) == sorted(expected, key=str)
+
+
+def test_a_local_path_is_refused_on_a_cluster(spark, out, monkeypatch):
+    from tidemark.sinks import storage
+
+    rows = spark.createDataFrame([(1, "a", 1)], PEOPLE)
+    monkeypatch.setattr(storage, "_in_one_process", lambda _: False)
+    with pytest.raises(SettingError, match="local path"):
+        SnapshotTarget(spark, out).publish(rows)
+    spark.conf.set("spark.tidemark.sharedOutput", "true")
+    try:
+        SnapshotTarget(spark, out).publish(rows)
+    finally:
+        spark.conf.unset("spark.tidemark.sharedOutput")
+    monkeypatch.setattr(storage, "_shared_folder", lambda _: f"file://{out}-shared")
+    SnapshotTarget(spark, f"{out}-shared/t").publish(rows)

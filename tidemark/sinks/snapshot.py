@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.functions.render import render_text
 from tidemark.operators.upsert import has_key, last_writer, named, require_keys, upsert
-from tidemark.sinks.storage import at_once, storage
+from tidemark.sinks.storage import at_once, require_shared, storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
 
@@ -130,6 +130,7 @@ class SnapshotTarget:
 
     def stage(self, df: DataFrame) -> Staged:
         """Writes ``df`` once. What follows reads these files, never the source again."""
+        require_shared(self.spark, self.uri)
         run = uuid.uuid4().hex
         df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(self._run_uri(run))
         return Staged(self.spark.read.schema(df.schema).parquet(self._run_uri(run)), {run: None})

@@ -13,7 +13,10 @@ from pyspark import inheritable_thread_target
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-from tidemark.errors import ConcurrentWriteError, TargetError
+from tidemark.errors import ConcurrentWriteError, SettingError, TargetError
+
+# The setting by which a caller states that a local path is a folder all executors share.
+SHARED_SETTING = "spark.tidemark.sharedOutput"
 
 # Metadata calls wait for the store, so several are under way at a time.
 CALLS_AT_ONCE = 16
@@ -39,6 +42,30 @@ def at_once(spark: SparkSession, call: Callable, items: Iterable) -> list:
         return list(pool.map(inheritable_thread_target(spark)(call), items))
 
 
+def require_shared(spark: SparkSession, uri: str) -> None:
+    """Refuses a local path on a cluster, where each executor would write to a disk of its own.
+
+    A folder beneath ``spark.checkpoint.dir`` is shared, and so is whatever SHARED_SETTING vouches for.
+    """
+    if _in_one_process(spark) or storage(spark).scheme(uri) != "file":
+        return
+    shared = _shared_folder(spark)
+    plain = lambda path: path.removeprefix("file:").lstrip("/")
+    if shared and plain(uri).startswith(plain(shared).rstrip("/") + "/"):
+        return
+    if spark.conf.get(SHARED_SETTING, "false").lower() != "true":
+        raise SettingError(f"{uri} is a local path; if all executors share it, set {SHARED_SETTING} to true")
+
+
+def _shared_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def _in_one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 class Storage:
     def __init__(self, spark: SparkSession):
         hadoop = spark._jvm.org.apache.hadoop.fs
@@ -67,6 +94,9 @@ class Storage:
             raise TargetError(f"cannot list {uri}") from None
         return [(s.getPath().getName(), s.getModificationTime()) for s in entries]
 
+    def scheme(self, uri: str) -> str:
+        return self._fs(uri)[0].getScheme()
+
     def size(self, uri: str) -> int:
         fs, path = self._fs(uri)
         return fs.getContentSummary(path).getLength()
