@@ -454,3 +454,17 @@ def test_the_hand_made_steps_go_through_the_chosen_target(spark, out):
     assert tm.vacuum(out, [TABLE], spark=spark, **chosen) == 7
     tm.bulk_load(out, TABLE, customers(spark, n=2), **chosen)
     assert OtherTarget(spark, uri).read().count() == 2 and not SnapshotTarget(spark, uri).exists()
+
+
+@pytest.mark.parametrize("step, message", [("describe", "looking up its columns"), ("scan", "newest watermark"), ("stage", "fetching rows")])
+def test_a_stalled_source_is_told_by_its_step(spark, out, monkeypatch, step, message):
+    from pyspark.errors import PySparkException
+
+    from tidemark.errors import SourceUnavailableError
+
+    def stall(*_):
+        raise PySparkException("com.microsoft.sqlserver.jdbc.SQLServerException: Read timed out")
+
+    monkeypatch.setattr(SnapshotTarget if step == "stage" else tm.FrameSource, step, stall)
+    with pytest.raises(SourceUnavailableError, match=f"^dbo.customers: .*{message}$"):
+        sync(spark, out, customers(spark))

@@ -8,6 +8,7 @@ No message holds a row value, a password or a connection string.
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 
@@ -91,6 +92,21 @@ _CONNECT_MARKERS = (
 )
 
 
+# Fixed text: fragments by which JDBC drivers report that a wait was too long.
+_TIMEOUT_MARKERS = ("read timed out", "sockettimeoutexception", "socket timeout", "query has timed out")
+
+
+@contextmanager
+def during(step: str):
+    """Names the step in which the source did not answer in time."""
+    try:
+        yield
+    except Exception as e:
+        if _is_spark_failure(e) and any(marker in str(e).lower() for marker in _TIMEOUT_MARKERS):
+            raise SourceUnavailableError(f"the source took too long while {step}") from None
+        raise
+
+
 def redact(message: str, secrets) -> str:
     """Replaces every secret in ``message``; longest first, so no fragment survives."""
     for secret in sorted({s for s in secrets if s}, key=len, reverse=True):
