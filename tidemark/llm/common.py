@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -20,20 +21,27 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, whose Python may not have it installed.
 
-    The archive is a file of the driver alone; Spark's own file service hands it out.
+    The archive lies in the shared folder, from where Spark hands it out.
     """
+    from pyarrow import fs
+
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "tidemark_package.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for folder, _, names in sorted(os.walk(package)):
             for name in sorted(names):
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(archive)
+    place = scratch(spark)
+    store, path = fs.FileSystem.from_uri(place)
+    store.create_dir(path, recursive=True)
+    with store.open_output_stream(f"{path}/tidemark_package.zip") as out:
+        out.write(held.getvalue())
+    context.addPyFile(f"{place}/tidemark_package.zip")
     _SHIPPED.add(context.applicationId)
 
 
