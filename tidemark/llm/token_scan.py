@@ -123,13 +123,16 @@ def document_lengths(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
     # a document starts behind the separator before its own, or where the scan says it is open since
     starts = F.concat(F.array("open"), F.transform("ends", lambda x: x + 1))
     tail = F.when(F.col("is_last") & (F.element_at(starts, -1) < F.col("stop")), F.array("stop")).otherwise(F.array().cast("array<long>"))
-    rows = scanned.select("file", "first", F.size("ends").alias("n"), starts.alias("starts"), F.posexplode(F.concat("ends", tail)).alias("i", "end"))
-    start = F.expr("starts[i]")
+    stops = F.concat("ends", tail)
+    spans = F.zip_with(F.slice(starts, F.lit(1), F.size(stops)), stops, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    # few rows with long arrays: spread again before each becomes a row for every document
+    spread = scanned.select("file", "first", F.size("ends").alias("n"), spans.alias("spans")).repartition(parts, "file", "first")
+    rows = spread.select("file", "first", "n", F.posexplode("spans").alias("i", "span"))
     return rows.select(
         "file",
         (F.col("first") + F.col("i")).alias("ordinal"),
-        start.alias("start"),
-        (F.col("end") - start).alias("n_tokens"),
+        F.col("span.start").alias("start"),
+        (F.col("span.end") - F.col("span.start")).alias("n_tokens"),
         (F.col("i") < F.col("n")).alias("closed"),
     )
 
@@ -140,4 +143,5 @@ def token_counts(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     folder = scratch(spark)
     places = written(encode(docs, f"{folder}/tokens", id_column, text_column, path=path), f"{folder}/places")
     lengths = document_lengths(places, f"{folder}/tokens", block_tokens=block_tokens)
-    return places.join(lengths, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
+    # both sides grow with the documents, though the blocks' rows look small: no broadcast
+    return places.join(lengths.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
