@@ -201,9 +201,9 @@ def shards_of(model: DataFrame, order: int, max_rows: int) -> Iterator[Shard]:
     for number in range(shards):
         rows = keyed
         if shards > 1:
-            mine = [k for k in range(1 << 16) if int(_slot(np.array([k]), 32)[0]) % shards == number]
-            spark = model.sparkSession
-            keys = spark.createDataFrame([(k,) for k in mine], "key long")
+            every = np.arange(1 << 16)
+            mine = every[_slot(every, 32) % shards == number].tolist()
+            keys = model.sparkSession.createDataFrame([(k,) for k in mine], "key long")
             rows = keyed.where("size <= 2").unionByName(keyed.where("size > 2").join(keys, "key", "left_semi"))
         table = rows.select("size", "kind", "gram", "value").toArrow()
         size, kind = table.column("size").to_numpy(), table.column("kind").to_numpy()
@@ -266,7 +266,8 @@ def quality(
         F.col(id_column).cast("long").alias("doc_id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text")
     )
     trusted = labels.where(F.col(label_column) == 1).select(F.col(id_column).cast("long").alias("doc_id")).distinct()
-    trained = rows.where(~held_out("doc_id")).join(trusted, "doc_id", "left_semi")
+    # the labels grow with the documents, so their ids are joined by a shuffle at every size
+    trained = rows.where(~held_out("doc_id")).join(trusted.hint("merge"), "doc_id", "left_semi")
     full = written(counts(trained, order), f"{folder}/counts-{order}")
     model = estimate(full, order, folder)
     scored = written(log_probabilities(model, rows, order, max_rows), f"{folder}/scored")
