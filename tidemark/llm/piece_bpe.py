@@ -26,11 +26,31 @@ from tidemark.llm.common import tokenizer_path
 
 DEFAULT = "piece_bpe_32k.model"
 SPACE = "\u2581"
-#: Units, and pairs of tokens, that one worker remembers before it starts afresh.
-REMEMBERED = 200_000
+#: Units, parts and pairs of tokens that one worker remembers: twice as many of each at most.
+REMEMBERED = 250_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class Recent:
+    """What was used lately: once the young half is full it becomes the old one, which is dropped."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= REMEMBERED:
+            self.old = dict(self.young)
+            self.young.clear()  # the same dict stays: callers hold its get
+        self.young[key] = value
+
+    def get_old(self, key):
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
 class PieceBpe:
     """Ids of a SentencePiece BPE model with byte fallback and no text normalisation."""
 
@@ -54,10 +74,10 @@ class PieceBpe:
                 self.automaton.add_word(p, (len(p), p))
         self.automaton.make_automaton()
         self._fits: dict[tuple[str, str], bool] = {}
+        self._shown = [f"{i} " for i in range(sp.vocab_size())]
         #: neighbouring characters that some piece holds; merges cross no other pair
         self.joined = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
-        self._parts: dict[str, list[int]] = {}
-        self._units: dict[str, tuple[tuple[int, ...], str]] = {}
+        self._parts, self._units = Recent(), Recent()
 
     def _merged(self, text: str) -> list[str]:
         """Plain merging, best score first and leftmost among equals; for pieces and pairs of them only."""
@@ -109,20 +129,19 @@ class PieceBpe:
     def _unit(self, unit: str) -> tuple[tuple[int, ...], str]:
         """A unit's ids, from parts between which no piece reaches; parts repeat more often than units."""
         ids: list[int] = []
-        start = 0
+        start, joined, known = 0, self.joined, self._parts
         for end in range(1, len(unit) + 1):
-            if end == len(unit) or unit[end - 1 : end + 1] not in self.joined:
+            if end == len(unit) or unit[end - 1 : end + 1] not in joined:
                 part = unit[start:end]
-                got = self._parts.get(part)
+                got = known.young.get(part) or known.get_old(part)
                 if got is None:
                     got = self._encode(part)
                     if len(part) <= 64:
-                        if len(self._parts) >= REMEMBERED:
-                            self._parts.clear()
-                        self._parts[part] = got
+                        known.put(part, got)
                 ids += got
                 start = end
-        return tuple(ids), "".join([f"{i} " for i in ids])
+        shown = self._shown
+        return tuple(ids), "".join([shown[i] for i in ids])
 
     def encode(self, text: str | None) -> tuple[list[int], str]:
         """Ids of the whole text, and the same as text with a space behind each."""
@@ -133,16 +152,17 @@ class PieceBpe:
             units = text.split(" ")
         else:  # a unit is a run of marks with the characters up to the next; the library puts one mark before the text
             units = re.findall(f"{SPACE}([^{SPACE}]+|{SPACE}+[^{SPACE}]*|$)", SPACE + text.replace(" ", SPACE))
-        found = list(map(known.get, units))
+        found = list(map(known.young.get, units))
         if None in found:
             for i, got in enumerate(found):
                 if got is None:
                     unit = units[i]
-                    found[i] = new = self._unit(SPACE + unit)
-                    if len(unit) <= 64:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[unit] = new
+                    new = known.get_old(unit)
+                    if new is None:
+                        new = self._unit(SPACE + unit)
+                        if len(unit) <= 64:
+                            known.put(unit, new)
+                    found[i] = new
         return list(chain.from_iterable([ids for ids, _ in found])), "".join([shown for _, shown in found])
 
 
