@@ -1,8 +1,8 @@
 """The upsert as plain DataFrame functions: frames in, frames out, nothing is written.
 
 Keys compare with ``=``: a NULL in any key column matches nothing, so such rows are always
-inserted and never joined, shuffled on or grouped by their key. That also keeps a large
-group of NULL keys out of the joins, where it would land in one task.
+inserted and never grouped by their key. Where they pass through a join a hash of their
+columns spreads them: a large group of NULL keys would else land in one task.
 """
 
 from __future__ import annotations
