@@ -61,7 +61,7 @@ class _Rows:
 
     def __init__(self, rows: list[np.ndarray]):
         self.bins = np.concatenate([*rows, np.empty(0, np.int32)])
-        self.of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         self.n = len(rows)
 
     def score(self, w: np.ndarray) -> np.ndarray:
@@ -147,8 +147,8 @@ def train(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-    positives: int = 3000,
-    unlabelled: int = 6000,
+    positives: int = 2000,
+    unlabelled: int = 5000,
     prior: float | None = None,
 ) -> ToxicityModel | None:
     """Fits a scorer on the bounded sample. ``labels`` has the documents' ids and 0, 1 or null.
