@@ -59,7 +59,8 @@ def scratch(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="llm-")
 
