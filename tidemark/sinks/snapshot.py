@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ConcurrentWriteError, SchemaConflictError, SettingError
 from tidemark.functions.render import render_text
-from tidemark.operators.upsert import has_key, last_writer, named, require_keys, upsert
+from tidemark.operators.upsert import apply_updates, has_key, last_writer, named, new_rows, require_keys
 from tidemark.sinks.storage import at_once, require_shared, storage
 
 MIN_RETAIN_HOURS = 168  # fixed value: the shortest clean-up window accepted
@@ -203,7 +203,10 @@ class SnapshotTarget:
             return MergeStats(fetched, fetched - superseded, 0, superseded, totals["newest"])
 
         old = self.frame(schema, touched)
-        written = self.stage_by_key(upsert(old, delta, keys), keys)
+        # A change is mostly far smaller than the files it touches: joined from their side, Spark can
+        # broadcast it, and the files' rows move once, into key order.
+        merged = apply_updates(old, delta, keys).unionByName(new_rows(delta, old, keys), allowMissingColumns=True)
+        written = self.stage_by_key(merged.select(*map(named, schema.names)), keys)
         self.commit(base, schema, {**self._without(base.runs, touched), **written.runs})
         inserted = _rows_gained(old, written.frame)
         self.discard(staged)
