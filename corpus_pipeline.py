@@ -6,7 +6,7 @@ them. The first three return rows of ``documents`` unchanged; the last returns t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, packing, simhash, toxicity
@@ -31,16 +31,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near-duplicates the document with the smallest id.
+    """Keeps one row of each group of near-duplicates: of those with the smallest id the one whose columns hash lowest.
 
-    Of rows that repeat that id one stays, the one whose columns hash lowest. Rows with a null id stay:
-    they cannot be told apart, so none stands for a group.
+    Groups are of texts, not of ids: rows that share an id but not a group each stand for their own.
+    Rows with a null id stay: they cannot be told apart, so none stands for a group.
     """
     ship(spark)
-    groups = simhash.near_duplicates(docs, length=3, distance=3)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    lowest = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(lowest)).where("_copy = 1")
+    folder = scratch(spark)
+    # a row is known by its id and hash; rows equal in both are equal, and one of them is enough
+    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns]))
+    # null ids have fingerprints too: their texts can link two groups, as in op1_simhash
+    prints = written(simhash.fingerprints(hashed, kept="_row"), f"{folder}/fingerprints")
+    labels = simhash.groups(prints, folder, distance=3)
+    first = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    first = first.join(labels, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    # the copies of a row are reduced in the tasks that read them, so that many of them do not meet in one
+    kept = hashed.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_row"]).join(first, ["doc_id", "_row"], "left_semi")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

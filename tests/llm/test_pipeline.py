@@ -62,6 +62,22 @@ def test_near_duplicates(spark, docs):
     assert not rows(got) - rows(docs) and 900_004 not in ids
 
 
+def test_near_duplicates_of_shared_ids(spark, docs):
+    """A group is one of texts: an id that several of them share does not make them one, nor hide a smaller id's group."""
+    texts = [r["text"] for r in docs.where("doc_id < 900000 AND n_chars > 300").orderBy("doc_id").limit(40).collect()]
+    prints = {t: plain_fingerprint(t) for t in texts}
+    apart = []
+    for t in texts:
+        if all((prints[t] ^ prints[o]).bit_count() > 12 for o in apart):
+            apart.append(t)
+    assert len(apart) >= 6
+    x, y, *others = apart
+    made = [(5, x), (5, y), (7, y), *[(9, t) for t in others], (9, others[0]), (8, others[1])]
+    table = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in made], docs.schema)
+    got = Counter((r["doc_id"], r["text"]) for r in STAGES["near_duplicates"](spark, table, SF).collect())
+    assert got == Counter([(5, x), (5, y), (8, others[1]), *[(9, t) for t in others if t != others[1]]])
+
+
 def test_packing(docs):
     check_packing(docs, 2048)
 

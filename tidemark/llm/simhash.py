@@ -62,16 +62,17 @@ def fingerprint(text: str | None, length: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 3) -> DataFrame:
-    """``doc_id, fp`` for every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 3, kept: str | None = None) -> DataFrame:
+    """``doc_id, fp`` for every row; fp holds the 64 bits as a signed long. A column of longs can be ``kept`` beside them."""
+    beside = [kept] if kept else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, length) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], ["doc_id", "fp", *beside])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), *beside)
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in beside))
 
 
 def _bit_matrix(fps: np.ndarray) -> np.ndarray:
@@ -270,10 +271,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     folder = scratch(docs.sparkSession)
     rows = written(fingerprints(docs, id_column, text_column, length), f"{folder}/fingerprints")
+    labels = groups(rows, folder, distance).select("fp", "component_id")
+    return rows.join(labels, "fp").select("doc_id", hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def groups(rows: DataFrame, folder: str, distance: int = 3) -> DataFrame:
+    """``fp, root, component_id`` for each fingerprint of ``doc_id, fp``: those of one root are one group."""
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), f"{folder}/nodes")
     roots = components(links(nodes, distance), folder).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     linked = rooted.join(roots.select("root").distinct(), "root", "left_semi")
     smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
-    labels = rooted.join(smallest, "root", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return rows.join(labels, "fp").select("doc_id", hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+    return rooted.join(smallest, "root", "left").select("fp", "root", F.coalesce("component", "first").alias("component_id"))
