@@ -17,9 +17,14 @@ TOXIC_FROM = 0.7
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose text has a language. Null texts and texts without a letter go; ids play no part."""
+    """Keeps documents whose text has a language. Null texts and texts without a letter go; ids play no part.
+
+    Where no language could be learned, every text with a letter stays.
+    """
     ship(spark)
     model = language.train(docs)
+    if not model.families:
+        return docs.where(language.lettered(F.col("text")))
     return docs.where(language.prediction(model, F.col("text"))["lang_pred"] != language.UNKNOWN)
 
 

@@ -43,6 +43,19 @@ def test_language_odd(odd_docs, no_docs, spark):
     assert language.train(more.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")).families == {}
 
 
+def test_every_language_is_learned(spark):
+    """Forty languages, each with letters of its own, one of them with an id that many rows repeat."""
+    codes = [f"x{i:02d}" for i in range(40)]
+    text = {c: " ".join(chr(0x4E00 + 64 * i + j) * 2 for j in range(12)) for i, c in enumerate(codes)}
+    rows = [(100 * i + j, text[c], c) for i, c in enumerate(codes) for j in range(12)]
+    first = next(r for r in rows if not fold(r[0]))
+    rows += [first] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.train(docs)
+    assert sorted(c for f in model.families.values() for c in f) == codes
+    assert all(model.predict(text[c])[0] == c for c in codes)
+
+
 def test_families_before_pairs():
     x = np.stack([language.features(t) for t in ("der die das und", "the and of with", "le la les et", "el la los y")] * 5)
     model = language.LanguageModel.fit(x, ["de", "en", "fr", "es"] * 5)

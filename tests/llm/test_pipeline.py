@@ -4,6 +4,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_simhash import plain_components, plain_fingerprint
 from test_tokens import check_packing
 
@@ -44,6 +45,12 @@ def test_language(spark, docs):
     assert rows(got) == Counter(tuple(r) for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"]))
 
 
+def test_language_without_training_rows(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    got = STAGES["language"](spark, unlabelled, SF)
+    assert rows(got) == Counter(tuple(r) for r in unlabelled.collect() if r["text"] and any(c.isalpha() for c in r["text"]))
+
+
 def test_toxicity(spark, docs):
     got = STAGES["toxicity"](spark, docs, SF)
     score = toxicity.train(docs, load(spark, SF, "labels")).scorer()

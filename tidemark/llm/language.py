@@ -5,9 +5,10 @@ damped by a square root and brought to length one. A linear support vector machi
 languages (one against the rest) picks the family; within it, one machine for each pair of languages
 votes. Families group languages by descent; a language outside the list is a family of its own.
 
-Training takes a bounded, documented sample: at most ``per_language`` texts of each of at most
-``languages`` languages, those whose id hashes lowest, from rows that are not held out. Everything
-else reads all rows.
+Training takes a bounded, documented sample of every language: at most ``per_language`` texts of each,
+those whose id hashes lowest, from rows that are not held out. Where there are so many languages that this
+would exceed ``sample`` texts, each gets its share of them, LEAST at least. Of rows that repeat an id and
+language one counts. Everything else reads all rows.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, and if nothing could be
 learned; a null id is never held out nor trained on; each of several equal rows gets a row; an empty
@@ -31,6 +32,8 @@ from tidemark.llm.common import held_out
 UNKNOWN = "und"
 #: Hash bins of the features.
 BINS = 1 << 12
+#: Training texts that a language gets however many languages there are.
+LEAST = 20
 # Branches of descent by ISO 639-1 code.
 FAMILIES = {
     "germanic": ["en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "fo", "af", "lb", "fy", "yi"],
@@ -127,23 +130,29 @@ class LanguageModel:
 
 
 def train(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", per_language: int = 400, languages: int = 30
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", per_language: int = 400, sample: int = 12_000
 ) -> LanguageModel:
-    """Fits the machines on the bounded sample; its features are computed on the executors.
+    """Fits the machines on the bounded sample of every language; its features are computed on the executors.
 
     The sample is chosen by ids and languages alone, so choosing it moves no text.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
-    usable = F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id")
-    keys = rows.where(usable).select("id", "lang", F.xxhash64("id").alias("h"))
-    largest = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
-    lowest = Window.partitionBy("lang").orderBy("h", "id")
+    usable = F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out("id")
+    keys = rows.where(usable).select("id", "lang", F.xxhash64("id").alias("h")).distinct()
+    sizes = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().collect()}  # a row a language
+    if not sizes:
+        return LanguageModel()
+    each = min(per_language, max(LEAST, sample // len(sizes)))
     # hashes are spread evenly: those that can be among the lowest lie below four times the expected bound
-    bound = F.lit(None).cast("double")
-    for lang, n in largest.items():
-        bound = F.when(F.col("lang") == lang, min(1.0, 4 * per_language / n) * 2.0**64 - 2.0**63).otherwise(bound)
-    chosen = keys.where(F.col("h").cast("double") <= bound).withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= per_language)
-    ids = [r["id"] for r in chosen.select("id").collect()]  # at most per_language * languages of them
+    bounds = [(lang, min(1.0, 4 * each / n) * 2.0**64 - 2.0**63) for lang, n in sorted(sizes.items())]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound double"))
+    lowest = Window.partitionBy("lang").orderBy("h", "id")
+    near = keys.join(bounds, "lang").where(F.col("h").cast("double") <= F.col("bound"))
+    chosen = near.withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= each).select("id", "lang").collect()
+    kind = rows.schema["id"].dataType.simpleString()
+    wanted = F.broadcast(docs.sparkSession.createDataFrame([(r["id"], r["lang"]) for r in chosen], f"id {kind}, lang string"))
+    # of rows that repeat an id and language the text that hashes lowest; reduced in the tasks that read them
+    texts = rows.where(usable).join(wanted, ["id", "lang"], "left_semi").groupBy("id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,15 +160,23 @@ def train(
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs]), pa.array([p[1].astype(np.float16).tobytes() for p in pairs])], ["lang", "x"])
 
-    if not ids:
-        return LanguageModel()
-    sample = rows.where(usable & F.col("id").isin(ids)).select("lang", "text").mapInArrow(vectors, "lang string, x binary")
-    got = sorted((r["lang"], bytes(r["x"])) for r in sample.limit(2 * len(ids)).collect())
+    got = sorted((r["lang"], bytes(r["x"])) for r in texts.select("lang", "text").mapInArrow(vectors, "lang string, x binary").collect())
     if not got:
         return LanguageModel()
     return LanguageModel.fit(np.stack([np.frombuffer(x, np.float16) for _, x in got]).astype(np.float32), [lang for lang, _ in got])
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter, by the same rule as the predictions."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in texts:
+            yield series.map(has_letter).astype(bool)
+
+    return run(text.cast("string"))
+
+
 def prediction(model: LanguageModel, text: Column) -> Column:
     """``lang_pred`` and ``score`` of a text column, as a struct."""
 
