@@ -72,6 +72,20 @@ def test_toxicity_held_out(spark):
     assert np.mean(toxic) >= 0.6 and np.mean(clean) <= 0.03
 
 
+LARGE = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="test tables are not here")
+def test_clean_texts_stay_whatever_their_length(spark):
+    docs, labels = load(spark, LARGE, "documents"), load(spark, LARGE, "labels")
+    sizes = docs.selectExpr("doc_id", "length(text) AS size")
+    rows = toxicity.scored(toxicity.train(docs, labels), docs).where("held_out").join(labels, "doc_id").join(sizes, "doc_id").collect()
+    assert np.mean([r["predicted"] for r in rows if r["toxic"] == 1]) >= 0.8
+    for low, high in ((0, 500), (500, 2000), (2000, 8000), (8000, 10**9)):
+        clean = [r["predicted"] for r in rows if r["toxic"] == 0 and low <= (r["size"] or 0) < high]
+        assert len(clean) > 50 and np.mean(clean) <= 0.04, (low, sum(clean), len(clean))
+
+
 def test_toxicity_odd(spark, odd_docs, no_docs):
     texts = [(1000 + i, f"good day number {i} to you") for i in range(200)] + [(2000 + i, f"you idiot number {i} scum") for i in range(100)]
     docs = spark.createDataFrame([(i, t, 0) for i, t in texts], "doc_id long, text string, score int")
