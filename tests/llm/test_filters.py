@@ -86,6 +86,16 @@ def test_clean_texts_stay_whatever_their_length(spark):
         assert len(clean) > 50 and np.mean(clean) <= 0.04, (low, sum(clean), len(clean))
 
 
+def test_labels_of_clean_texts_change_nothing(spark):
+    """One text without a label is as good as many: the comparison is with all texts."""
+    docs = [(i, f"good day number {i} to you" if i % 3 else f"you idiot number {i} scum") for i in range(300)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    toxic = docs.selectExpr("doc_id", "IF(doc_id % 3 = 0, 1, 0) AS toxic").where("doc_id <> 7 AND NOT (doc_id % 3 = 0 AND doc_id % 2 = 1)")
+    assert not fold(7)
+    few, many = (toxicity.train(docs, labels, prior=0.3) for labels in (toxic, toxic.where("toxic = 1")))
+    assert few.bias == many.bias and np.array_equal(few.weights, many.weights) and few.weights.max() > 0
+
+
 def test_toxicity_odd(spark, odd_docs, no_docs):
     texts = [(1000 + i, f"good day number {i} to you") for i in range(200)] + [(2000 + i, f"you idiot number {i} scum") for i in range(100)]
     docs = spark.createDataFrame([(i, t, 0) for i, t in texts], "doc_id long, text string, score int")

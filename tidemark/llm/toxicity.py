@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Only confirmed toxic texts carry a label that is used (P); unlabelled texts (U) hold clean and toxic
-ones. With the share ``prior`` of toxic texts, the risk of a linear scorer g under the logistic loss is
+Only confirmed toxic texts carry a label that is used (P); all texts, their labels unread (U), hold clean
+and toxic ones. With the share ``prior`` of toxic texts, the risk of a linear scorer g under the logistic loss is
 
     prior * R+(P)  +  max(0, R-(U) - prior * R-(P))
 
@@ -174,14 +174,14 @@ def train(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-    positives: int = 2000,
-    unlabelled: int = 5000,
+    positives: int = 3000,
+    unlabelled: int = 6000,
     prior: float | None = None,
 ) -> ToxicityModel | None:
     """Fits a scorer on the bounded sample. ``labels`` has the documents' ids and 0, 1 or null.
 
-    The sample is chosen by ids alone; its features are computed and counted on the executors. Where every row
-    has a label, the unlabelled ones are drawn from all rows, their labels unread.
+    The sample is chosen by ids alone; its features are computed and counted on the executors. The
+    unlabelled rows are drawn from all rows that are not held out, their labels unread: the risk takes them for all texts.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("id"))
@@ -194,7 +194,7 @@ def train(
     keys = rows.select("id", F.xxhash64("id").alias("h")).distinct()
     lowest = lambda ids, n: [r["id"] for r in ids.orderBy("h", "id").limit(n).collect()]
     p_ids = lowest(keys.join(known.where("toxic = 1"), "id", "left_semi"), positives)
-    u_ids = lowest(keys.join(known, "id", "left_anti"), unlabelled) or lowest(keys, unlabelled)
+    u_ids = lowest(keys, unlabelled)
     if not p_ids or not u_ids:
         return None
 
