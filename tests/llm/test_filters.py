@@ -225,6 +225,14 @@ def test_quality_tells_good_from_bad(spark):
     assert rows.count() == docs.count() and np.mean(good) > 0.97 and np.mean(bad) < 0.2
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="test tables are not here")
+def test_quality_held_out(spark):
+    labels = load(spark, LARGE, "labels")
+    rows = quality_lm.quality(load(spark, LARGE, "documents"), labels).join(labels, "doc_id").where("quality IS NOT NULL").collect()
+    bad, good = ([r["keep"] for r in rows if fold(r["doc_id"]) and r["quality"] == q] for q in (0, 1))
+    assert np.mean(bad) <= 0.08 and 1 - np.mean(good) <= 0.02
+
+
 def test_quality_odd(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, "x"), (2, 1, "x"), (10, 1, "x"), (None, 1, "x"), (6, 0, "x"), (5, None, "x")], "doc_id long, quality int, lang string")
     rows = quality_lm.quality(odd_docs, labels, order=3).collect()

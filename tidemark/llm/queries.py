@@ -30,7 +30,7 @@ def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_lm.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), order=5, quantile=0.998)
+    return quality_lm.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), order=5, quantile=0.99)
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
