@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, exact_topk, language, licenses, packing, piece_bpe, quality_lm, simhash, token_scan, toxicity
+from tidemark.llm import ann_forest, exact_topk, language, licenses, packing, piece_bpe, quality_lm, simhash, token_scan, toxicity, trie_codes
 from tidemark.llm.common import load, ship
 
 
@@ -55,6 +55,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(language.train(docs), docs)
 
 
+def op13_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_codes.compress(load(spark, sf_dir, "embeddings"), factor=4096, parts=8, entries=16, rounds=6)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,10 +79,12 @@ _ALL = (
     op8_token_counts,
     op9_sentencepiece,
     op10_language,
+    op13_trie_codes,
 )
 _SQL = {
     "op6_licenses": licenses.SCAN_SQL,
     "op7_exact_topk": exact_topk.TOP_K_SQL,
+    "op13_trie_codes": trie_codes.COMPRESS_SQL,
 }
 
 #: name -> (query, SQL or None)
