@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, divergence, exact_topk, language, licenses, packing, piece_bpe, quality_lm, simhash, token_scan, toxicity, trie_codes
+from tidemark.llm import ann_forest, divergence, exact_topk, jaccard_join, language, licenses, packing, piece_bpe, quality_lm, simhash, token_scan, toxicity, trie_codes
 from tidemark.llm.common import load, ship
 
 
@@ -59,6 +59,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(load(spark, sf_dir, "documents"), min_docs=3, top=200)
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(load(spark, sf_dir, "documents"), length=3, percent=90)
+
+
 def op13_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_codes.compress(load(spark, sf_dir, "embeddings"), factor=4096, parts=8, entries=16, rounds=6)
 
@@ -84,12 +88,14 @@ _ALL = (
     op9_sentencepiece,
     op10_language,
     op11_divergence,
+    op12_jaccard,
     op13_trie_codes,
 )
 _SQL = {
     "op6_licenses": licenses.SCAN_SQL,
     "op7_exact_topk": exact_topk.TOP_K_SQL,
     "op11_divergence": divergence.AUDIT_SQL,
+    "op12_jaccard": jaccard_join.LINKED_SQL,
     "op13_trie_codes": trie_codes.COMPRESS_SQL,
 }
 
