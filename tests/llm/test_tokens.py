@@ -72,27 +72,49 @@ def check_packing(docs, capacity):
     want = []
     for r in docs.collect():
         want.append((r["doc_id"], [*library.encode(r["text"] or "", add_special_tokens=False).ids, 1]))
-    # every id of every document is in exactly one piece
-    left = {}
+    # every id of every document is in exactly one piece: pieces of equal documents are told apart by nothing else
+    held, copies = {}, {}
     for doc_id, ids in want:
-        pieces, start = [], 0
-        for length in packing.cuts(len(ids), capacity):
-            part = np.array(ids[start : start + length], "<u4").tobytes()
-            pieces.append((doc_id, start, int(length), zlib.crc32(part), len(ids)))
-            start += length
-        for p in pieces:
-            left[p] = left.get(p, 0) + 1
+        key = (doc_id, np.array(ids, "<u4").tobytes())
+        copies[key] = copies.get(key, 0) + 1
+        held.setdefault((doc_id, len(ids)), []).append(key[1])
+    covered = {}
     for r in rows.itertuples():
-        key = (None if r.doc_id != r.doc_id else int(r.doc_id), r.start, r.length, r.ids_crc32, r.doc_tokens)
-        left[key] -= 1
-    assert not any(left.values())
+        doc_id = None if r.doc_id != r.doc_id else int(r.doc_id)
+        part = [t for t in held[doc_id, r.doc_tokens] if zlib.crc32(t[4 * r.start : 4 * (r.start + r.length)]) == r.ids_crc32]
+        assert part and r.length > 0
+        count = covered.setdefault((doc_id, part[0]), np.zeros(r.doc_tokens, int))
+        count[r.start : r.start + r.length] += 1
+    assert covered.keys() == copies.keys()
+    assert all((covered[key] == n).all() for key, n in copies.items())
     for _, seq in rows.sort_values("offset").groupby("sequence_id"):
         assert (seq.length.cumsum() - seq.length == seq.offset).all()
         total = int(seq.length.sum())
         assert total <= capacity and total & (total - 1) == 0
     full = (rows.groupby("sequence_id").length.sum() == capacity).sum()
     tokens = sum(len(ids) for _, ids in want)
-    assert rows.sequence_id.nunique() - full <= capacity.bit_length() ** 2 and full * capacity <= tokens
+    assert rows.sequence_id.nunique() - full <= capacity.bit_length() * docs.rdd.getNumPartitions() and full * capacity <= tokens
+
+
+def test_classes_are_filled_by_count():
+    """Each full sequence holds k documents' rests of class k, and at most one piece cut off another document."""
+    r = random.Random(8)
+    packer, lengths = packing.Packer(2048), [min(1 + int(r.expovariate(1 / 700)), 9000) for _ in range(5000)]
+    for i, n in enumerate(lengths):
+        packer.add(i, b"abcd" * n)
+        assert len(packer.waiting) <= packing.WAITING + 100
+    before = len(packer.rows)
+    sequences = {}
+    for doc_id, start, length, _, tokens, sequence, offset in packer.rows:
+        sequences.setdefault(sequence, []).append((offset, start, length, tokens))
+    for pieces in sequences.values():
+        assert sum(length for _, _, length, _ in pieces) == 2048
+        rests = [length for _, start, length, tokens in pieces if start + length == tokens and length < 2048]
+        k = 2048 // max(rests) if rests else 0
+        assert len(pieces) in (1, k, k + 1)
+    packer.finish()
+    assert sum(row[2] for row in packer.rows) == sum(lengths)
+    assert len(packer.rows) - before < 1000 and len(packer.rows) < 2 * len(lengths)
 
 
 @pytest.mark.parametrize("capacity", [1, 64, 2048])

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pyarrow as pa
@@ -34,12 +34,13 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Recent:
     """What was used lately: once the young half is full it becomes the old one, which is dropped."""
 
-    def __init__(self):
+    def __init__(self, limit: Callable[[], int] = lambda: REMEMBERED):
+        self.limit = limit
         self.young: dict = {}
         self.old: dict = {}
 
     def put(self, key, value) -> None:
-        if len(self.young) >= REMEMBERED:
+        if len(self.young) >= self.limit():
             self.old = dict(self.young)
             self.young.clear()  # the same dict stays: callers hold its get
         self.young[key] = value

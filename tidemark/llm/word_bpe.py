@@ -12,14 +12,18 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from itertools import repeat
 
 from tidemark.llm.common import tokenizer_path
+from tidemark.llm.piece_bpe import Recent
 
 DEFAULT = "word_bpe_49k.json"
-#: Words remembered by one worker; then it starts afresh, so its memory stays bounded.
+#: Words that one worker remembers, and parts of words: twice as many of each at most.
 REMEMBERED = 250_000
 
 _PLAIN = re.compile(r"[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff!#-&(-;=?@\[-`{-~]+")
+_PART = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]{1,64}")
 _PARTS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
 _END = b"\xff"
 
@@ -50,44 +54,57 @@ class WordBpe:
             body = token[:-4] if end else token
             if all(c in byte for c in body):
                 ranks[bytes(byte[c] for c in body) + (_END if end else b"")] = rank
-        self._bytes = [i.to_bytes(width, "little") for i in range(self.library.get_vocab_size())]
+        self._type = {2: "H", 4: "I"}[width]  # native order, which is little-endian where Spark runs
         specials = {t.content for t in self.library.get_added_tokens_decoder().values()}
         ranks = {b: r for b, r in ranks.items() if b.decode("utf-8", "replace") not in specials}
         self._merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        self._parts: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {"": b""}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return b"".join([self._bytes[i] for i in ids])
-
-    def _part(self, part: str) -> bytes:
-        got = self._parts.get(part)
-        if got is None:
-            if len(self._parts) >= REMEMBERED:
-                self._parts.clear()
-            got = self._parts[part] = self._pack(self._merge(part.encode() + _END))
-        return got
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            return b"".join([self._part(p) for p in _PARTS.findall(word.lower())])
-        return self._pack(self.library.encode(word, add_special_tokens=False).ids)
+        self._known = Recent(lambda: REMEMBERED)
+
+    def _merged(self, part: str) -> bytes:
+        return array(self._type, self._merge(part.encode() + _END)).tobytes()
+
+    def _find(self, word: str) -> bytes:
+        """Ids of a word or part that is not among the young ones.
+
+        A word of several parts is remembered only if its parts have been met before: most words that
+        occur once do not take the place of others.
+        """
+        found = self._known.get_old(word)
+        if found is not None:
+            return found
+        if _PART.fullmatch(word):
+            found = self._merged(word)
+        elif not _PLAIN.fullmatch(word):
+            found = array(self._type, self.library.encode(word, add_special_tokens=False).ids).tobytes()
+            if len(word) > 64:
+                return found
+        else:
+            parts = _PARTS.findall(word.lower())
+            ids = list(map(self._known.young.get, parts))
+            new = None in ids
+            if new:
+                ids = [(self._known.get_old(p) or self._remembered(p)) if found is None else found for p, found in zip(parts, ids)]
+            found = b"".join(ids)
+            if new or len(word) > 64:
+                return found
+        self._known.put(word, found)
+        return found
+
+    def _remembered(self, part: str) -> bytes:
+        found = self._merged(part)
+        if len(part) <= 64:
+            self._known.put(part, found)
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text; none for null and empty texts."""
-        known = self._words
         words = (text or "").replace("\n", " ").split(" ")
-        ids = list(map(known.get, words))
-        if None in ids:
-            for i, found in enumerate(ids):
-                if found is None:
-                    word = words[i]
-                    ids[i] = new = self._word(word)
-                    if len(word) <= 64:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                            known[""] = b""
-                        known[word] = new
+        ids = list(map(self._known.young.get, words, repeat(b"")))
+        if b"" in ids:
+            find = self._find
+            for i, word in enumerate(words):
+                if word and not ids[i]:
+                    ids[i] = find(word)
         return b"".join(ids)
 
 
