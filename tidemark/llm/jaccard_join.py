@@ -17,8 +17,8 @@ counts over all documents; that estimate only orders the tokens and decides no l
   members compared, first the nearest pair of each two groups, and after joining these what is left.
 
 Signatures hold the parity of the tokens that fall on each bit. Two sets differ in at least as many tokens
-as their signatures differ in bits, so nothing linked is lost by them. Pairs that remain are verified on their
-whole sets, read anew from the texts. Equal sets are one node throughout; a pair is never formed of two
+as their signatures differ in bits, so nothing linked is lost by them. Pairs that remain are compared by
+signatures of as many bits as tokens, and those left then verified on their whole sets, read anew from the texts. Equal sets are one node throughout; a pair is never formed of two
 copies. Tokens are 64-bit hashes of shingles, sets 128-bit digests of their tokens.
 """
 
@@ -84,13 +84,28 @@ def _signature(found: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _wide(found: np.ndarray) -> bytes:
+    """The same with at least as many bits as tokens: it tells large sets apart too."""
+    bits = 1 << max(6, (len(found) - 1).bit_length())
+    places = (found >> np.uint64(20)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(places.astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_apart(one: bytes, two: bytes) -> int:
+    """In how many bits two wide signatures differ, the longer one folded to the shorter."""
+    x, y = sorted((np.frombuffer(s, np.uint8) for s in (one, two)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _digest(found: np.ndarray) -> bytes:
     import xxhash
 
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-_SETS = "doc_id long, key long, digest binary, n int, " + "".join(f"{c} long, " for c in [*_SIGS, *_MINS]) + "bucket int, count long"
+_SETS = "doc_id long, key long, digest binary, n int, " + "".join(f"{c} long, " for c in [*_SIGS, *_MINS]) + "wide binary, bucket int, count long"
 
 
 def sets(rows: DataFrame, length: int) -> DataFrame:
@@ -101,12 +116,13 @@ def sets(rows: DataFrame, length: int) -> DataFrame:
         names = [c.split()[0] for c in _SETS.split(", ")]
         for batch in batches:
             n = batch.num_rows
-            digests, sizes, held = [], np.zeros(n, np.int32), []
+            digests, wide, sizes, held = [], [], np.zeros(n, np.int32), []
             longs = np.zeros((n, WORDS_OF_BITS + MINIMA), np.int64)
             for i, text in enumerate(batch.column(2).to_pylist()):
                 found = tokens(text, length)
                 sizes[i] = len(found)
                 digests.append(_digest(found))
+                wide.append(_wide(found))
                 if len(found):
                     held.append((found & np.uint64(BUCKETS - 1)).astype(np.int32))
                     longs[i, :WORDS_OF_BITS] = _signature(found)
@@ -119,11 +135,11 @@ def sets(rows: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(sizes)]
                 + [pa.array(longs[:, i].copy()) for i in range(longs.shape[1])]
-                + [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
+                + [pa.array(wide, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
                 names,
             )
         used = np.flatnonzero(counts)
-        empty = [pa.nulls(len(used), t) for t in [pa.int64(), pa.int64(), pa.binary(), pa.int32()] + [pa.int64()] * (WORDS_OF_BITS + MINIMA)]
+        empty = [pa.nulls(len(used), t) for t in [pa.int64(), pa.int64(), pa.binary(), pa.int32()] + [pa.int64()] * (WORDS_OF_BITS + MINIMA) + [pa.binary()]]
         yield pa.RecordBatch.from_arrays([*empty, pa.array(used.astype(np.int32)), pa.array(counts[used])], names)
 
     return rows.select("doc_id", "key", "text").mapInArrow(run, _SETS)
@@ -147,11 +163,31 @@ def _linkable(a: Column, b: Column, apart: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (apart <= a + b - 2 * least_overlap(a, b, percent))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, folder: str, name: str, length: int, percent: int) -> DataFrame:
+def not_far(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``x, y`` of nodes that wide signatures do not show to be unlinked."""
+    used = pairs.select(F.col("x").alias("nid")).union(pairs.select("y")).distinct()
+    seen = nodes.select("nid", "digest", "n").join(used, "nid", "left_semi").join(rows.select("digest", "wide"), "digest")
+    seen = seen.select("nid", "n", "wide").dropDuplicates(["nid"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            apart = np.array([wide_apart(s, t) for s, t in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64)
+            near = apart <= size - 2 * -(-percent * size // (100 + percent))
+            yield batch.select(["x", "y"]).filter(pa.array(near))
+
+    joined = pairs.join(seen.toDF("x", "n", "one"), "x").join(seen.toDF("y", "m", "two"), "y")
+    return joined.select("x", "y", "n", "m", "one", "two").mapInArrow(compare, "x long, y long")
+
+
+def verified(
+    pairs: DataFrame, nodes: DataFrame, rows: DataFrame, texts: DataFrame, folder: str, name: str, length: int, percent: int
+) -> DataFrame:
     """Those of the pairs ``x, y`` of nodes that are linked, with the overlap of their whole sets.
 
     Only the texts that the pairs need are read again and make the way to other tasks.
     """
+    pairs = written(not_far(pairs, nodes, rows, percent), f"{folder}/{name}-near")
     used = pairs.select(F.col("x").alias("nid")).union(pairs.select("y")).distinct()
     wanted = written(nodes.join(used, "nid", "left_semi").select("key"), f"{folder}/{name}-wanted")
 
@@ -201,7 +237,7 @@ def _grouped(nodes: DataFrame, links: DataFrame, folder: str) -> DataFrame:
     return nodes.select("nid").join(roots, "nid", "left").select("nid", F.coalesce("root", "nid").alias("root"))
 
 
-def stars(nodes: DataFrame, texts: DataFrame, folder: str, length: int, percent: int) -> DataFrame:
+def stars(nodes: DataFrame, rows: DataFrame, texts: DataFrame, folder: str, length: int, percent: int) -> DataFrame:
     """``nid, leader, radius``: the nearest leader of each set that is linked with one; others lead themselves."""
     keyed = nodes.select("nid", F.array_distinct(F.array(*_MINS)).alias("m"), F.floor(F.log("n") * 10).alias("band"))
     keyed = keyed.select("nid", F.explode("m").alias("m"), "band")
@@ -218,7 +254,7 @@ def stars(nodes: DataFrame, texts: DataFrame, folder: str, length: int, percent:
         .agg(F.min(F.struct(apart.alias("apart"), "y")).alias("best"))
     )
     chosen = written(near.select("x", F.col("best.y").alias("y")), f"{folder}/leaders")
-    return verified(chosen, nodes, texts, folder, "stars", length, percent)
+    return verified(chosen, nodes, rows, texts, folder, "stars", length, percent)
 
 
 def postings(texts: DataFrame, counts: np.ndarray, length: int, percent: int) -> DataFrame:
@@ -447,7 +483,7 @@ def linked(
     numbered = written(distinct, f"{folder}/distinct").withColumn("nid", F.monotonically_increasing_id())
     nodes = written(numbered, f"{folder}/nodes")
 
-    on_stars = stars(nodes, texts, folder, length, percent)
+    on_stars = stars(nodes, rows, texts, folder, length, percent)
     groups = _grouped(nodes, on_stars, f"{folder}/grouped-0")
     led = on_stars.select(F.col("x").alias("nid"), F.col("y").alias("leader"), (1 - F.col("shared") / F.col("total")).alias("radius"))
     members = nodes.join(groups, "nid").join(led, "nid", "left")
@@ -463,12 +499,12 @@ def linked(
 
     nearest = member_pairs(near, members, percent).groupBy(F.least("rx", "ry").alias("r"), F.greatest("rx", "ry").alias("s"))
     nearest = nearest.agg(F.min(F.struct("apart", "x", "y")).alias("best")).select("best.x", "best.y")
-    more = verified(written(nearest, f"{folder}/nearest"), nodes, texts, folder, "more", length, percent)
+    more = verified(written(nearest, f"{folder}/nearest"), nodes, rows, texts, folder, "more", length, percent)
     links = on_stars.unionByName(more)
     groups = _grouped(nodes, links, f"{folder}/grouped-1")
     tried = spark.read.schema("x long, y long").parquet(f"{folder}/nearest")
     rest = member_pairs(near, members.drop("root").join(groups, "nid"), percent).select("x", "y").join(tried, ["x", "y"], "left_anti")
-    last = verified(written(rest, f"{folder}/rest"), nodes, texts, folder, "last", length, percent)
+    last = verified(written(rest, f"{folder}/rest"), nodes, rows, texts, folder, "last", length, percent)
     groups = _grouped(nodes, links.unionByName(last), f"{folder}/grouped-2")
 
     smallest = nodes.join(groups, "nid")
