@@ -284,7 +284,12 @@ def postings(texts: DataFrame, counts: np.ndarray, length: int, percent: int) ->
 
 _ENTRY = "token long, root long, n int, pos int, leader long"
 _FIELDS = [("root", np.int64), ("n", np.int32), ("pos", np.int32), ("leader", np.int64)]
-_LISTED = "token long, block string, x long, y long, root long, least int, most int, late int, rest int, entries binary"
+_LISTED = "x long, y long, token long, root long, n int, pos int, leader long"
+#: An entry of a block: a star with one member's size and position, and its leader's size, radius and signature.
+_HELD = np.dtype(
+    [("id", "<i8"), ("root", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("size", "<i4"), ("radius", "<f8"), ("sig", "<u8", WORDS_OF_BITS)]
+)
+_BLOCKS = "key long, block string, root long, least int, most int, late int, rest int, held binary"
 
 
 def _opened(rows: DataFrame) -> DataFrame:
@@ -326,52 +331,39 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[:, 0], found[:, 1]
 
 
-def listed(entries: DataFrame, percent: int, block: int = BLOCK, short: int = SHORT) -> DataFrame:
-    """From entries in list order: pairs of stars from short lists, and blocks of all others.
+def listed(entries: DataFrame, percent: int, short: int = SHORT) -> DataFrame:
+    """From entries in list order: pairs of stars from short lists, and the entries of all others.
 
-    A list that reaches the edge of a task may go on in the next one, so it becomes blocks too.
+    A list that reaches the edge of a task may go on in the next one, so its entries are handed on too.
     """
-    names = [c.split()[0] for c in _LISTED.split(", ")]
-    types = [pa.int64(), pa.string(), *[pa.int64()] * 3, *[pa.int32()] * 4, pa.binary()]
-
-    def of_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        x, y = _pairs(x, y)
-        columns = [pa.nulls(len(x), t) for t in types]
-        columns[2:4] = [pa.array(x), pa.array(y)]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    def of_blocks(token: int, rows: dict[str, np.ndarray], number: list[int], task: int) -> Iterator[pa.RecordBatch]:
-        for start in range(0, len(rows["n"]), block):
-            part = {f: rows[f][start : start + block] for f, _ in _FIELDS}
-            n, pos, root = part["n"], part["pos"], part["root"]
-            number[0] += 1
-            held = b"".join(part[f].astype(t).tobytes() for f, t in _FIELDS)
-            one_root = int(root[0]) if (root == root[0]).all() else None
-            row = (token, f"{task:08d}-{number[0]:010d}", None, None, one_root, int(n.min()), int(n.max()), int(pos.max()), int((n - pos).max()) - 1, held)
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+    fields, names = [c.split()[0] for c in _ENTRY.split(", ")], [c.split()[0] for c in _LISTED.split(", ")]
+
+    def handed_on(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        none = pa.nulls(len(rows["n"]), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, *[pa.array(rows[f]) for f in fields]], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, edge, held = TaskContext.get().partitionId(), [0], True, None
+        first, held = True, None  # whether the list at the front may have begun in another task
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c.split()[0]: batch.column(i).to_numpy() for i, c in enumerate(_ENTRY.split(", "))}
+            rows = {f: batch.column(i).to_numpy() for i, f in enumerate(fields)}
             if held is not None:
-                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+                rows = {f: np.concatenate([held[f], rows[f]]) for f in fields}
             token = rows["token"]
-            change = np.flatnonzero(token[1:] != token[:-1]) + 1
-            starts = np.concatenate([[0], change])
+            starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1])
             sizes = np.diff(np.append(starts, len(token)))
             long = sizes > short
-            if edge:
-                long[0] = True
-            for i in np.flatnonzero(long[:-1]):  # the last list may go on
-                some = slice(starts[i], starts[i] + sizes[i])
-                yield from of_blocks(int(token[starts[i]]), {f: rows[f][some] for f, _ in _FIELDS}, number, task)
-            edge = edge and len(starts) == 1
-            whole = np.repeat(~long, sizes)
-            whole[starts[-1] :] = False
-            kept = np.flatnonzero(whole)
+            long[0] |= first
+            if long[-1]:  # goes on as entries, whatever follows
+                first, last = True, len(token)
+            else:
+                first, last = False, starts[-1]
+            some = np.repeat(long, sizes)
+            yield handed_on({f: rows[f][some] for f in fields})
+            some = ~some
+            some[last:] = False
+            kept = np.flatnonzero(some)
             xs, ys = [], []
             for step in range(1, short):
                 a, b = kept[:-step], kept[step:]
@@ -379,75 +371,160 @@ def listed(entries: DataFrame, percent: int, block: int = BLOCK, short: int = SH
                 if not same.any():
                     break
                 a, b = a[same], b[same]
-                good = _possible({f: rows[f][a] for f, _ in _FIELDS}, {f: rows[f][b] for f, _ in _FIELDS}, percent)
+                good = _possible({f: rows[f][a] for f in fields}, {f: rows[f][b] for f in fields}, percent)
                 xs.append(rows["leader"][a[good]])
                 ys.append(rows["leader"][b[good]])
             if xs:
-                yield of_pairs(np.concatenate(xs), np.concatenate(ys))
-            held = {c: rows[c][starts[-1] :] for c in rows}
-            while len(held["n"]) > 2 * block:  # a very long list leaves block by block
-                yield from of_blocks(int(held["token"][0]), {f: held[f][:block] for f, _ in _FIELDS}, number, task)
-                held = {c: held[c][block:] for c in held}
-                edge = True
-        if held is not None:
-            yield from of_blocks(int(held["token"][0]), held, number, task)
+                x, y = _pairs(np.concatenate(xs), np.concatenate(ys))
+                columns = [pa.array(x), pa.array(y), *[pa.nulls(len(x), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())]]
+                yield pa.RecordBatch.from_arrays(columns, names)
+            held = {f: rows[f][last:] for f in fields}
+        if held is not None and len(held["n"]):
+            yield handed_on(held)
 
     return entries.mapInArrow(run, _LISTED)
 
 
-def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """``x, y``: stars of which entries of one list may be linked. Pairs of blocks that cannot hold any are skipped."""
-    blocks = lists.where("block IS NOT NULL")
-    a, b = blocks.alias("a"), blocks.alias("b")
-    c = F.col
+def blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Blocks of one ``key`` each, in the order of the rows. Rows are ``key`` and the fields of an entry.
+
+    Ranges of rows are dealt to tasks, so a key of very many rows is cut among them.
+    """
+    names = [c.split()[0] for c in _BLOCKS.split(", ")]
+    fields = ["id", "root", "n", "pos", "size", "radius"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, keys, held = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64), np.zeros(0, _HELD)
+
+        def cut(keys: np.ndarray, held: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+            nonlocal number
+            out, start = [], 0
+            for end in ends.tolist():
+                part = held[start:end]
+                n, root = part["n"], part["root"]
+                one_root = int(root[0]) if (root == root[0]).all() else None
+                number += 1
+                rest = int((n - part["pos"]).max()) - 1
+                out.append((int(keys[start]), f"{task:08d}-{number:010d}", one_root, int(n.min()), int(n.max()), int(part["pos"].max()), rest, part.tobytes()))
+                start = end
+            types = [pa.int64(), pa.string(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names)
+
+        for batch in batches:
+            new = np.zeros(batch.num_rows, _HELD)
+            for i, f in enumerate(fields, 1):
+                new[f] = batch.column(i).to_numpy()
+            for i in range(WORDS_OF_BITS):
+                new["sig"][:, i] = batch.column(7 + i).to_numpy().view(np.uint64)
+            keys, held = np.concatenate([keys, batch.column(0).to_numpy()]), np.concatenate([held, new])
+            change = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
+            within = np.concatenate([np.append(np.arange(a + block, b, block), b) for a, b in zip(np.append(0, change[:-1]), change)])
+            ends = within[:-1]  # the last block may go on
+            yield cut(keys, held, ends)
+            last = ends[-1] if len(ends) else 0
+            keys, held = keys[last:], held[last:]
+        if len(keys):
+            yield cut(keys, held, np.array([len(keys)]))
+
+    in_order = ["key", "root", "n", "pos", "id"]
+    chosen = rows.select("key", *fields, *_SIGS).repartitionByRange(*in_order).sortWithinPartitions(*in_order)
+    return chosen.mapInArrow(run, _BLOCKS)
+
+
+def _near(one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of two blocks of one list whose stars may hold linked members."""
+    views = [{"root": e["root"], "leader": e["id"], "n": e["n"], "pos": e["pos"]} for e in (one, two)]
+    good = _possible({f: v[:, None] for f, v in views[0].items()}, {f: v[None, :] for f, v in views[1].items()}, percent)
+    r, s = np.nonzero(good)
+    apart = _bits_apart(one, r, two, s)
+    least = 2 * apart / (one["size"][r] + two["size"][s] + apart)
+    near = least <= 1 - percent / 100 + one["radius"][r] + two["radius"][s] + 1e-9
+    return r[near], s[near]
+
+
+def _linked_at_most(one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members of two blocks that may be linked, of different groups, and how far their signatures are apart."""
+    a, b = one["n"][:, None].astype(np.int64), two["n"][None, :].astype(np.int64)
+    r, s = np.nonzero((one["root"][:, None] != two["root"][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)))
+    apart = _bits_apart(one, r, two, s)
+    both = one["n"][r].astype(np.int64) + two["n"][s]
+    near = apart <= both - 2 * -(-percent * both // (100 + percent))
+    return r[near], s[near], apart[near]
+
+
+def _bits_apart(one: np.ndarray, r: np.ndarray, two: np.ndarray, s: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(r), np.int64)
+    for start in range(0, len(r), 1 << 17):
+        some = slice(start, start + (1 << 17))
+        out[some] = np.bitwise_count(one["sig"][r[some]] ^ two["sig"][s[some]]).sum(1, dtype=np.int64)
+    return out
+
+
+def list_pairs(cut: DataFrame, percent: int) -> DataFrame:
+    """``x, y``: near stars of one list. Pairs of blocks that cannot hold any are skipped."""
+    a, b, c = cut.alias("a"), cut.alias("b"), F.col
     fits = (c("a.most") * 100 >= c("b.least") * percent) & (c("b.most") * 100 >= c("a.least") * percent)
     reach = F.least("a.late", "b.late") + 1 + F.least("a.rest", "b.rest")
     joined = a.join(
         b,
-        (c("a.token") == c("b.token"))
+        (c("a.key") == c("b.key"))
         & (c("a.block") <= c("b.block"))
         & ~F.coalesce(c("a.root") == c("b.root"), F.lit(False))
         & fits
         & (reach >= least_overlap(c("a.least"), c("b.least"), percent)),
-    ).select(c("a.entries").alias("one"), c("b.entries").alias("two"))
-
-    def opened(raw: bytes) -> dict[str, np.ndarray]:
-        size, at, out = len(raw) // sum(np.dtype(t).itemsize for _, t in _FIELDS), 0, {}
-        for f, t in _FIELDS:
-            out[f] = np.frombuffer(raw, t, size, at)
-            at += size * np.dtype(t).itemsize
-        return out
+    ).select(c("a.held").alias("one"), c("b.held").alias("two"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                one, two = opened(batch.column(0)[i].as_py()), opened(batch.column(1)[i].as_py())
-                good = _possible({f: one[f][:, None] for f, _ in _FIELDS}, {f: two[f][None, :] for f, _ in _FIELDS}, percent)
-                r, s = np.nonzero(good)
-                x, y = _pairs(one["leader"][r], two["leader"][s])
+                one, two = (np.frombuffer(batch.column(j)[i].as_py(), _HELD) for j in (0, 1))
+                r, s = _near(one, two, percent)
+                x, y = _pairs(one["id"][r], two["id"][s])
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    return lists.where("block IS NULL").select("x", "y").unionByName(joined.mapInArrow(run, "x long, y long")).distinct()
+    return joined.mapInArrow(run, "x long, y long")
 
 
-def near_stars(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def near_stars(pairs: DataFrame, leads: DataFrame, percent: int) -> DataFrame:
     """Those pairs of stars whose leaders are not too far apart for any two members to be linked."""
-    radius = members.groupBy("leader").agg(F.max("radius").alias("radius"))
-    leads = members.select("nid", "n", *_SIGS).join(radius, F.col("nid") == F.col("leader")).drop("leader")
     apart = _apart("a", "b")
-    least = 2 * apart / (F.col("a.n") + F.col("b.n") + apart)
-    joined = pairs.join(leads.alias("a"), F.col("x") == F.col("a.nid")).join(leads.alias("b"), F.col("y") == F.col("b.nid"))
+    least = 2 * apart / (F.col("a.size") + F.col("b.size") + apart)
+    joined = pairs.join(leads.alias("a"), F.col("x") == F.col("a.id")).join(leads.alias("b"), F.col("y") == F.col("b.id"))
     return joined.where(least <= 1 - percent / 100 + F.col("a.radius") + F.col("b.radius") + 1e-9).select("x", "y")
 
 
-def member_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """``x, y, rx, ry, apart``: members of near stars that may be linked, in different groups."""
-    seen = members.select("nid", "leader", "root", "n", *_SIGS)
-    a, b = seen.alias("a"), seen.alias("b")
-    apart = _apart("a", "b")
-    joined = pairs.toDF("lx", "ly").join(a, F.col("lx") == F.col("a.leader")).join(b, F.col("ly") == F.col("b.leader"))
-    good = joined.where((F.col("a.root") != F.col("b.root")) & _linkable(F.col("a.n"), F.col("b.n"), apart, percent))
-    return good.select(F.col("a.nid").alias("x"), F.col("b.nid").alias("y"), F.col("a.root").alias("rx"), F.col("b.root").alias("ry"), apart.alias("apart"))
+_CLOSE = "x long, y long, r long, s long, apart long"
+
+
+def member_pairs(pairs: DataFrame, members: DataFrame, percent: int, folder: str, name: str, block: int, nearest: bool) -> DataFrame:
+    """``x, y, r, s, apart``: members of near stars that may be linked, with their groups r < s, which differ.
+
+    Members are compared block by block; with ``nearest``, two blocks give the nearest pair of each two groups.
+    """
+    used = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
+    rows = members.select(F.col("leader").alias("key"), F.col("nid").alias("id"), "root", "n", F.lit(0).alias("pos"), F.col("n").alias("size"), "radius", *_SIGS)
+    cut = written(blocks(written(rows.join(used, "key", "left_semi"), f"{folder}/{name}-members"), block), f"{folder}/{name}-blocks")
+    one, two = cut.select(F.col("key").alias("x"), F.col("held").alias("one")), cut.select(F.col("key").alias("y"), F.col("held").alias("two"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(j)[i].as_py(), _HELD) for j in (0, 1))
+                r, s, apart = _linked_at_most(a, b, percent)
+                if not len(r):
+                    continue
+                x, y, rx, ry = a["id"][r], b["id"][s], a["root"][r], b["root"][s]
+                found = np.stack([x, y, np.minimum(rx, ry), np.maximum(rx, ry), apart], axis=1)
+                if nearest:
+                    found = found[np.lexsort((found[:, 1], found[:, 0], found[:, 4], found[:, 3], found[:, 2]))]
+                    new = np.append(True, (found[1:, 2:4] != found[:-1, 2:4]).any(1))
+                    found = found[new]
+                out.append(found)
+            rows = np.concatenate(out) if out else np.zeros((0, 5), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T.copy()], [c.split()[0] for c in _CLOSE.split(", ")])
+
+    return pairs.join(one, "x").join(two, "y").select("one", "two").mapInArrow(run, _CLOSE)
 
 
 def linked(
@@ -494,18 +571,22 @@ def linked(
     placed = prefixes.drop("n").join(members.select("digest", "leader", "root", "n"), "digest")
     entries = written(_opened(placed), f"{folder}/entries")
     in_order = ["token", "root", "n", "pos", "leader"]
-    lists = written(listed(entries.repartitionByRange(*in_order).sortWithinPartitions(*in_order), percent, block, short), f"{folder}/lists")
-    near = written(near_stars(star_pairs(lists, percent), members, percent), f"{folder}/near")
-
-    nearest = member_pairs(near, members, percent).groupBy(F.least("rx", "ry").alias("r"), F.greatest("rx", "ry").alias("s"))
-    nearest = nearest.agg(F.min(F.struct("apart", "x", "y")).alias("best")).select("best.x", "best.y")
-    more = verified(written(nearest, f"{folder}/nearest"), nodes, rows, texts, folder, "more", length, percent)
-    links = on_stars.unionByName(more)
+    lists = written(listed(entries.repartitionByRange(*in_order).sortWithinPartitions(*in_order), percent, short), f"{folder}/lists")
+    radius = members.groupBy("leader").agg(F.max("radius").alias("radius"))
+    leads = members.select(F.col("nid").alias("id"), F.col("n").alias("size"), *_SIGS).join(radius.withColumnRenamed("leader", "id"), "id")
+    long_lists = lists.where("x IS NULL").select(F.col("token").alias("key"), "root", "n", "pos", F.col("leader").alias("id"))
+    cut = written(blocks(written(long_lists.join(leads, "id"), f"{folder}/long"), block), f"{folder}/blocks")
+    short_lists = near_stars(lists.where("x IS NOT NULL").select("x", "y").distinct(), leads, percent)
+    near = written(short_lists.unionByName(list_pairs(cut, percent)).distinct(), f"{folder}/near")
+
+    first = member_pairs(near, members, percent, folder, "first", block, True).groupBy("r", "s")
+    tried = written(first.agg(F.min(F.struct("apart", "x", "y")).alias("best")).select("best.x", "best.y"), f"{folder}/tried")
+    links = on_stars.unionByName(verified(tried, nodes, rows, texts, folder, "more", length, percent))
     groups = _grouped(nodes, links, f"{folder}/grouped-1")
-    tried = spark.read.schema("x long, y long").parquet(f"{folder}/nearest")
-    rest = member_pairs(near, members.drop("root").join(groups, "nid"), percent).select("x", "y").join(tried, ["x", "y"], "left_anti")
-    last = verified(written(rest, f"{folder}/rest"), nodes, rows, texts, folder, "last", length, percent)
-    groups = _grouped(nodes, links.unionByName(last), f"{folder}/grouped-2")
+    regrouped = members.drop("root").join(groups, "nid")
+    rest = member_pairs(near, regrouped, percent, folder, "second", block, False).select("x", "y").distinct().join(tried, ["x", "y"], "left_anti")
+    links = links.unionByName(verified(written(rest, f"{folder}/rest"), nodes, rows, texts, folder, "last", length, percent))
+    groups = _grouped(nodes, links, f"{folder}/grouped-2")
 
     smallest = nodes.join(groups, "nid")
     least = smallest.groupBy("root").agg(F.min("doc_id").alias("component_id"))
