@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.config import TableSync
-from tidemark.errors import CheckpointMismatchError, ColumnNotFoundError, InvalidValueError, TableNotFoundError, TargetError
+from tidemark.errors import (
+    CheckpointMismatchError,
+    ColumnNotFoundError,
+    InvalidValueError,
+    SourceUnavailableError,
+    TableNotFoundError,
+    TargetError,
+)
+from tidemark.plans.sync import _Run
 from tidemark.sinks import checkpoint
 from tidemark.sinks.checkpoint import CheckpointStore, listing
 from tidemark.sinks.snapshot import SnapshotTarget
@@ -468,3 +476,64 @@ def test_a_stalled_source_is_told_by_its_step(spark, out, monkeypatch, step, mes
     monkeypatch.setattr(SnapshotTarget if step == "stage" else tm.FrameSource, step, stall)
     with pytest.raises(SourceUnavailableError, match=f"^dbo.customers: .*{message}$"):
         sync(spark, out, customers(spark))
+
+
+class Counted(tm.FrameSource):
+    """Counts its questions; fails them all, or those that a table is part of."""
+
+    def __init__(self, *args, error=None, bad=None):
+        super().__init__(*args)
+        self.asked, self.error, self.bad = 0, error, bad
+
+    def describe(self, tables):
+        self.asked += 1
+        if self.error is not None and (self.bad is None or any(t.table == self.bad for t in tables)):
+            raise self.error
+        return super().describe(tables)
+
+
+def many(spark, n=32):
+    frames = {f"dbo.t{i}": spark.range(3).selectExpr("id AS k", "id AS w") for i in range(n)}
+    return frames, [{"table": t, "watermark_column": "w", "primary_key": "k"} for t in frames]
+
+
+def test_an_outage_is_asked_about_once(spark, out):
+    frames, tables = many(spark)
+    source = Counted(spark, frames, error=SourceUnavailableError("the source is down"))
+    with pytest.raises(ConnectionError, match="dbo.t0: the source is down"):
+        tm.sync_tables(source, out, tables, spark=spark)
+    assert source.asked == 1
+    report = tm.sync_tables_distributed(source, out, tables, spark=spark, raise_on_error=False)
+    assert source.asked == 2 and len(report["failures"]) == 32 and not report["tables"]
+    assert {f["table"] for f in report["failures"]} == set(frames)
+
+
+def test_one_bad_table_costs_a_few_questions(spark, out):
+    frames, tables = many(spark)
+    source = Counted(spark, frames, error=TableNotFoundError("the source has no such table"), bad="dbo.t21")
+    report = tm.sync_tables_distributed(source, out, tables, spark=spark, raise_on_error=False)
+    assert [f["table"] for f in report["failures"]] == ["dbo.t21"] and len(report["tables"]) == 31
+    assert source.asked <= 2 * 6 + 1  # 32 tables are halved five times; the table itself asks once more
+
+
+def test_the_largest_tables_start_first_and_idle_ones_take_no_thread(spark, out, monkeypatch, tmp_path):
+    frames, tables = many(spark, 6)
+    for i, rows in ((2, 40_000), (4, 400_000)):
+        spark.range(rows).selectExpr("id AS k", "id AS w").write.parquet(str(tmp_path / f"t{i}"))
+        frames[f"dbo.t{i}"] = spark.read.parquet(str(tmp_path / f"t{i}"))
+    started, threads = [], []
+    real = _Run.sync
+
+    def noted(self, table):
+        started.append(table.table)
+        threads.append(threading.current_thread())
+        return real(self, table)
+
+    monkeypatch.setattr(_Run, "sync", noted)
+    source = tm.FrameSource(spark, frames)
+    tm.sync_tables_distributed(source, out, tables, spark=spark, num_partitions=1)
+    assert started[:2] == ["dbo.t4", "dbo.t2"] and len(started) == 6
+    started.clear(), threads.clear()
+    report = tm.sync_tables_distributed(source, out, tables, spark=spark)
+    assert report["total_rows_fetched"] == 0 and [t["table"] for t in report["tables"]] == list(frames)
+    assert set(threads) == {threading.current_thread()}

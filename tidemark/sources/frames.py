@@ -85,6 +85,13 @@ class FrameSource:
         type_name = next(c.type_name for c in columns if c.name == name)
         return tuple(summary(self.frame(table.table), name, type_name).first())
 
+    def estimated_bytes(self, table: TableSync, last_value: str | None) -> int:
+        """Spark's own estimate from file sizes and statistics; no job is run."""
+        df = self.frame(table.table)
+        if last_value is not None:
+            df = incremental_scan(df, self._watermark(table), last_value)
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
     def changed(self, tables, described, checkpoints: dict[str, str]) -> set[str]:
         """A job for every few tables: a name comes back if any row lies above its checkpoint.
 
