@@ -72,7 +72,7 @@ def run_history(spark, sf):
     for run_id in (1, 2):
         report = tm.sync_tables(source, out, [entry(n) for n in KEYS], spark=spark)
         monitor.append_history(report_frame(spark, report.tables), f"{out}/_history", run_id)
-    return spark.read.parquet(f"{out}/_history").select("run_id", "table", "rows_fetched", "rows_inserted", "rows_updated")
+    return spark.read.parquet(f"{out}/_history").select(F.col("run_id").cast("bigint").alias("run_id"), "table", "rows_fetched", "rows_inserted", "rows_updated")
 
 
 def stalled_checkpoints(spark, sf):

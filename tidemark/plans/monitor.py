@@ -9,6 +9,7 @@ Windows run per table over its runs, so a partition holds one row per run of one
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,9 +49,40 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
 
 
 def append_history(report: DataFrame, history_uri: str, run_id: int) -> None:
-    """Adds one run's report to the history, in a folder per day."""
-    stamped = report.withColumn("run_id", F.lit(run_id).cast("long")).withColumn("run_date", F.current_date())
-    stamped.write.mode("append").partitionBy("run_date").parquet(history_uri)
+    """Adds one run's report to the history, in a folder per day and run.
+
+    A run that is reported again replaces its earlier report and keeps that one's day, so a report may be repeated.
+    """
+    spark = report.sparkSession
+    day = F.current_date()
+    try:
+        known = spark.read.parquet(history_uri)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:  # reads folder names only
+        before = known.where(F.col("run_id") == run_id).select(F.min("run_date")).first()[0] if "run_id" in known.columns else None
+        day = F.lit(before).cast("date") if before is not None else day
+    stamped = report.withColumn("run_id", F.lit(run_id).cast("long")).withColumn("run_date", day)
+    overwrite = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    overwrite.partitionBy("run_date", "run_id").parquet(history_uri)
+
+
+def silent_streaks(history: DataFrame) -> DataFrame:
+    """Runs in a row without a fetched row: ``table, first_run, last_run, runs`` for each such streak.
+
+    Table ``*`` stands for all tables of a run together. A streak ends where a run fetched something; runs that a
+    table took no part in do not break it. Failed runs, which have no count, neither make nor break a streak.
+    """
+    counted = history.where("rows_fetched IS NOT NULL").select("table", "run_id", "rows_fetched")
+    whole = counted.groupBy("run_id").agg(F.sum("rows_fetched").alias("rows_fetched")).select(F.lit("*").alias("table"), "run_id", "rows_fetched")
+    silent = F.col("rows_fetched") == 0
+    # a run's place among all runs less its place among its like stays the same through a streak
+    alike = Window.partitionBy("table", silent).orderBy("run_id")
+    streak = F.row_number().over(_runs()) - F.row_number().over(alike)
+    marked = counted.unionByName(whole).withColumns({"__streak": streak})
+    found = marked.where(silent).groupBy("table", "__streak")
+    return found.agg(F.min("run_id").alias("first_run"), F.max("run_id").alias("last_run"), F.count(F.lit(1)).alias("runs")).drop("__streak")
 
 
 def _runs() -> Window:
