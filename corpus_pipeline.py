@@ -6,8 +6,9 @@ them. The first three return rows of ``documents`` unchanged; the last returns t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import language, packing, simhash, toxicity
 from tidemark.llm.common import load, scratch, ship, written
@@ -29,34 +30,62 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose text scores below TOXIC_FROM; a null text scores as an empty one."""
+    """Keeps documents whose text scores below TOXIC_FROM; a null text scores as an empty one.
+
+    Rows of equal texts score alike, so all of them stay or go; a score that ties with TOXIC_FROM goes. An empty
+    table gives no rows, and a table without labels loses none.
+    """
     ship(spark)
     model = toxicity.train(docs, load(spark, sf_dir, "labels"))
     return docs.where(toxicity.toxicity(model, F.col("text")) < TOXIC_FROM)
 
 
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; of types that have none, of their text."""
+
+    def plain(field: T.StructField) -> Column:
+        text = field.dataType.simpleString()
+        return F.to_json(F.struct(_named(field.name))) if "map<" in text or "variant" in text else _named(field.name)
+
+    return F.xxhash64(*[c for f in docs.schema.fields for c in (plain(f), _named(f.name).isNull())])
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near-duplicates: of those with the smallest id the one whose columns hash lowest.
 
-    Groups are of texts, not of ids: rows that share an id but not a group each stand for their own.
-    Rows with a null id stay: they cannot be told apart, so none stands for a group.
+    Groups are of texts, not of ids: rows that share an id but not a group each stand for their own. Rows
+    with a null id come last: one of them stays only where its group has no row with an id. Null, empty and blank
+    texts are copies of each other. Of rows equal in all columns one stays; an empty table gives no rows. Other
+    columns may have any name and type.
     """
     ship(spark)
     folder = scratch(spark)
+    row = "row_hash"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
     # a row is known by its id and hash; rows equal in both are equal, and one of them is enough
-    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns]))
-    # null ids have fingerprints too: their texts can link two groups, as in op1_simhash
-    prints = written(simhash.fingerprints(hashed, kept="_row"), f"{folder}/fingerprints")
+    hashed = docs.withColumn(row, _row_hash(docs))
+    prints = written(simhash.fingerprints(hashed, kept=row), f"{folder}/fingerprints")
     labels = simhash.groups(prints, folder, distance=3)
-    first = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
-    first = first.join(labels, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    of_print = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(row).alias("hash"))).alias("first"))
+    first = of_print.join(labels, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    first = written(first.select(F.col("first.doc_id").alias("first_id"), F.col("first.hash").alias("first_hash")), f"{folder}/first")
     # the copies of a row are reduced in the tasks that read them, so that many of them do not meet in one
-    kept = hashed.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_row"]).join(first, ["doc_id", "_row"], "left_semi")
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    single = hashed.dropDuplicates(["doc_id", row])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")) & (F.col(row) == F.col("first_hash"))
+    return single.join(first, same, "left_semi").select(*[_named(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of 2048 tokens."""
+    """All documents as pieces of sequences of 2048 tokens.
+
+    A null text is packed as its end id, each of several equal rows as a document of its own, a very long text in
+    many pieces; an empty table gives no rows.
+    """
     ship(spark)
     return packing.pack(docs, capacity=2048, end_id=1)
 
