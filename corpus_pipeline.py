@@ -64,8 +64,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     ship(spark)
     folder = scratch(spark)
-    row = "row_hash"
-    while row in {c.lower() for c in docs.columns}:
+    row = "row_hash"  # this and the names made of it must be free
+    while any(c.lower().startswith(row) for c in docs.columns):
         row += "_"
     # a row is known by its id and hash; rows equal in both are equal, and one of them is enough
     hashed = docs.withColumn(row, _row_hash(docs))
@@ -73,10 +73,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     labels = simhash.groups(prints, folder, distance=3)
     of_print = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(row).alias("hash"))).alias("first"))
     first = of_print.join(labels, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    first = written(first.select(F.col("first.doc_id").alias("first_id"), F.col("first.hash").alias("first_hash")), f"{folder}/first")
+    first = written(first.select(F.col("first.doc_id").alias(f"{row}_id"), F.col("first.hash").alias(f"{row}_first")), f"{folder}/first")
     # the copies of a row are reduced in the tasks that read them, so that many of them do not meet in one
     single = hashed.dropDuplicates(["doc_id", row])
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")) & (F.col(row) == F.col("first_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{row}_id")) & (F.col(row) == F.col(f"{row}_first"))
     return single.join(first, same, "left_semi").select(*[_named(c) for c in docs.columns])
 
 
