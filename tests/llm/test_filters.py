@@ -147,6 +147,46 @@ def test_licenses_odd(spark, no_docs):
     assert sorted((r[:3] for r in con.execute(licenses.SCAN_SQL).fetchall()), key=str) == sorted(want, key=str)
 
 
+def wrapped(text, width):
+    import textwrap
+
+    return "\n\n".join(textwrap.fill(line, width) for line in text.split("\n"))
+
+
+def test_licenses_in_files(spark):
+    """Usual files: a title, copyright lines, wrapped at any width, within a longer text, as a comment, with other bullets."""
+    texts = {name: max((t for n, t in licenses.KNOWN if n == name), key=len) for name, _ in licenses.KNOWN}
+    rows, want = [], []
+    for i, name in enumerate(("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Zlib", "Unlicense", "Apache-2.0", "GPL-3.0-or-later", "MPL-2.0")):
+        rows.append((i, f"The MIT License\n\nCopyright (c) 2021 Some One\n\n{wrapped(texts[name], 78)}\n"))
+        rows.append((100 + i, f"# A tool\n\nThis is a tool.\n\n{wrapped(texts[name], 60)}\n\nThanks to all."))
+        rows.append((200 + i, "\n".join(f" * {line}" for line in wrapped(texts[name], 30).split("\n"))))
+        rows.append((300 + i, wrapped(texts[name], 78).replace("software", "firmware", 1).replace("License", "Contract", 1)))
+        want += [(i, 0, name), (i, 5, name), (100 + i, 5, name), (200 + i, 0, name), (200 + i, 1, name)]
+    rows.append((400, "Licensed\nunder the MIT\nLicense."))
+    rows.append((401, texts["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "(b) ").replace("3. ", "c) ")))
+    rows.append((402, "Thanks.\n" + "\n".join([texts["ISC"]] * 3)))
+    want += [(400, 0, "MIT"), (400, 1, "MIT"), (401, 0, "BSD-3-Clause"), (401, 1, "BSD-3-Clause"), *[(402, n, "ISC") for n in (2, 4, 6)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["line"], r["license_id"]) for r in licenses.scan(docs, licenses.known_licenses(spark)).collect())
+    # the first sentences of two of the texts are notices of their own
+    extra = [r for r in got if r not in want]
+    assert [r for r in want if r not in got] == []
+    assert all(name in ("Unlicense", "0BSD", "Apache-2.0") for _, _, name in extra)
+    assert not [r for r in extra if 300 <= r[0] < 400 and r[2] != "Unlicense"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(r[:3] for r in con.execute(licenses.SCAN_SQL).fetchall()) == got
+
+
+def test_licenses_of_another_table(spark):
+    docs = spark.createDataFrame([(1, "Intro.\nMay be used\nby anyone, anywhere.\nEnd."), (2, "word")], "doc_id long, text string")
+    known = spark.createDataFrame([("own", "May be used by anyone anywhere"), ("one", "Word!"), ("none", " ... ")], "license_id string, text string")
+    assert sorted((r["doc_id"], r["line"], r["license_id"]) for r in licenses.scan(docs, known).collect()) == [(1, 2, "own"), (2, 0, "one"), (2, 1, "one")]
+    assert licenses.scan(docs, known.limit(0)).count() == 0
+
+
 def test_license_scan_stays_in_the_jvm(spark, odd_docs):
     plan = licenses.scan(odd_docs, licenses.known_licenses(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
