@@ -161,7 +161,7 @@ def test_licenses_in_files(spark):
         rows.append((i, f"The MIT License\n\nCopyright (c) 2021 Some One\n\n{wrapped(texts[name], 78)}\n"))
         rows.append((100 + i, f"# A tool\n\nThis is a tool.\n\n{wrapped(texts[name], 60)}\n\nThanks to all."))
         rows.append((200 + i, "\n".join(f" * {line}" for line in wrapped(texts[name], 30).split("\n"))))
-        rows.append((300 + i, wrapped(texts[name], 78).replace("software", "firmware", 1).replace("License", "Contract", 1)))
+        rows.append((300 + i, wrapped(texts[name] + "\nmore", 78).replace("\n\nmore", " more")))
         want += [(i, 0, name), (i, 5, name), (100 + i, 5, name), (200 + i, 0, name), (200 + i, 1, name)]
     rows.append((400, "Licensed\nunder the MIT\nLicense."))
     rows.append((401, texts["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "(b) ").replace("3. ", "c) ")))
@@ -169,11 +169,8 @@ def test_licenses_in_files(spark):
     want += [(400, 0, "MIT"), (400, 1, "MIT"), (401, 0, "BSD-3-Clause"), (401, 1, "BSD-3-Clause"), *[(402, n, "ISC") for n in (2, 4, 6)]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r["doc_id"], r["line"], r["license_id"]) for r in licenses.scan(docs, licenses.known_licenses(spark)).collect())
-    # the first sentences of two of the texts are notices of their own
-    extra = [r for r in got if r not in want]
-    assert [r for r in want if r not in got] == []
-    assert all(name in ("Unlicense", "0BSD", "Apache-2.0") for _, _, name in extra)
-    assert not [r for r in extra if 300 <= r[0] < 400 and r[2] != "Unlicense"]
+    # the first sentence of the Unlicense is a notice of its own, also where the rest was changed
+    assert set(got) - {(306, 1, "Unlicense")} == set(want)
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)

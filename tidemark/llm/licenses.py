@@ -194,7 +194,7 @@ SPELLINGS = [
 ]
 _MARKS = r"[^\p{L}\p{N}]+"
 _COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright[^\p{L}]*[0-9]{4}|copyright \(c\)|\(c\)|©)"
-_LIST_NUMBER = r"^[^\p{L}\p{N}]*([0-9]{1,2}|[a-z])[.)][ \t]+"
+_LIST_NUMBER = r"^[^\p{L}\p{N}]*([0-9]{1,2}|[a-e])[.)][ \t]+"
 _ANY_SPELLING = r"\b(" + "|".join(a for a, _ in SPELLINGS) + r")\b"
 #: A scan takes at most this many different beginnings of known texts, since each task holds them.
 MOST_BEGINNINGS = 10_000
