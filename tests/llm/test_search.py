@@ -81,6 +81,15 @@ def test_exact_over_blocks(spark, many):
     assert sorted(map(tuple, got.collect())) == plain(many, lambda i: i % 20 == 0, 20, product, lambda v: True)
 
 
+def test_exact_or_refused(spark):
+    large = table(spark, [(0, [1.0, 2.0**40]), (1, [0.5, 1.0])])
+    with pytest.raises(Exception, match="too large for exact products"):
+        exact_topk.top_k(large, large).collect()
+    uneven = table(spark, [(0, [1.0, 2.0]), (1, [0.5]), (2, None)])
+    with pytest.raises(ValueError, match="vectors of 1 to 2 components"):
+        exact_topk.top_k(uneven, uneven)
+
+
 def test_bounds_hold():
     r = np.random.default_rng(4)
     a, b = np.floor(r.standard_normal((40, 50)) * 64), np.floor(r.standard_normal((60, 50)) * 64)

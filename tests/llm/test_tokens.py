@@ -167,3 +167,12 @@ def test_stitching(spark, tmp_path, block_tokens):
     names = spark.createDataFrame([(n,) for n in files], "file string")
     got = token_scan.document_lengths(names, str(tmp_path), end_id=9, width=4, block_tokens=block_tokens)
     assert {tuple(r) for r in got.select("file", "ordinal", "start", "n_tokens", "closed").collect()} == want
+
+
+def test_the_prefix_scan_moves_no_separators(spark, tmp_path):
+    np.array([1, 9, 2, 9], "<u4").tofile(tmp_path / "a.bin")
+    got = token_scan.document_lengths(spark.createDataFrame([("a.bin",)], "file string"), str(tmp_path), end_id=9, width=4, block_tokens=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    cut = next(line for line in plan[plan.index("Window [") :].split("\n") if "Project [" in line)
+    assert "size(ends" in cut and ", ends#" not in cut and "[ends#" not in cut
+    assert sorted(tuple(r) for r in got.collect()) == [("a.bin", 0, 0, 1, True), ("a.bin", 1, 2, 1, True)]

@@ -78,7 +78,12 @@ def quantised(table: DataFrame, id_column: str, vector_column: str, factor: floa
     """``id, v``: rows that take part, components as floor(factor * x); of repeated ids the smallest vector."""
     v = F.col(vector_column).cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    return rows.select("id", F.transform("v", lambda x: F.floor(x * factor).cast("long")).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    # beyond this a sum of products might not be exact in float64
+    most = F.sqrt(F.lit(2.0**53) / F.size("v"))
+    fits = F.forall("v", lambda x: F.abs(F.floor(x.cast("double") * factor).cast("double")) <= most)
+    error = F.raise_error(F.lit(f"{vector_column}: a component times {factor} is too large for exact products")).cast("array<bigint>")
+    whole = F.transform("v", lambda x: F.floor(x * factor).cast("long"))
+    return rows.select("id", F.when(fits, whole).otherwise(error).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
 
 
 def top_k(
@@ -96,15 +101,19 @@ def top_k(
     Components become ``floor(factor * x)`` first. ``queries`` are rows of ``table``. A task holds about
     ``block_rows`` rows and ``query_rows`` queries. Null or empty vectors, those with null or non-finite
     components and rows without an id take no part; zero vectors do. Rows that repeat an id count
-    once, with their smallest vector. All vectors need one length, and whole components whose products
-    add up to less than 2^53. Ties go to the smaller id; with fewer than k candidates all are
+    once, with their smallest vector. Vectors of unequal length, and components so large that a sum of products
+    may pass 2^53, raise an error. Ties go to the smaller id; with fewer than k candidates all are
     returned; empty tables give no rows; other columns are ignored.
     """
     rows = quantised(table, id_column, vector_column, factor)
     asked = quantised(queries, id_column, vector_column, factor)
     copies = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).select("id", "v")
-    n, m = table.count(), queries.count()
+    length = F.when(usable(F.col(vector_column).cast("array<double>")), F.size(vector_column))
+    sizes = table.agg(F.count(F.lit(1)).alias("rows"), F.min(length).alias("least"), F.max(length).alias("most")).first()
+    if sizes["least"] != sizes["most"]:
+        raise ValueError(f"{vector_column}: vectors of {sizes['least']} to {sizes['most']} components")
+    n, m = sizes["rows"], queries.count()
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -85,7 +85,9 @@ def document_lengths(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
     """Every document of the token files named in column ``file``: ``file, ordinal, start, n_tokens, closed``.
 
     ``start`` counts ids of the file, separators included; ``n_tokens`` leaves the separator out. Ids
-    behind the last separator are a document that is not ``closed``. A task holds one block at a time.
+    behind the last separator are a document that is not ``closed``. A task holds one block at a time; the
+    prefix scan sees three numbers a block, so a file may be as long as storage allows. Files' names are new ones
+    at every run of ``encode``, and so are the names and order in results.
     """
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -110,24 +112,26 @@ def document_lengths(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
                 )
 
     listed = files.select("file").distinct().mapInArrow(blocks, "file string, block long").repartition(parts, "file", "block")
-    found = listed.mapInArrow(search, "file string, block long, stop long, ends array<long>")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    scanned = found.select(
+    # written, so that files are read once, and the scan sees the few numbers of a block without its separators
+    found = written(listed.mapInArrow(search, "file string, block long, stop long, ends array<long>"), f"{scratch(files.sparkSession)}/found")
+    in_order = Window.partitionBy("file").orderBy("block")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    numbers = found.select("file", "block", F.size("ends").alias("n"), F.array_max("ends").alias("last"))
+    prefixes = numbers.select(
         "file",
-        "stop",
-        "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("first"),
-        F.coalesce(F.max(F.array_max("ends")).over(before) + 1, F.lit(0)).alias("open"),
-        F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("is_last"),
+        "block",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
+        F.coalesce(F.max("last").over(before) + 1, F.lit(0)).alias("open"),
+        F.lead("block").over(in_order).isNull().alias("is_last"),
     )
+    # both sides grow with the files; the join also spreads the blocks, whose arrays become rows next
+    scanned = found.join(prefixes.hint("merge"), ["file", "block"])
     # a document starts behind the separator before its own, or where the scan says it is open since
     starts = F.concat(F.array("open"), F.transform("ends", lambda x: x + 1))
     tail = F.when(F.col("is_last") & (F.element_at(starts, -1) < F.col("stop")), F.array("stop")).otherwise(F.array().cast("array<long>"))
     stops = F.concat("ends", tail)
     spans = F.zip_with(F.slice(starts, F.lit(1), F.size(stops)), stops, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-    # few rows with long arrays: spread again before each becomes a row for every document
-    spread = scanned.select("file", "first", F.size("ends").alias("n"), spans.alias("spans")).repartition(parts, "file", "first")
-    rows = spread.select("file", "first", "n", F.posexplode("spans").alias("i", "span"))
+    rows = scanned.select("file", "first", F.size("ends").alias("n"), F.posexplode(spans).alias("i", "span"))
     return rows.select(
         "file",
         (F.col("first") + F.col("i")).alias("ordinal"),
