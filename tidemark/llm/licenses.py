@@ -200,17 +200,24 @@ _ANY_SPELLING = r"\b(" + "|".join(a for a, _ in SPELLINGS) + r")\b"
 MOST_BEGINNINGS = 10_000
 
 
-def canonical_line(line: Column) -> Column:
-    """A line's canonical form; empty for copyright lines, titles and lines of marks only."""
-    low = F.lower(line)
-    plain = F.trim(F.regexp_replace(F.regexp_replace(low, _LIST_NUMBER, ""), _MARKS, " "))
-    spelled = reduce(lambda text, change: F.regexp_replace(text, rf"\b{change[0]}\b", change[1]), SPELLINGS, plain)
-    kept = F.when(plain.rlike(_ANY_SPELLING), spelled).otherwise(plain)
-    return F.when(low.rlike(_COPYRIGHT) | kept.isin(TITLES), F.lit("")).otherwise(kept)
+def _spelled(plain: Column) -> Column:
+    changed = reduce(lambda text, change: F.regexp_replace(text, rf"\b{change[0]}\b", change[1]), SPELLINGS, plain)
+    return F.when(plain.rlike(_ANY_SPELLING), changed).otherwise(plain)
+
+
+def _plain(low: Column) -> Column:
+    words = F.trim(F.regexp_replace(F.regexp_replace(low, _LIST_NUMBER, ""), _MARKS, " "))
+    return F.when(low.rlike(_COPYRIGHT), F.lit("")).otherwise(words)
 
 
 def canonical_lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\r?\n"), canonical_line)
+    """The lines' canonical forms; empty for copyright lines, titles and lines of marks only.
+
+    Step by step over the whole array: what a step uses twice was computed once, by the step before.
+    """
+    low = F.transform(F.split(text, "\r?\n"), F.lower)
+    spelled = F.transform(F.transform(low, _plain), _spelled)
+    return F.transform(spelled, lambda form: F.when(form.isin(TITLES), F.lit("")).otherwise(form))
 
 
 def whole(lines: Column) -> Column:
@@ -271,14 +278,15 @@ def scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_colu
     of_begin = F.create_map(*[F.lit(x) for item in counts.items() for x in item]) if counts else F.lit(None).cast("map<string,array<int>>")
     lines = docs.select(F.col(id_column).alias("doc_id"), canonical_lines(F.col(text_column).cast("string")).alias("lines"))
     filled = F.filter(F.transform("lines", lambda x, i: F.struct((i + 1).alias("line"), x.alias("form"))), lambda x: x["form"] != "")
-    rows = lines.select("doc_id", filled.alias("filled")).where(F.size("filled") > 0)
+    rows = lines.select("doc_id", filled.alias("filled"))
     placed = F.transform("filled", lambda x, i: F.struct(x["line"].alias("line"), (i + 1).alias("place"), x["form"].alias("form")))
     begins = F.filter(placed, lambda x: _beginning(x["form"]).isin(list(counts)))
     starts = F.transform(begins, lambda x: F.struct(x["line"].alias("line"), x["place"].alias("place"), F.try_element_at(of_begin, _beginning(x["form"])).alias("words")))
     document = F.array(F.struct(F.lit(0).alias("line"), F.lit(1).alias("place"), F.array(F.lit(0)).alias("words")))
     forms = F.col("filled.form")
     units = rows.select("doc_id", forms.alias("forms"), F.md5(F.array_join(forms, " ")).alias("whole"), F.concat(document, starts).alias("starts"))
-    units = units.select("doc_id", "forms", "whole", F.explode("starts").alias("at"))
+    # every text has its document among the starts; a plain explode would compute them once more, to look for empty ones
+    units = units.select("doc_id", "forms", "whole", F.explode_outer("starts").alias("at"))
     # the run is cut in the step that makes its row, so that a long document's lines are not carried further
     runs = units.select("doc_id", "whole", "at.line", "at.words", F.slice("forms", F.col("at.place"), F.array_max("at.words")).alias("run"))
     sized = runs.select("doc_id", "whole", "line", "run", F.explode("words").alias("n"))
