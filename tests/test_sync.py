@@ -1,5 +1,6 @@
 import datetime as dt
 import threading
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -45,6 +46,10 @@ def target(spark, out, name="dbo/customers"):
     return SnapshotTarget(spark, f"{out}/{name}").read()
 
 
+def target_exists(spark, out, name):
+    return SnapshotTarget(spark, f"{out}/{name}").exists()
+
+
 def last_value(spark, out, table=TABLE):
     entry = TableSync.of(table)
     return CheckpointStore(spark, f"{out}/_streamer_checkpoints").read([entry]).get(entry.table)
@@ -537,3 +542,49 @@ def test_the_largest_tables_start_first_and_idle_ones_take_no_thread(spark, out,
     report = tm.sync_tables_distributed(source, out, tables, spark=spark)
     assert report["total_rows_fetched"] == 0 and [t["table"] for t in report["tables"]] == list(frames)
     assert set(threads) == {threading.current_thread()}
+
+
+def stalled(spark, seconds):
+    """Rows that take ``seconds`` to arrive."""
+
+    def wait(batches):
+        import time
+
+        for batch in batches:
+            time.sleep(seconds)
+            yield batch
+
+    return spark.range(0, 3, 1, 1).selectExpr("id AS k", "id AS w").mapInPandas(wait, "k long, w long")
+
+
+def test_a_table_that_stalls_fails_by_step_and_the_others_go_on(spark, out):
+    frames, tables = many(spark, 4)
+    slow = {**frames, "dbo.t2": stalled(spark, 120)}
+    start = time.monotonic()
+    report = tm.sync_tables_distributed(
+        tm.FrameSource(spark, slow), out, tables, spark=spark, raise_on_error=False, step_timeout_sec=8
+    )
+    assert time.monotonic() - start < 60
+    [failure] = report["failures"]
+    assert failure["table"] == "dbo.t2" and "took more than 8 s while fetching rows" in failure["error"]
+    assert [t["rows_fetched"] for t in report["tables"]] == [3, 3, 3]
+    assert not target_exists(spark, out, "dbo/t2") and not spark.sparkContext.getJobTags()
+    # nothing is lost: the next run fetches it
+    assert tm.sync_tables_distributed(tm.FrameSource(spark, frames), out, tables, spark=spark)["total_rows_fetched"] == 3
+
+
+def test_a_probe_that_stalls_leaves_the_other_tables_to_themselves(spark, out):
+    frames, tables = many(spark, 3)
+    tm.sync_tables(tm.FrameSource(spark, frames), out, tables, spark=spark)
+    slow = {**frames, "dbo.t1": stalled(spark, 120), "dbo.t2": spark.range(5).selectExpr("id AS k", "id AS w")}
+    report = tm.sync_tables_distributed(
+        tm.FrameSource(spark, slow), out, tables, spark=spark, raise_on_error=False, step_timeout_sec=8
+    )
+    assert [f["table"] for f in report["failures"]] == ["dbo.t1"]
+    assert [t["rows_fetched"] for t in report["tables"]] == [0, 2]
+
+
+def test_a_limit_of_nothing_is_refused(spark, out):
+    frames, tables = many(spark, 1)
+    with pytest.raises(ValueError, match="step_timeout_sec"):
+        tm.sync_tables(tm.FrameSource(spark, frames), out, tables, spark=spark, step_timeout_sec=0)

@@ -91,18 +91,20 @@ def preflight_frame(config: DataFrame, described: DataFrame, checkpoints: DataFr
     its text form has no order.
     """
     column = F.struct("ordinal", F.col("column_name").alias("name"), F.col("data_type").alias("source_type"), "spark_type", "recognised")
-    # A table has at most as many rows here as the source allows it columns.
-    columns = described.where("column_name IS NOT NULL").groupBy("table").agg(F.sort_array(F.collect_list(column)).alias("columns"))
-    empty = F.array().cast(columns.schema["columns"].dataType)
-    found = config.select("table", "watermark_column", "primary_key").join(columns, "table", "left").withColumn("columns", F.coalesce("columns", empty))
-    is_watermark = lambda c: F.lower(c["name"]) == F.lower("watermark_column")
-    found = found.select(
-        "*",
-        F.transform("columns", lambda c: F.lower(c["name"])).alias("__names"),
-        F.exists("columns", is_watermark).alias("watermark_present"),
-        F.exists("columns", lambda c: is_watermark(c) & (c["spark_type"] == "binary")).alias("__binary"),
+    exists = F.col("column_name").isNotNull()
+    name, watermark = F.lower("column_name"), F.lower("watermark_column")
+    keys = F.transform("primary_key", lambda key: F.lower(key))
+    # One grouping by table answers everything; what goes into it is told row by row, before rows are gathered. A
+    # table has at most as many rows here as the source allows it columns.
+    settings = config.select("table", "watermark_column", "primary_key")
+    found = settings.join(described, "table", "left").groupBy("table").agg(
+        F.first("primary_key").alias("primary_key"),
+        F.sort_array(F.collect_list(F.when(exists, column))).alias("columns"),
+        F.coalesce(F.bool_or(name == watermark), F.lit(False)).alias("watermark_present"),
+        F.coalesce(F.bool_or((name == watermark) & (F.col("spark_type") == "binary")), F.lit(False)).alias("__binary"),
+        F.collect_set(F.when(F.array_contains(keys, name), name)).alias("__keys"),
     )
-    missing = F.filter("primary_key", lambda key: ~F.array_contains("__names", F.lower(key)))
+    missing = F.filter("primary_key", lambda key: ~F.array_contains("__keys", F.lower(key)))
     problem = F.when(F.col("__binary"), F.lit("the watermark column is binary; its text form has no order"))
     marks = checkpoints.select(F.col("table_name").alias("table"), F.col("last_value").alias("last_synced_value"))
     return found.join(marks, "table", "left").select(
