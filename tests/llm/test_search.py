@@ -101,6 +101,35 @@ def test_bounds_hold():
         last = bound
 
 
+def test_axes_do_not_change_products_and_bounds_on_them_hold():
+    r = np.random.default_rng(5)
+    rows = np.floor((r.standard_normal((300, 5)) @ r.standard_normal((5, 32)) + 0.1 * r.standard_normal((300, 32))) * 64)
+    axes = exact_topk.principal_axes(rows[:100])
+    turned = rows @ axes
+    assert np.allclose(turned @ turned.T, rows @ rows.T)
+    assert (np.square(turned).mean(0)[:5].sum() > 0.95 * np.square(turned).mean(0).sum())
+    for single in exact_topk.RESOLUTIONS:
+        own = exact_topk.statistics(turned, single)
+        assert (own @ own.T >= rows @ rows.T - 1e-6 - 1e-9 * np.abs(rows @ rows.T).max()).all()
+    assert exact_topk.segment_ends(64, 4) == [0, 1, 2, 3, 4, 8, 16, 32, 64] and exact_topk.segment_ends(3, 16) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("k", [1, 20, 500])
+def test_few_products_where_vectors_cluster(k):
+    r = np.random.default_rng(6)
+    centres = r.standard_normal((40, 64))
+    rows = np.floor((centres[r.integers(0, 40, 4000)] + 0.1 * r.standard_normal((4000, 64))) * 64)
+    ids = r.permutation(4000)
+    block = exact_topk.Block(ids, rows, exact_topk.principal_axes(rows[:512]))
+    q, found, score = block.best(ids[:64], rows[:64], k)
+    for i in range(0, 64, 9):
+        exact = rows @ rows[i]
+        order = [j for j in np.lexsort((ids, -exact)) if j != i][:k]
+        assert found[q == ids[i]].tolist() == ids[order].tolist() and score[q == ids[i]].tolist() == exact[order].tolist()
+    if k == 20:
+        assert block.multiplied < 0.15 * block.bounded
+
+
 def test_recall(spark, many):
     t = table(spark, many)
     got = [tuple(r) for r in ann_forest.nearest(t, t.where("vec_id % 10 = 0"), k=5, block_rows=400, query_rows=40).collect()]

@@ -169,7 +169,7 @@ def nearest(
     filed = indexed.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"), block.alias("b"), "id", "v", F.lit(False).alias("asked"))
     sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), part.alias("p"), "id", "v", F.lit(True).alias("asked"))
     cells = filed.unionByName(sent).withColumn("cell", (F.col("b") * parts + F.col("p")).cast("int")).drop("b", "p")
-    found = cells.repartition(blocks * parts, "cell").mapInArrow(search, "query_id long, vec_id long, score double")
+    found = cells.repartitionById(blocks * parts, "cell").mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

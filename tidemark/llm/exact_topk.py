@@ -7,8 +7,13 @@ the product from above by ``sum of w * (m1 * m2 + s1 * s2)``. Few long segments
 little, more and shorter ones bound closer. So each query goes from coarse to fine, keeps at every step
 only rows whose bound reaches its k-th best exact score so far, and computes exact scores of the survivors.
 
-The rows are dealt to blocks by a hash of their id and the query set meets every block; each block gives
-a query's k best there, and those of all blocks are ranked once more. Of equal vectors only the k + 1
+Bounds are close where segments are nearly constant or short. So vectors are first turned to the principal axes of a
+bounded sample, which leaves products as they are and puts most of them into the first components; these are segments of
+their own, and segments further on are ever longer. The axes change the work, never a result: exact scores
+are of the original whole numbers.
+
+The rows are dealt to blocks by a hash of their id and the query set meets every block, a task for each block
+of rows and block of queries; each gives a query's k best there, and those of all blocks are ranked once more. Of equal vectors only the k + 1
 smallest ids are kept, since ties go to the smaller id.
 """
 
@@ -23,16 +28,38 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.ann_forest import matrix, usable
 
-#: Segments of each resolution, coarse to fine.
+#: How many first components are segments of their own, coarse to fine. Later segments double in length.
 RESOLUTIONS = (1, 4, 16)
 
+#: From this share of pairs left on, one matrix product is cheaper than picking pairs (about ten times a pair).
+DENSE = 0.1
+
+#: Pairs multiplied at a time where they are picked.
+PAIRS_AT_ONCE = 1 << 16
+
+
+def segment_ends(dimensions: int, single: int) -> list[int]:
+    """0, 1, ... single, 2 * single, 4 * single, ... dimensions; those of a finer resolution hold the coarser ones'."""
+    ends = list(range(min(single, dimensions) + 1))
+    while ends[-1] < dimensions:
+        ends.append(min(2 * ends[-1], dimensions))
+    return ends
+
 
-def statistics(rows: np.ndarray, segments: int) -> np.ndarray:
+def principal_axes(sample: np.ndarray) -> np.ndarray:
+    """Directions of the sample's vectors as columns, those that hold most of their length first."""
+    distinct = np.unique(sample, axis=0)
+    scaled = distinct / max(np.abs(distinct).max(), 1e-300)
+    return np.linalg.eigh(scaled.T @ scaled)[1][:, ::-1]
+
+
+def statistics(rows: np.ndarray, single: int) -> np.ndarray:
     """Means and deviations of each row's segments, scaled so that their products bound scores."""
-    edges = np.linspace(0, rows.shape[1], min(segments, rows.shape[1]) + 1).astype(int)
-    parts = [rows[:, a:b] for a, b in zip(edges, edges[1:])]
-    scale = [np.sqrt(p.shape[1]) for p in parts]
-    return np.stack([p.mean(1) * s for p, s in zip(parts, scale)] + [p.std(1) * s for p, s in zip(parts, scale)], axis=1)
+    ends = segment_ends(rows.shape[1], single)
+    parts = [rows[:, a:b] for a, b in zip(ends, ends[1:])]
+    means = [p.mean(1) * np.sqrt(p.shape[1]) for p in parts]
+    deviations = [p.std(1) * np.sqrt(p.shape[1]) for p in parts if p.shape[1] > 1]
+    return np.stack(means + deviations, axis=1)
 
 
 def _floor(bounds: np.ndarray, queries: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
@@ -44,34 +71,56 @@ def _floor(bounds: np.ndarray, queries: np.ndarray, rows: np.ndarray, k: int) ->
     return np.partition(scores, -k, axis=1)[:, -k] if n >= k else np.full(len(queries), -np.inf)
 
 
-def best_of_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, of_rows: list[np.ndarray], k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every query's k best rows of the block other than itself: query ids, row ids, scores.
-
-    ``rows`` are whole numbers, exact in float64 (products stay far below 2^53). Bounds get a slack
-    for rounding, and a row whose bound ties with the k-th best stays, so that ids decide. The queries
-    go together: a resolution looks at the rows that the one before left to any of them. ``of_rows``
-    are the rows' statistics at each resolution.
-    """
-    left = np.arange(len(ids))
-    alive = query_ids[:, None] != ids[None, :]
-    floor = np.full(len(queries), -np.inf)
-    for segments, own in zip(RESOLUTIONS, of_rows):
-        bounds = statistics(queries, segments) @ own[left].T
-        bounds = np.where(alive, bounds + 1e-6 + 1e-9 * np.abs(bounds), -np.inf)
-        floor = np.maximum(floor, _floor(bounds, queries, rows[left], k))
-        alive = alive & (bounds >= floor[:, None])
-        some = alive.any(0)
-        left, alive = left[some], alive[:, some]
-    scores = np.where(alive, queries @ rows[left].T, -np.inf)
-    last = np.partition(scores, -k, axis=1)[:, -k] if len(left) > k else np.full(len(queries), -np.inf)
-    q, r = np.nonzero(alive & (scores >= last[:, None]))
-    found, score = ids[left[r]], scores[q, r]
-    order = np.lexsort((found, -score, q))
-    rank = np.arange(len(order)) - np.searchsorted(q[order], q[order])
-    order = order[rank < k]
-    return query_ids[q[order]], found[order], score[order]
+class Block:
+    """Rows of one block with what bounds their products: statistics on the axes at each resolution."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, axes: np.ndarray):
+        self.ids, self.rows, self.axes = ids, rows, axes
+        self.of_rows = [statistics(rows @ axes, single) for single in RESOLUTIONS]
+        self.length = np.linalg.norm(rows, axis=1)
+        self.bounded, self.multiplied = 0, 0  # pairs looked at, and those of them that got an exact product
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every query's k best rows other than itself: query ids, row ids, scores.
+
+        ``rows`` and ``queries`` are whole numbers, exact in float64 (products stay below 2^53). Bounds get a slack
+        for rounding, and a row whose bound ties with the k-th best stays, so that ids decide. A resolution looks
+        at the rows that the one before left to any query of the call.
+        """
+        left = np.arange(len(self.ids))
+        alive = query_ids[:, None] != self.ids[None, :]
+        floor = np.full(len(queries), -np.inf)
+        turned, length = queries @ self.axes, np.linalg.norm(queries, axis=1)
+        self.bounded += alive.size
+        for single, own in zip(RESOLUTIONS, self.of_rows):
+            bounds = statistics(turned, single) @ own[left].T
+            bounds = np.where(alive, bounds + 1e-6 + 1e-9 * length[:, None] * self.length[left], -np.inf)
+            floor = np.maximum(floor, _floor(bounds, queries, self.rows[left], k))
+            self.multiplied += len(queries) * min(4 * k, len(left))
+            alive = alive & (bounds >= floor[:, None])
+            some = alive.any(0)
+            left, alive = left[some], alive[:, some]
+        q, r = np.nonzero(alive)
+        score = self._products(queries, left, q, r, alive.size)
+        # by query, best first, ties to the smaller id
+        found = self.ids[left[r]]
+        near = score >= floor[q]
+        q, found, score = q[near], found[near], score[near]
+        order = np.lexsort((found, -score, q))
+        rank = np.arange(len(order)) - np.searchsorted(q[order], q[order])
+        order = order[rank < k]
+        return query_ids[q[order]], found[order], score[order]
+
+    def _products(self, queries: np.ndarray, left: np.ndarray, q: np.ndarray, r: np.ndarray, pairs: int) -> np.ndarray:
+        if len(q) > DENSE * pairs:
+            self.multiplied += pairs
+            return (queries @ self.rows[left].T)[q, r]
+        self.multiplied += len(q)
+        score = np.empty(len(q))
+        for a in range(0, len(q), PAIRS_AT_ONCE):
+            b = a + PAIRS_AT_ONCE
+            score[a:b] = np.einsum("nd,nd->n", queries[q[a:b]], self.rows[left[r[a:b]]])
+        return score
 
 
 def quantised(table: DataFrame, id_column: str, vector_column: str, factor: float) -> DataFrame:
@@ -95,11 +144,13 @@ def top_k(
     factor: float = 64,
     block_rows: int = 8192,
     query_rows: int = 1024,
+    sample_rows: int = 1024,
 ) -> DataFrame:
     """Each query's k rows of the largest inner product, other than itself: ``query_id, rank, vec_id, score``.
 
     Components become ``floor(factor * x)`` first. ``queries`` are rows of ``table``. A task holds about
-    ``block_rows`` rows and ``query_rows`` queries. Null or empty vectors, those with null or non-finite
+    ``block_rows`` rows and ``query_rows`` queries. The axes are fitted on at most ``sample_rows`` rows, those whose
+    ids hash lowest, and every task gets them: the square of a vector's length in doubles. Null or empty vectors, those with null or non-finite
     components and rows without an id take no part; zero vectors do. Rows that repeat an id count
     once, with their smallest vector. Vectors of unequal length, and components so large that a sum of products
     may pass 2^53, raise an error. Ties go to the smaller id; with fewer than k candidates all are
@@ -115,6 +166,10 @@ def top_k(
         raise ValueError(f"{vector_column}: vectors of {sizes['least']} to {sizes['most']} components")
     n, m = sizes["rows"], queries.count()
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
+    values = F.col(vector_column).cast("array<double>")
+    drawn = table.where(F.col(id_column).isNotNull() & usable(values)).select(values.alias("v"), F.xxhash64(id_column).alias("h"))
+    sample = drawn.orderBy("h", "v").limit(sample_rows).select("v").toArrow().column("v").combine_chunks()
+    turn = table.sparkSession.sparkContext.broadcast(principal_axes(matrix(sample)) if len(sample) else None)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = [b for b in batches if b.num_rows]
@@ -126,10 +181,12 @@ def top_k(
         ids, values = all_rows.column("id").to_numpy(), matrix(all_rows.column("v").combine_chunks()).astype(np.float64)
         for cell in np.unique(cells):
             here, wanted = np.flatnonzero((cells == cell) & ~is_query), np.flatnonzero((cells == cell) & is_query)
-            of_rows = [statistics(values[here], segments) for segments in RESOLUTIONS]
-            for start in range(0, len(wanted) if len(here) else 0, 64):
+            if not len(here) or not len(wanted):
+                continue
+            block_here = Block(ids[here], values[here], turn.value)
+            for start in range(0, len(wanted), 64):
                 some = wanted[start : start + 64]
-                q, found, score = best_of_block(ids[some], values[some], ids[here], values[here], of_rows, k)
+                q, found, score = block_here.best(ids[some], values[some], k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q, pa.int64()), pa.array(found, pa.int64()), pa.array(score.astype(np.int64))], ["query_id", "vec_id", "score"]
                 )
@@ -139,7 +196,7 @@ def top_k(
     filed = kept.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"), block.alias("b"), "id", "v", F.lit(False).alias("asked"))
     sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), part.alias("p"), "id", "v", F.lit(True).alias("asked"))
     cells = filed.unionByName(sent).withColumn("cell", (F.col("b") * parts + F.col("p")).cast("int")).drop("b", "p")
-    found = cells.repartition(blocks * parts, "cell").mapInArrow(search, "query_id long, vec_id long, score long")
+    found = cells.repartitionById(blocks * parts, "cell").mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
