@@ -112,6 +112,34 @@ def test_toxicity_odd(spark, odd_docs, no_docs):
     assert {r["score"] for r in toxicity.scored(toxicity.train(docs, labels.where("toxic = 0")), docs).collect()} == {0.0}
 
 
+def test_copies_are_one_piece_of_evidence(spark):
+    """The rare words of a toxic text that was copied often are no sign of toxicity."""
+    r = np.random.default_rng(2)
+    syllables = [a + b for a in "bdfglmnprst" for b in ("a", "e", "i", "o", "u", "ou")]
+    lexicon = ["".join(r.choice(syllables, 3)) for _ in range(4000)]
+    text = lambda n: " ".join(r.choice(lexicon, n))
+    copied = text(120)
+    near = lambda i: copied.replace(copied.split()[i], "other", 1)
+    rows = [(i, text(60), 0) for i in range(900)] + [(1000 + i, f"{text(40)} idiot {text(20)}", 1) for i in range(100)]
+    rows += [(2000 + i, f"{copied if i % 2 else near(i)} scum", 1) for i in range(40)]
+    rows += [(3000 + i, " ".join(r.permutation(copied.split())[:60]), 0) for i in range(30)]  # clean, of the same words
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 3000], "doc_id long, toxic int")
+    got = {x["doc_id"]: x["predicted"] for x in toxicity.scored(toxicity.train(docs, labels), docs).collect()}
+    assert np.mean([got[1000 + i] for i in range(100)]) > 0.9
+    assert not any(got[i] for i in range(900)) and not any(got[3000 + i] for i in range(30))
+
+
+def test_signatures_tell_copies():
+    many = [f"{a}{b}" for a in "abcdef" for b in "ghijkl"]
+    own = toxicity.signature(set(many), "")
+    close, far = toxicity.signature({*many[1:], "zz"}, ""), toxicity.signature({f"{w}x" for w in many}, "")
+    short = [toxicity.signature({"you"}, t) for t in ("you 1", "you 2", "you 1")]
+    assert toxicity.copies([own, close, far, own]) == [False, True, False, True]
+    assert toxicity.copies(short) == [False, False, True]
+    assert toxicity.copies([toxicity.signature(set(), "")] * 2) == [False, True]
+
+
 def test_risk_is_not_negative():
     """Unlabelled rows that all look positive cannot push the scorer below what the prior allows."""
     row = np.array([3], np.int32)

@@ -12,7 +12,9 @@ Features are a text's distinct lower-cased words and their first four, five and
 beginning counts once for each word that has it. Only features that at least LEAST confirmed texts hold, and
 more often than all texts do by CHANCE standard errors, bear weight. The sum is divided by the square root of
 1 + words / LENGTH, since a long text meets more of them by chance. Training and scoring share all this. The
-three values were chosen on a validation third of the training fold of table sf0.1. The sample for training is bounded by ``positives`` and ``unlabelled`` (rows whose id
+three values were chosen on a validation third of the training fold of table sf0.1. Copies and near copies are one piece
+of evidence, in the sample of confirmed texts as in that of all: else the rare words of a toxic text that was copied a dozen
+times would pass for signs of toxicity. The sample for training is bounded by ``positives`` and ``unlabelled`` (rows whose id
 hashes lowest); the prior is the share of toxic rows among all labelled rows that are not held out.
 
 Defined results: null and empty texts score what the bias alone gives; without a confirmed toxic text
@@ -23,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -43,6 +46,11 @@ BINS = 1 << 18
 LEAST, CHANCE = 4, 4.0
 #: Distinct words from which on a text's length lowers what one of them counts.
 LENGTH = 200
+#: Least values of a text's words under as many hashes, in bands of that many; texts that agree in at least half of them
+#: (about half of the words they have together are common to both) are near copies.
+SIGNATURE, BAND, ALIKE = 32, 4, 0.5
+#: Texts of fewer distinct words may have the same ones without being copies: only equal texts count as such.
+FEW = 20
 #: Words whose weight one worker remembers before it starts afresh.
 REMEMBERED = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,6 +71,30 @@ def features(found: set[str]) -> np.ndarray:
     return np.sort(np.array([b for w in found for b in bins_of(w)], np.int32))
 
 
+def signature(found: set[str], text: str) -> np.ndarray:
+    """Least values of the words under SIGNATURE hashes; with fewer than FEW words, numbers drawn by the whole text."""
+    if len(found) < FEW:
+        seed = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
+        return np.random.default_rng(int.from_bytes(seed, "little")).integers(0, (1 << 31) - 1, SIGNATURE, np.int32)
+    r = np.random.default_rng(11)
+    factor, shift = r.integers(1, 1 << 31, SIGNATURE) | 1, r.integers(0, 1 << 31, SIGNATURE)
+    values = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in found], np.int64)[:, None]
+    return ((values * factor + shift) % ((1 << 61) - 1) % ((1 << 31) - 1)).min(0).astype(np.int32)
+
+
+def copies(signatures: list[np.ndarray]) -> list[bool]:
+    """Whether each text is a near copy of an earlier one that is none itself."""
+    kept: dict[tuple, list[np.ndarray]] = {}
+    out = []
+    for own in signatures:
+        bands = [(i, own[i : i + BAND].tobytes()) for i in range(0, SIGNATURE, BAND)]
+        out.append(any((own == other).mean() >= ALIKE for band in bands for other in kept.get(band, ())))
+        if not out[-1]:
+            for band in bands:
+                kept.setdefault(band, []).append(own)
+    return out
+
+
 def _damping(n_words):
     return (1 + n_words / LENGTH) ** -0.5
 
@@ -204,20 +236,35 @@ def train(
     wanted = F.broadcast(docs.sparkSession.createDataFrame(wanted, f"id {kind}, p boolean, u boolean"))
     # of rows that repeat an id the text that hashes lowest; reduced in the tasks that read them
     texts = rows.join(wanted, "id").groupBy("id", "p", "u").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    texts = texts.select("p", "u", "text", F.xxhash64("id", "text").alias("row"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [words(t) for t in batch.column(2).to_pylist()]
-            bins = [features(w).tobytes() for w in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, found), pa.int32()), pa.array(bins, pa.binary())], ["p", "u", "n", "bins"])
-
-    sample = written(texts.select("p", "u", "text").mapInArrow(vectors, "p boolean, u boolean, n int, bins binary"), f"{scratch(docs.sparkSession)}/sample")
+            held = [t or "" for t in batch.column("text").to_pylist()]
+            found = [words(t) for t in held]
+            bins, signed = [features(w).tobytes() for w in found], [signature(w, t).tobytes() for w, t in zip(found, held)]
+            columns = [*(batch.column(c) for c in ("row", "p", "u")), pa.array(map(len, found), pa.int32()), pa.array(bins, pa.binary()), pa.array(signed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "p", "u", "n", "bins", "signed"])
+
+    sample = written(texts.mapInArrow(vectors, "row long, p boolean, u boolean, n int, bins binary, signed binary"), f"{scratch(docs.sparkSession)}/sample")
+
+    # signatures of the bounded sample, 128 bytes each
+    signed = sorted((r["row"], r["p"], r["u"], bytes(r["signed"])) for r in sample.select("row", "p", "u", "signed").collect())
+    one_each = []
+    for which in (1, 2):
+        mine = [r for r in signed if r[which]]
+        alike = copies([np.frombuffer(r[3], np.int32) for r in mine])
+        one_each.append({r[0] for r, again in zip(mine, alike) if not again})
+
+    def evidence(batch: pa.RecordBatch) -> list[tuple[bool, bool, int, np.ndarray]]:
+        columns = (batch.column(c).to_pylist() for c in ("row", "n", "bins"))
+        return [(row in one_each[0], row in one_each[1], n, np.frombuffer(bins, np.int32)) for row, n, bins in zip(*columns)]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BINS), np.int64)
         for batch in batches:
-            for p, u, bins in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
-                some = np.unique(np.frombuffer(bins, np.int32))
+            for p, u, _, bins in evidence(batch):
+                some = np.unique(bins)
                 counts[0, some] += p
                 counts[1, some] += u
         some = np.flatnonzero(counts.any(0))
@@ -225,17 +272,18 @@ def train(
 
     held = sample.mapInArrow(counted, "bin int, p long, u long").groupBy("bin").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     held = held.where(F.col("p") >= LEAST).toArrow()  # at most BINS rows
-    mine = supported(held.column("p").to_numpy(), held.column("u").to_numpy(), len(confirmed), len(others))
+    mine = supported(held.column("p").to_numpy(), held.column("u").to_numpy(), len(one_each[0]), len(one_each[1]))
     bearing = np.zeros(BINS, bool)
     bearing[held.column("bin").to_numpy()[mine]] = True
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.frombuffer(b, np.int32) for b in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([r[bearing[r]].tobytes() for r in rows], pa.binary())], ["p", "u", "n", "bins"])
+            p, u, n, bins = zip(*evidence(batch)) if batch.num_rows else ((),) * 4
+            few = pa.array([b[bearing[b]].tobytes() for b in bins], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.bool_()), pa.array(u, pa.bool_()), pa.array(n, pa.int32()), few], ["p", "u", "n", "bins"])
 
     # what reaches the driver are the few bins that can bear weight
-    got = [(r["p"], r["u"], r["n"], np.frombuffer(bytes(r["bins"]), np.int32)) for r in sample.mapInArrow(reduced, sample.schema).collect()]
+    got = [(r["p"], r["u"], r["n"], np.frombuffer(bytes(r["bins"]), np.int32)) for r in sample.mapInArrow(reduced, "p boolean, u boolean, n int, bins binary").collect()]
     got.sort(key=lambda r: (r[2], r[3].tobytes()))
     chosen = [[(n, bins) for *which, n, bins in got if which[i]] for i in (0, 1)]
     return ToxicityModel.fit([b for _, b in chosen[0]], [b for _, b in chosen[1]], prior, ([n for n, _ in chosen[0]], [n for n, _ in chosen[1]]))
