@@ -5,6 +5,7 @@ import time
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import tidemark as tm
@@ -20,6 +21,7 @@ from tidemark.errors import (
 from tidemark.plans.sync import _Run
 from tidemark.sinks import checkpoint
 from tidemark.sinks.checkpoint import CheckpointStore, listing
+from tidemark.sinks.delta import DeltaTarget
 from tidemark.sinks.snapshot import SnapshotTarget
 from tidemark.sinks.storage import Storage
 
@@ -588,3 +590,21 @@ def test_a_limit_of_nothing_is_refused(spark, out):
     frames, tables = many(spark, 1)
     with pytest.raises(ValueError, match="step_timeout_sec"):
         tm.sync_tables(tm.FrameSource(spark, frames), out, tables, spark=spark, step_timeout_sec=0)
+
+
+@pytest.mark.parametrize("condition, there", [("DELTA_PATH_DOES_NOT_EXIST", False), ("DELTA_SCHEMA_NOT_SET", None)])
+def test_a_delta_table_that_cannot_be_read_is_not_a_missing_one(monkeypatch, condition, there):
+    class Refused(AnalysisException):
+        def getCondition(self):
+            return condition
+
+    def refuse(self):
+        raise Refused("no")
+
+    monkeypatch.setattr(DeltaTarget, "read", refuse)
+    held = DeltaTarget.__new__(DeltaTarget)
+    if there is None:
+        with pytest.raises(AnalysisException):
+            held.exists()
+    else:
+        assert held.exists() is there

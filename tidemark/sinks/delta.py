@@ -21,6 +21,9 @@ _CONFLICTS = ("ConcurrentModificationException", "ConcurrentAppendException", "C
               "ConcurrentDeleteReadException", "ConcurrentDeleteDeleteException", "MetadataChangedException",
               "ProtocolChangedException", "ConcurrentTransactionException")
 
+# Fixed text: conditions by which Spark and Delta say that there is no table. Any other failure is one.
+_NO_TABLE = ("TABLE_OR_VIEW_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST")
+
 
 def delta_available(spark: SparkSession) -> bool:
     return "delta" in spark.conf.get("spark.sql.extensions", "").lower()
@@ -52,7 +55,7 @@ class DeltaTarget:
         try:
             return self.read().schema
         except AnalysisException as e:
-            if e.getCondition() not in ("TABLE_OR_VIEW_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
+            if e.getCondition() not in _NO_TABLE:
                 raise
         self.spark.createDataFrame([], schema).write.format("delta").save(self.uri)
         return schema
@@ -63,7 +66,9 @@ class DeltaTarget:
         try:
             self.read().schema
             return True
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() not in _NO_TABLE:
+                raise
             return False
 
     def stage(self, df: DataFrame) -> Staged:
