@@ -154,3 +154,22 @@ def test_equal_and_empty_sides(spark, out):
     assert compare_tables(df, df.limit(0), ["k"], folder=f"{out}/3").rows.where("difference = 'left only'").count() == 100
     with pytest.raises(SettingError):
         compare_tables(df, df, ["k"], folder=out, fanout=1)
+
+
+def test_a_comparison_moves_rows_once_and_joins_nothing(spark, out):
+    left = spark.range(0, 3000, 1, 3).selectExpr("id AS k", "id % 7 AS v").unionByName(spark.sql("SELECT -1L AS k, 1L AS v UNION ALL SELECT -1, 2"))
+    right = left.withColumn("v", F.when(F.col("k") == -1, F.lit(1)).otherwise(F.col("v"))).where("k <> 5")
+    found = compare_tables(left, right, ["k"], folder=out, small=10, open_ranges=4)
+    assert rows_of(found.rows) == [(-1, "changed", 2, 2), (5, "left only", 1, 0)]
+    wide = compare_tables(left, right.withColumn("v", F.col("v") + 1), ["k"], folder=f"{out}/2", small=10, open_ranges=4)  # all at once
+    assert wide.rows.count() == 3001
+    for rows in (found.rows, wide.rows):
+        text = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    # hashes are written where rows were read, in order within each file
+    places = spark.read.parquet(f"{out}/left").selectExpr("__at", "_metadata.file_path AS f", "_metadata.row_index AS i")
+    assert places.select("f").distinct().count() == left.rdd.getNumPartitions()
+    by_file = {}
+    for at, f, _ in sorted(places.collect(), key=lambda r: (r["f"], r["i"])):
+        by_file.setdefault(f, []).append(at)
+    assert all(ats == sorted(ats) for ats in by_file.values())

@@ -4,10 +4,11 @@ Counts and newest marks (``reconcile``) say that two tables differ, not where. H
 ``fanout`` ranges of a hash of their key, and every range gets a digest that does not depend on the order of
 its rows: their number and the sums of two hashes of each row. Ranges with equal digests are settled. The
 others are dealt again, finer, and so on, until a range is small enough to compare its keys. Only those ranges'
-rows ever meet in a join, and the ranges themselves, a bounded number at a time, are all that the driver sees.
+rows are ever moved, once, by key, and the ranges themselves, a bounded number at a time, are all that the driver sees.
 
 Each level reads the key and row hashes of both sides and filters on ranges that differ. Both sides write
-their hashes once, in order of the key's hash, so that a level reads only row groups of such ranges.
+their hashes once, where they were read: every task sorts its own by the key's hash, so that a level reads only
+pages of such ranges, and nothing is moved for it.
 """
 
 from __future__ import annotations
@@ -124,7 +125,7 @@ def compare_tables(
     spark = left.sparkSession
     sides = []
     for name, df in (("left", left), ("right", right)):
-        hashed(df, keys, columns).repartitionByRange("__at").sortWithinPartitions("__at").write.parquet(f"{folder}/{name}")
+        hashed(df, keys, columns).sortWithinPartitions("__at").write.parquet(f"{folder}/{name}")
         sides.append(spark.read.parquet(f"{folder}/{name}"))
     a, b = sides
 
@@ -146,25 +147,33 @@ def compare_tables(
 
 
 def _keys_that_differ(a: DataFrame, b: DataFrame, keys: list[str], ranges: list[tuple[int, int]]) -> DataFrame:
-    """Keys within the ranges whose rows are not the same on both sides."""
-    places = [f"__key_{i}" for i in range(len(keys))]
+    """Keys within the ranges whose rows are not the same on both sides.
 
-    def by_key(side: DataFrame, name: str) -> DataFrame:
-        some = side.where(_within(ranges)) if ranges else side.limit(0)
-        add = lambda c: F.sum(F.col(c).cast("decimal(20,0)"))
-        return some.groupBy("__at", *places).agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.struct(add("__one"), add("__two")).alias(name))
+    Both sides' rows of a key meet in one grouping, the right ones' hashes counted off the left ones': what is equal leaves zero.
+    """
+    places = [f"__key_{i}" for i in range(len(keys))]
 
-    one, two = by_key(a, "left").alias("a"), by_key(b, "right").alias("b")
-    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ["__at", *places]]
-    joined = one.join(two, reduce(lambda x, y: x & y, on), "full_outer")
+    def side(df: DataFrame, left: bool) -> DataFrame:
+        some = df.where(_within(ranges)) if ranges else df.limit(0)
+        hashes = {c: F.col(c).cast("decimal(20,0)") for c in ("__one", "__two")}  # sums of any number of longs
+        return some.select("__at", *places, F.lit(left).alias("__left"), *[(h if left else -h).alias(c) for c, h in hashes.items()])
+
+    per_key = (
+        side(a, True)
+        .unionByName(side(b, False))
+        .groupBy("__at", *places)
+        .agg(
+            F.count_if("__left").alias("left_rows"),
+            F.count_if(~F.col("__left")).alias("right_rows"),
+            F.sum("__one").alias("__one"),
+            F.sum("__two").alias("__two"),
+        )
+    )
     what = (
-        F.when(F.col("right_rows").isNull(), "left only")
-        .when(F.col("left_rows").isNull(), "right only")
-        .when((F.col("left_rows") != F.col("right_rows")) | (F.col("left") != F.col("right")), "changed")
+        F.when(F.col("right_rows") == 0, "left only")
+        .when(F.col("left_rows") == 0, "right only")
+        .when((F.col("left_rows") != F.col("right_rows")) | (F.col("__one") != 0) | (F.col("__two") != 0), "changed")
     )
-    return joined.select(
-        *[F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(k) for c, k in zip(places, keys)],
-        what.alias("difference"),
-        F.coalesce("left_rows", F.lit(0)).alias("left_rows"),
-        F.coalesce("right_rows", F.lit(0)).alias("right_rows"),
-    ).where("difference IS NOT NULL")
+    return per_key.select(
+        *[F.col(c).alias(k) for c, k in zip(places, keys)], what.alias("difference"), "left_rows", "right_rows"
+    ).where(F.col("difference").isNotNull())
