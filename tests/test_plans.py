@@ -100,3 +100,32 @@ def test_a_few_repeated_keys_rewrite_only_their_files(spark, big, out):
     assert (stats.rows_inserted, stats.rows_superseded) == (200_000, 2) and table.read().count() == 200_000
     kept = set(table.current().runs[run])
     assert kept < before and len(before) - len(kept) <= 2 + 1
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_repeated_keys_do_not_move_the_other_rows(spark, out, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr("tidemark.sinks.snapshot.FEW_REPEATED", 0)
+    rows = [(f"v{i}", i % 5, None if i % 50 == 9 else i, "a") for i in range(400)] + [(f"again{i}", 9 - i % 2 * 9, i, "a") for i in range(0, 400, 25)]
+    df = spark.createDataFrame(rows, "v string, w int, `the.key` int, part string")  # the key is not the first column
+    table, keys, plans = SnapshotTarget(spark, out), ["the.key", "part"], []
+    staged = table.stage(df)
+    keep = SnapshotTarget.stage
+    monkeypatch.setattr(SnapshotTarget, "stage", lambda self, d: plans.append((d.columns, plan(d))) or keep(self, d))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = table.merge(staged, keys, "w")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    held = {}
+    for r in rows:
+        name = (r[2], r[3]) if r[2] is not None else r[0]
+        held[name] = max(held.get(name, r), r, key=lambda x: (x[1], x[0]))
+    assert sorted(map(tuple, table.read().collect()), key=str) == sorted(held.values(), key=str)
+    assert stats.rows_superseded == len(rows) - len(held) and stats.rows_inserted == len(held)
+    assert len(table.storage.list(f"{out}/data")) == 2  # the run of keys is gone
+    assert [columns for columns, _ in plans] == [["the.key", "part"], df.columns]
+    written = plans[1][1]
+    assert "SortMergeJoin" not in written
+    assert written.count("Exchange hashpartitioning") == 1  # of the window, for repeated keys alone if these are few
+    assert ("BroadcastHashJoin" in written) == few

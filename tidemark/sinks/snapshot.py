@@ -40,6 +40,10 @@ MAX_ROWS_PER_FILE = 5_000_000
 # How many intervals describe the keys of a change.
 KEY_RANGES = 64
 
+# Repeated rows of a change, and bytes of their keys' files, up to which these keys are sent to every task.
+FEW_REPEATED = 1_000_000
+FEW_REPEATED_BYTES = 32 * 1024 * 1024
+
 # What compact() takes for a small run unless told otherwise.
 SMALL_RUN_BYTES = 64 * 1024 * 1024
 
@@ -195,7 +199,7 @@ class SnapshotTarget:
         keys = [spelled[k.lower()] for k in keys]
         rename = lambda df: df.toDF(*[spelled[n.lower()] for n in df.columns])
         if superseded:
-            staged = self._settled(staged, rename, keys, spelled[watermark.lower()])
+            staged = self._settled(staged, rename, keys, spelled[watermark.lower()], superseded)
         delta = rename(staged.frame)
         touched, updated = self._touched(base, delta, keys, totals) if base.runs else ({}, 0)
         if not touched:
@@ -212,24 +216,30 @@ class SnapshotTarget:
         self.discard(staged)
         return MergeStats(fetched, inserted, updated, superseded, totals["newest"])
 
-    def _settled(self, staged: Staged, rename, keys: list[str], watermark: str) -> Staged:
+    def _settled(self, staged: Staged, rename, keys: list[str], watermark: str, superseded: int) -> Staged:
         """The staged rows with repeated keys reduced to their last writers.
 
-        Only the files that hold a repeated key are written again, and of their rows only those of
-        such keys go through a window.
+        Only the files that hold a repeated key are written again. The repeated keys, at most as many as there
+        are superseded rows, are written once for all that reads them. If they are few, every task gets them
+        and only their rows are moved and go through a window; else all rows of these files do, once.
         """
         columns = [named(k) for k in keys]
         frame = rename(staged.frame)
-        repeated = frame.where(has_key(keys)).groupBy(*columns).count().where("count > 1").select(*columns)
+        names = [named(n) for n in frame.columns]
+        found = self.stage(frame.where(has_key(keys)).groupBy(*columns).count().where("count > 1").select(*columns))
+        few = superseded <= FEW_REPEATED and sum(self.storage.size(self._run_uri(run)) for run in found.runs) <= FEW_REPEATED_BYTES
+        repeated = F.broadcast(found.frame) if few else found.frame
         marked = frame.select(*columns, _file_mark().alias("__file"))
         hits = marked.join(repeated, keys, "left_semi").select("__file").distinct().collect()
         files = self._by_mark(staged.runs, {r["__file"] & 0xFFFFFFFFFFFFFFFF for r in hits})
-        # One join tells the rows of repeated keys from the others.
-        rows = rename(self.frame(staged.frame.schema, files)).join(repeated.withColumn("__repeated", F.lit(True)), keys, "left")
-        names = [named(n) for n in frame.columns]
-        winners = last_writer(rows.where("__repeated").select(*names), keys, watermark)
-        others = rows.where("__repeated IS NULL").select(*names)
-        written = self.stage(others.unionByName(winners).toDF(*staged.frame.columns))
+        rows = rename(self.frame(staged.frame.schema, files))
+        if few:
+            winners = last_writer(rows.join(repeated, keys, "left_semi").select(*names), keys, watermark)
+            settled = rows.join(repeated, keys, "left_anti").select(*names).unionByName(winners)
+        else:
+            settled = last_writer(rows, keys, watermark)
+        written = self.stage(settled.toDF(*staged.frame.columns))
+        self.discard(found)
         runs = {**self._without(staged.runs, files), **written.runs}
         return Staged(self.frame(staged.frame.schema, runs), runs)
 
