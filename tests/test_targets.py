@@ -105,6 +105,41 @@ def test_syncs_into_buckets(spark, out):
     assert factory(spark, f"{out}/dbo/t").read().count() == 30
 
 
+@pytest.mark.parametrize("limits", [{}, {"ROWS_PER_TASK": 5}, {"HOT_ROWS": 1}])
+def test_repeated_rows_of_a_change_move_once_with_the_others(spark, out, monkeypatch, limits):
+    for name, n in limits.items():
+        monkeypatch.setattr(f"tidemark.sinks.buckets.{name}", n)
+    bucketed, plain = BucketedTarget(spark, f"{out}/b", 3), SnapshotTarget(spark, f"{out}/p")
+    written, write = [], BucketedTarget._write
+    monkeypatch.setattr(BucketedTarget, "_write", lambda self, rows: written.append(rows) or write(self, rows))
+    first = [(None if i % 9 == 0 else i % 50, "a" if i % 4 else "b", i % 7 if i % 11 else None, f"v{i}", i) for i in range(60)]
+    later = [(v, i % 3, i % 30, "a" if i % 4 else None) for i, v in enumerate(f"u{i}" for i in range(40))]  # no column `extra`
+    for rows, schema in ((first, "k int, part string, w int, v string, extra int"), (later, "v string, w int, k int, part string")):
+        df = spark.createDataFrame(rows, schema)
+        stats = [t.merge(t.stage(df), ["k", "part"], "w") for t in (bucketed, plain)]
+        assert stats[0] == stats[1] and stats[0].rows_superseded > 0
+        names = ["k", "part", "w", "v", "extra"]
+        assert rows_of(bucketed.read().select(names)) == rows_of(plain.read().select(names))
+    for df in written:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        # rows with a key, rows without one; only hot keys are reduced first, by key
+        assert "HOT_ROWS" in limits or text.count("Exchange ") == 2
+        assert ("Exchange hashpartitioning(k" in text) == ("HOT_ROWS" in limits)
+
+
+def test_a_bucket_of_many_rows_is_dealt_to_several_tasks(spark):
+    old = spark.range(4000).selectExpr("id AS k", "id AS w", "CAST(id % 2 AS INT) AS __bucket")
+    delta = spark.range(3000, 5000).selectExpr("id AS k", "-id AS w", "CAST(id % 2 AS INT) AS __bucket")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for slices, full in ((1, range(1, 3)), (8, [16])):
+            merged = taken_over(old, delta, ["k"], buckets=2, slices=slices)
+            assert merged.groupBy(F.spark_partition_id()).count().count() in full
+            assert rows_of(merged.select("k", "w", "__bucket")) == sorted(((k, k if k < 3000 else -k, k % 2) for k in range(5000)), key=str)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 # ------------------------------------------------------------------ differences
 
 

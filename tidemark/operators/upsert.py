@@ -43,14 +43,19 @@ def last_writer(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
     survivor per key and task, which is what keeps a hot key from travelling whole.
     """
     keys = require_keys(keys)
+    window = Window.partitionBy(*map(named, keys)).orderBy(*latest_first(df.schema, keys, watermark))
+    keyed = df.where(has_key(keys)).withColumn("__rank", F.row_number().over(window))
+    return keyed.where(F.col("__rank") == 1).drop("__rank").unionByName(df.where(~has_key(keys)))
+
+
+def latest_first(schema: T.StructType, keys: list[str], watermark: str) -> list[Column]:
+    """The order in which the last writer of a key comes first."""
     tie_breakers = [
         named(f.name).desc_nulls_last()
-        for f in df.schema.fields
+        for f in schema.fields
         if f.name not in keys and f.name != watermark and _orderable(f.dataType)
     ]
-    window = Window.partitionBy(*map(named, keys)).orderBy(named(watermark).desc_nulls_last(), *tie_breakers)
-    keyed = df.where(has_key(keys)).withColumn("__rank", F.row_number().over(window))
-    return keyed.where(F.col("__rank") == 1).drop("__rank").unionByName(df.where(~has_key(keys)))
+    return [named(watermark).desc_nulls_last(), *tie_breakers]
 
 
 def apply_updates(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,8 +6,10 @@ merge reads and writes the buckets that its change falls in and no others, whate
 
 A bucket is a folder ``data/<run>/__bucket=<b>`` written by Spark's own ``partitionBy``; a version names, for
 every run, the buckets that are live in it. Both sides of a merge are moved once, by bucket: rows of a key meet
-there, and one window takes the newer one and carries over columns that the change lacks. No join, no
-sampling, no second read; and how many rows were inserted follows from the files' row counts.
+there, and one window takes the newer one, of rows that the change repeats the last writer, and carries over
+columns that the change lacks. No join, no sampling, no second read; and how many rows were inserted follows from
+the files' row counts. Only a change that mostly repeats itself, or repeats a key very often, is first reduced within
+each task. Very large buckets are dealt to several tasks, by another hash of the key.
 
 The number of buckets is fixed when a table is created: choose it so that a bucket is some hundred
 megabytes. A first load moves all rows once by bucket, which ``SnapshotTarget`` does not.
@@ -22,13 +24,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import SettingError
-from tidemark.operators.upsert import has_key, last_writer, named, require_keys
+from tidemark.operators.upsert import has_key, last_writer, latest_first, named, require_keys
 from tidemark.sinks.snapshot import MAX_ROWS_PER_FILE, Commit, MergeStats, SnapshotTarget, Staged, evolve, staged_totals
 from tidemark.sinks.storage import require_shared
 
 #: Buckets of a new table unless told otherwise.
 BUCKETS = 64
 
+#: Rows of one key that may meet in a task as they are.
+HOT_ROWS = 10_000
+#: Rows of a bucket that one task sorts, about.
+ROWS_PER_TASK = 2_000_000
+
 _BUCKET, _NEWER, _RANK = "__bucket", "__newer", "__rank"
 _FOLDER = f"{_BUCKET}="
 
@@ -102,18 +109,25 @@ class BucketedTarget(SnapshotTarget):
         buckets = self._settings(base.schema, keys) or self.buckets
         schema = _with_buckets(schema, buckets, keys)
         delta = staged.frame.toDF(*[spelled[n.lower()] for n in staged.frame.columns])
-        if superseded:
-            delta = last_writer(delta, keys, spelled[watermark.lower()])
-        delta = delta.withColumn(_BUCKET, bucket_of(delta.schema, keys, buckets))
-
+        dealt = bucket_of(delta.schema, keys, buckets)
         live = self.live(base)
-        hit = sorted(r[0] for r in delta.select(_BUCKET).distinct().collect() if r[0] in live)  # no more than there are buckets
+        # the rows of a key lie in one bucket: which ones are superseded does not matter here
+        into = {r[0] for r in delta.select(dealt.alias(_BUCKET)).distinct().collect()}  # no more than there are buckets
+        hit = sorted(b for b in into if b in live)
+        repeats = None
+        if superseded and (2 * superseded > fetched or totals["most"] > HOT_ROWS):
+            delta = last_writer(delta, keys, spelled[watermark.lower()])
+        elif superseded:
+            repeats = latest_first(delta.schema, keys, spelled[watermark.lower()])
+        delta = delta.withColumn(_BUCKET, dealt)
         touched: dict[str, list[str]] = {}
         for b in hit:
             for run in live[b]:
                 touched.setdefault(run, []).append(f"{_FOLDER}{b}")
         old = self.frame(schema, touched)
-        merged = taken_over(old.withColumn(_BUCKET, bucket_of(schema, keys, buckets)), delta, keys)
+        held = self._count(schema, touched)
+        slices = -(-(fetched + held) // (len(into) * ROWS_PER_TASK))
+        merged = taken_over(old.withColumn(_BUCKET, bucket_of(schema, keys, buckets)), delta, keys, repeats, buckets, slices)
         run = self._write(merged.select(*[named(n) for n in schema.names], _BUCKET))
         left = {b: runs for b, runs in live.items() if b not in set(hit)}
         runs: dict[str, list[str] | None] = {run: sorted(self._buckets_of(run))}
@@ -122,7 +136,7 @@ class BucketedTarget(SnapshotTarget):
                 runs.setdefault(r, []).append(f"{_FOLDER}{b}")
         self.commit(base, schema, runs)
         self.discard(staged)
-        inserted = self._count(schema, {run: runs[run]}) - self._count(schema, touched)
+        inserted = self._count(schema, {run: runs[run]}) - held
         return MergeStats(fetched, inserted, fetched - superseded - inserted, superseded, totals["newest"])
 
     def _settings(self, schema: T.StructType, keys: list[str]) -> int | None:
@@ -147,19 +161,27 @@ class BucketedTarget(SnapshotTarget):
         return self.frame(schema, runs).count() if runs else 0
 
 
-def taken_over(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+def taken_over(
+    old: DataFrame, delta: DataFrame, keys: list[str], repeats: list[Column] | None = None, buckets: int = 1, slices: int = 1
+) -> DataFrame:
     """Rows after the merge, both sides moved once by bucket: of a key the delta's row, else the old one.
 
-    ``delta`` holds each key once. Columns that it lacks keep their old value. Rows without a key all stay.
+    ``delta`` holds each key once, unless ``repeats`` orders the rows of a key. Columns that it lacks keep their old
+    value. Rows without a key all stay. With several ``slices`` each of the ``buckets`` is dealt to that many tasks.
     """
     lacking = [c for c in old.columns if c not in delta.columns]
     both = old.withColumn(_NEWER, F.lit(0)).unionByName(delta.withColumn(_NEWER, F.lit(1)), allowMissingColumns=True)
-    moved = both.where(has_key(keys)).repartition(_BUCKET)
+    keyed = both.where(has_key(keys))
+    if slices > 1:  # for now the column counts slices, not buckets
+        keyed = keyed.withColumn(_BUCKET, F.col(_BUCKET) * slices + F.pmod(F.hash(*[named(k) for k in keys]), F.lit(slices)))
+    moved = keyed.repartitionById(buckets * slices, _BUCKET) if slices > 1 else keyed.repartition(_BUCKET)
     of_key = Window.partitionBy(_BUCKET, *[named(k) for k in keys])
     kept = {c: F.first(F.when(F.col(_NEWER) == 0, named(c)), ignorenulls=True).over(of_key) for c in lacking}
-    ranked = moved.withColumn(_RANK, F.row_number().over(of_key.orderBy(F.desc(_NEWER))))
+    ranked = moved.withColumn(_RANK, F.row_number().over(of_key.orderBy(F.desc(_NEWER), *(repeats or []))))
     newest = ranked.withColumns(kept) if kept else ranked
     newest = newest.where(F.col(_RANK) == 1).drop(_RANK)
+    if slices > 1:
+        newest = newest.withColumn(_BUCKET, F.expr(f"CAST({_BUCKET} div {slices} AS INT)"))
     nameless = both.where(~has_key(keys)).repartition(_BUCKET)
     return newest.unionByName(nameless).drop(_NEWER)
 

@@ -403,7 +403,7 @@ def _rows_gained(before: DataFrame, after: DataFrame) -> int:
 
 
 def staged_totals(staged: DataFrame, keys: list[str], watermark: str, type_name: str):
-    """Row count, superseded rows, newest watermark as text and key bounds, in one job.
+    """Row count, superseded rows, most rows of a key, newest watermark as text and key bounds, in one job.
 
     Grouped by key with map-side partial aggregation: a hot key, NULL included, leaves each
     task as one row.
@@ -420,6 +420,7 @@ def staged_totals(staged: DataFrame, keys: list[str], watermark: str, type_name:
     return per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("fetched"),
         F.coalesce(F.sum(F.when(keyed, F.col("__n") - 1)), F.lit(0)).alias("superseded"),
+        F.coalesce(F.max(F.when(keyed, F.col("__n"))), F.lit(0)).alias("most"),
         newest.alias("newest"),
         *bounds,
     ).first()
