@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.errors import SettingError
-from tidemark.plans.compare import compare_tables
+from tidemark.plans.compare import _within, compare_tables
 from tidemark.sinks.buckets import BucketedTarget, bucket_of, taken_over
 from tidemark.sinks.snapshot import SnapshotTarget
 
@@ -182,6 +182,11 @@ def test_only_ranges_that_differ_are_refined(spark, out):
     assert all(looked <= 32 for looked, _ in found.levels)
 
 
+def test_very_many_ranges_are_not_too_deep_for_the_planner(spark):
+    ranges = [(10 * i, 10 * i + 2) for i in range(2000)]
+    assert spark.range(30_000).withColumnRenamed("id", "__at").where(_within(ranges)).count() == 6000
+
+
 def test_equal_and_empty_sides(spark, out):
     df = spark.range(100).selectExpr("id AS k", "map('a', id) AS m", "array(id) AS l")
     assert compare_tables(df, df.orderBy(F.desc("k")), ["k"], folder=f"{out}/1").rows.count() == 0

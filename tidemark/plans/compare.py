@@ -90,7 +90,10 @@ def _within(ranges: list[tuple[int, int]]) -> Column:
             joined[-1][1] = max(joined[-1][1], high)
         else:
             joined.append([low, high])
-    return reduce(or_, [F.col("__at").between(low, high) for low, high in joined])
+    terms = [F.col("__at").between(low, high) for low, high in joined]
+    while len(terms) > 1:  # in pairs: a chain of hundreds would be too deep for the planner's stack
+        terms = [reduce(or_, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def _differing(a: DataFrame, b: DataFrame, ranges, width: int, limit: int) -> list:
